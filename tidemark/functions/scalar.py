@@ -51,16 +51,19 @@ def replace_char(c: Column, position: Column, char: str = "X") -> Column:
     return F.overlay(c, F.lit(char), position.cast("int"))
 
 
-def signed(c: Column, digits: int = 3) -> Column:
-    return F.format_string(f"%+.{digits}f", c)
+def fixed(c: Column, digits: int = 3) -> Column:
+    """Fixed-point text rounded on the exact binary value, ties to even."""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", c, F.lit(pattern))
 
 
-def fixed(c: Column, digits: int = 3) -> Column:
-    return F.format_string(f"%.{digits}f", c)
+def signed(c: Column, digits: int = 3) -> Column:
+    text = fixed(c, digits)
+    return F.when(F.startswith(text, F.lit("-")), text).otherwise(F.concat(F.lit("+"), text))
 
 
 def percent(c: Column, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", c * 100)
+    return F.concat(fixed(c * 100, digits), F.lit("%"))
 
 
 def map_get(map_col: Column | str, key: str, default: Column | None = None) -> Column:
