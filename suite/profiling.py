@@ -166,7 +166,7 @@ def percent_where(spark, sf):
     """SELECT event_id, round(abs(value - 50), 6) AS abs_value, greatest(value - 40, 0.0) AS clamped,
   floor(value)::BIGINT AS whole, CAST(trunc(value * -1) AS BIGINT) AS truncated,
   round(CASE WHEN user_id % 5 = 0 THEN -1.0 ELSE value / (user_id % 5) END, 6) AS guarded,
-  printf('%+.3f', value - 50) AS signed, printf('%.1f%%', value) AS pct,
+  printf('%+.3f', value - 50) AS signed, printf('%.1f%%', value / 100 * 100) AS pct,
   hour(ts)::INTEGER AS hour, (isodow(ts) - 1)::INTEGER AS weekday,
   round((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) / 3.6e9, 6) AS hours,
   upper(event_type) LIKE '%UR%' OR upper(event_type) LIKE '%RR%' AS has_word,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_fraction
-from ..session import join_small
+from ..session import cut_lineage, join_small
 from .ranks import HASH_PARTS, cut_tuples, side_of_cuts, with_hash_order
 from .sampling import oversample, sample_rows, swap_rows
 from .sides import NUMERIC, feature_kinds
@@ -147,6 +147,8 @@ def flip_labels(
 
 
 # ------------------------------------------------------------- drifted batches
+# A batch is a bounded sample of the population that the following steps scan
+# several times, so it is materialised once.
 def no_drift_batch(df: DataFrame, key: Sequence[str], size: int = 2000, seed: int = 42) -> DataFrame:
     return sample_rows(df, key, size, seed)
 
@@ -155,7 +157,7 @@ def gradual_drift_batch(
     df: DataFrame, key: Sequence[str], old: Column, high: Column, size: int = 2000, seed: int = 42
 ) -> DataFrame:
     """Half the batch satisfies ``old``; up to 15 % low rows swapped for ``high`` ones."""
-    batch = oversample(df, key, old, size, 0.50, seed).drop("stratum", "copy")
+    batch = cut_lineage(oversample(df, key, old, size, 0.50, seed).drop("stratum", "copy"))
     return swap_rows(batch, df, key, high, size, 0.15, seed)
 
 
@@ -164,7 +166,7 @@ def strong_drift_batch(
     size: int = 2000, seed: int = 42,
 ) -> DataFrame:
     """40 % very old, up to 20 % swapped, and a shift of 0.3 population deviations."""
-    batch = oversample(df, key, very_old, size, 0.40, seed).drop("stratum", "copy")
+    batch = cut_lineage(oversample(df, key, very_old, size, 0.40, seed).drop("stratum", "copy"))
     swapped = swap_rows(batch, df, key, high, size, 0.20, seed)
     return covariate_drift(swapped, shifted, 0.3, population=df)
 
@@ -174,7 +176,7 @@ def concept_drift_batch(
     shifted: Sequence[str], size: int = 2000, seed: int = 42,
 ) -> DataFrame:
     """35 % emergencies, 40 % of labels flipped where asked, a 0.2-deviation shift."""
-    batch = oversample(df, key, emergency, size, 0.35, seed)
+    batch = cut_lineage(oversample(df, key, emergency, size, 0.35, seed))
     flipped = flip_labels(batch, [*key, "copy"], flip_where, 0.40, label, seed)
     return covariate_drift(flipped.drop("stratum", "copy"), shifted, 0.2, population=df)
 

@@ -33,6 +33,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark, "checkpoint"))
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate result that several later passes read.
+
+    Uses the reliable checkpoint folder, so the result survives the loss of
+    executors.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def join_small(
     big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", null_safe: bool = False
 ) -> DataFrame:
