@@ -66,7 +66,7 @@ def fit_encoder(
             OneHotEncoder(
                 inputCols=[f"{c}__index" for c in categorical],
                 outputCols=[f"{c}__onehot" for c in categorical],
-                handleInvalid="keep", dropLast=True,
+                dropLast=True,  # the last index is the indexer's bucket for unknown values
             ),
         ]
     stages.append(
