@@ -154,7 +154,8 @@ def consensus(
     joined = summary
     concept_flag: Column = F.lit(False)
     if concept is not None:
-        joined = join_small(summary, concept.select(*by, "concept_drift_detected"), by, "left")
+        slim = concept.select(*by, "concept_drift_detected")
+        joined = summary.join(slim, list(by), "left") if by else join_small(summary, slim, [])
         concept_flag = F.coalesce("concept_drift_detected", F.lit(False))
     rules: Mapping[str, Column] = indicator_rules(concept_flag)
     unknown = set(indicators) - set(rules)

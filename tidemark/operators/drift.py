@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import kl_term, missing_to_null, positive_ratio
 from ..functions.tails import chi2_tail, kolmogorov_tail, normal_two_sided
-from ..session import join_small
+from ..session import at_most, join_small
 from .histogram import bin_index, widened
 from .prefix import collapse, needs_lanes, running_totals
 from .sides import CATEGORICAL, IS_REF, NUMERIC, WEIGHTS, feature_kinds, long_form, split_kinds
@@ -29,6 +29,7 @@ JS_BINS = 19
 JS_FLOOR = 1e-10
 P_LIMIT = 0.05
 STD_FLOOR = 0.001
+MAX_GROUPS = 1_000_000
 
 
 def _quoted(name: str) -> str:
@@ -163,6 +164,21 @@ def _bin(prefix: str, bins: int) -> Column:
     return F.coalesce(bin_index(F.col("value"), *edges, bins), F.lit(-1)).alias(f"{prefix}_bin")
 
 
+def _attach(rows: DataFrame, small: DataFrame, by: Sequence[str], shuffled: bool) -> DataFrame:
+    """Attach a table with one row per ``(by..., feature)``.
+
+    Without groups its size is the number of features.  With groups it grows
+    with their number: rows that are to be shuffled on these keys anyway are
+    joined without a hint, raw rows only against a table of checked size.
+    """
+    keys = [*by, "feature"]
+    if not by:
+        return join_small(rows, small, keys)
+    if shuffled:
+        return rows.join(small, keys)
+    return join_small(rows, at_most(small, MAX_GROUPS, "groups and features"), keys)
+
+
 def _over_bins(cells: str, bin_field: str, bins: int, term: str) -> Column:
     """Sum ``term`` over the bins of an array of partial cells.
 
@@ -213,7 +229,7 @@ def _binned(
     name = f"{prefix}_bin"
     edges = with_edges(pairs, bins, bins).select(*keys, *_EDGES)
     cells = (
-        join_small(weighted, edges, keys)
+        _attach(weighted, edges, by, shuffled=False)
         .select(*keys, *WEIGHTS, _bin(prefix, bins))
         .groupBy(*keys, name)
         .agg(*[F.sum(w).alias(w) for w in WEIGHTS])
@@ -277,7 +293,7 @@ def category_statistics(
         raise ValueError(f"expected must be 'scaled' or 'raw', not {expected!r}")
     keys = [*by, "feature"]
     totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur"))
-    joined = join_small(counts, totals, keys).where("_ref > 0 AND _cur > 0")
+    joined = _attach(counts, totals, by, shuffled=True).where("_ref > 0 AND _cur > 0")
     e = F.col("n_ref").cast("double")
     if expected == "scaled":
         e = e * F.col("_cur") / F.col("_ref")
@@ -356,9 +372,8 @@ def numeric_table(
         cells = distinct_values(cells, by)
     # bins are a function of (feature, value): found before the ordered window,
     # where the distinct values are still spread over all tasks
-    placed = join_small(
-        cells, with_edges(pairs).select(*keys, "ref_n", "cur_n", *_EDGES), keys
-    ).select(
+    edges = with_edges(pairs).select(*keys, "ref_n", "cur_n", *_EDGES)
+    placed = _attach(cells, edges, by, shuffled=ranked).select(
         *keys, "value", *WEIGHTS, "ref_n", "cur_n",
         _bin("psi", PSI_BINS) if "psi" in metrics else F.lit(0).alias("psi_bin"),
         _bin("js", JS_BINS) if "js" in metrics else F.lit(0).alias("js_bin"),
@@ -386,7 +401,7 @@ def numeric_table(
         F.sum("values").alias("n_distinct"),
         F.collect_list(F.struct("psi_bin", "js_bin", *WEIGHTS)).alias("_cells"),
     )
-    table = join_small(table, pairs, keys)
+    table = _attach(table, pairs, by, shuffled=True)
     null = F.lit(None).cast("double")
     has_ks, has_w = "ks" in metrics, "wasserstein" in metrics
     area = F.coalesce("_area", F.lit(0.0))

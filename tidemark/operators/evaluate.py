@@ -153,7 +153,7 @@ def evaluate_scores(
     marked = df.withColumn("_pred", predicted(score, threshold))
     table = binary_metrics(marked, label, "_pred", by)
     area = auc(df, label, score, by).select(*by, "auc")
-    return join_small(table, area, by)
+    return table.join(area, list(by)) if by else join_small(table, area, [])
 
 
 def pair_scores(

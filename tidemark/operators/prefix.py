@@ -26,11 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.keys import value_fraction
-from ..session import join_small
+from ..session import at_most, join_small
 
 ROWS_PER_LANE = 4_000_000
 MAX_LANES = 4096
 SAMPLES_PER_LANE = 64
+MAX_KEYS = 1_000_000
 
 
 def needs_lanes(df: DataFrame, rows_per_lane: int = ROWS_PER_LANE) -> bool:
@@ -111,7 +112,7 @@ def running_totals(
             *[F.lead(c).over(ordered).alias(f"next_{c}") for c in following],
         )
 
-    per_key = (
+    per_key = at_most(
         collapsed.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_distinct"),
@@ -122,7 +123,9 @@ def running_totals(
             F.least(
                 F.lit(max_lanes), F.ceil(F.col("_distinct") / F.lit(float(rows_per_lane)))
             ).cast("int"),
-        )
+        ),
+        MAX_KEYS,
+        "keys of a running total",
     )
     many = per_key.where("_lanes > 1").select(*keys, "_lanes", "_distinct")
     sample = join_small(collapsed, many, keys, null_safe=True).where(
@@ -158,16 +161,19 @@ def running_totals(
     )
 
     lane_keys = [*keys, "_lane"]
-    head = F.struct(*[F.col(c) for c in following]) if following else F.struct(F.lit(0).alias("_"))
     lane_rows = laned.groupBy(*lane_keys).agg(
-        *[F.sum(s).alias(f"_sum_{s}") for s in sums], F.min_by(head, value).alias("_head")
+        *[F.sum(s).alias(f"_sum_{s}") for s in sums],
+        *[
+            (F.min(c) if c == value else F.min_by(c, value)).alias(f"_first_{c}")
+            for c in following
+        ],
     )
     by_lane = Window.partitionBy(*keys).orderBy("_lane")
     before = by_lane.rowsBetween(Window.unboundedPreceding, -1)
     offsets = lane_rows.select(
         *lane_keys,
         *[F.coalesce(F.sum(f"_sum_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums],
-        F.lead("_head").over(by_lane).alias("_next_head"),
+        *[F.lead(f"_first_{c}").over(by_lane).alias(f"_head_{c}") for c in following],
     )
     inside = Window.partitionBy(*lane_keys).orderBy(value)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -177,7 +183,7 @@ def running_totals(
         *[(F.sum(s).over(upto) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],
         *[f"total_{s}" for s in (sums if totals else ())],
         *[
-            F.coalesce(F.lead(c).over(inside), F.col("_next_head")[c]).alias(f"next_{c}")
+            F.coalesce(F.lead(c).over(inside), F.col(f"_head_{c}")).alias(f"next_{c}")
             for c in following
         ],
     )

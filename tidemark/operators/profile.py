@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ratio
-from ..session import join_small
+from ..session import at_most, join_small
 from .cleaning import missing_rates
 from .prefix import collapse, exact_quantiles, needs_lanes, running_totals
 from .sides import CATEGORICAL, IS_REF, NUMERIC, _melt, feature_kinds, split_kinds
 
+MAX_GROUPS = 1_000_000
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -42,7 +43,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] =
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return join_small(basics, quantile_table(df, columns, by=by), keys, "left").select(
+    return basics.join(quantile_table(df, columns, by=by), keys, "left").select(
         *keys, "count", "mean", "std", "min", "q1", "median", "q3", "max"
     )
 
@@ -104,6 +105,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     )
     cells = _numeric_cells(df, columns, by).where(F.col("value").isNotNull())
     inside = (F.col("value") >= F.col("_low")) & (F.col("value") <= F.col("_high"))
+    if by:
+        fences = at_most(fences, MAX_GROUPS, "groups and features")
     return join_small(cells, fences, keys).groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),

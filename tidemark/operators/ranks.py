@@ -65,7 +65,7 @@ def cut_tuples(
             for c in found:
                 same = same & (df[c] == F.col(f"_at_{c}"))
             counted = (
-                df.join(F.broadcast(renamed), same)
+                df.join(F.broadcast(at_most(renamed, MAX_STRATA, "cuts")), same)
                 .groupBy(*group, key)
                 .agg(F.count(F.lit(1)).alias("_n"))
             )

@@ -48,8 +48,11 @@ def join_small(
 ) -> DataFrame:
     """Broadcast join for a side whose row count is bounded by construction.
 
-    Callers pass tables with one row per feature, lane, rule or class label.
-    With no key columns the small side is a single row and is attached to all.
+    Callers pass tables with one row per feature or rule, or tables guarded by
+    :func:`at_most`.  With no key columns the small side is a single row and is
+    attached to all.  Sides that grow with the data are joined without a hint:
+    adaptive execution then checks their real size and falls back to a
+    sort-merge join.
     """
     if not on:
         return big.crossJoin(F.broadcast(small))

@@ -18,7 +18,7 @@ def roc_arrays(points: DataFrame, areas: DataFrame, by: Sequence[str] = ("model"
     """
     point = F.struct((-F.col("threshold")).alias("o"), "fpr", "tpr", "threshold")
     curve = points.groupBy(*by).agg(F.array_sort(F.collect_list(point)).alias("_p"))
-    return curve.join(F.broadcast(areas.select(*by, "auc")), list(by)).select(
+    return curve.join(areas.select(*by, "auc"), list(by)).select(
         *by,
         F.transform("_p", lambda p: p["fpr"]).alias("fpr"),
         F.transform("_p", lambda p: p["tpr"]).alias("tpr"),
