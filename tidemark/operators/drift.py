@@ -15,10 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import kl_term, missing_to_null, positive_ratio
 from ..functions.tails import chi2_tail, kolmogorov_tail, normal_two_sided
 from ..session import at_most, join_small
-from .histogram import bin_index, widened
+from .histogram import bin_sql
 from .prefix import collapse, needs_lanes, running_totals
 from .sides import CATEGORICAL, IS_REF, NUMERIC, WEIGHTS, feature_kinds, long_form, split_kinds
 
@@ -45,7 +44,7 @@ def side_moments(sided: DataFrame, features: Sequence[str], by: Sequence[str] =
     """
     keys = [*by, IS_REF]
     clean = sided.select(
-        *keys, *[missing_to_null(F.col(f).cast("double")).alias(f"x{i}") for i, f in enumerate(features)]
+        *keys, *[F.expr(f"nanvl(CAST(`{f}` AS DOUBLE), NULL) AS x{i}") for i, f in enumerate(features)]
     )
     wide = clean.groupBy(*keys).agg(
         *[
@@ -76,32 +75,31 @@ def paired_moments(sided: DataFrame, features: Sequence[str], by: Sequence[str]
     both = side_moments(sided, features, by)
     if not by:
         pairs = both.groupBy("feature").agg(
-            *[F.max(F.when(F.col(IS_REF), F.col(m))).alias(f"ref_{m}") for m in _MOMENTS],
-            *[F.max(F.when(~F.col(IS_REF), F.col(m))).alias(f"cur_{m}") for m in _MOMENTS],
+            *[
+                F.expr(f"max({m}) FILTER (WHERE {side}) AS {name}_{m}")
+                for name, side in (("ref", IS_REF), ("cur", f"NOT {IS_REF}"))
+                for m in _MOMENTS
+            ]
         )
     else:
         # every group of current rows meets the one reference
         reference = side_moments(sided.where(IS_REF), features)
-        ref = reference.select("feature", *[F.col(m).alias(f"ref_{m}") for m in _MOMENTS])
-        cur = both.where(~F.col(IS_REF)).select(
-            *by, "feature", *[F.col(m).alias(f"cur_{m}") for m in _MOMENTS]
+        ref = reference.selectExpr("feature", *[f"{m} AS ref_{m}" for m in _MOMENTS])
+        cur = both.where(f"NOT {IS_REF}").selectExpr(
+            *by, "feature", *[f"{m} AS cur_{m}" for m in _MOMENTS]
         )
         pairs = cur.join(F.broadcast(ref), "feature")
     return pairs.where("ref_n > 0 AND cur_n > 0").select(*by, "feature", *PAIR_COLUMNS)
 
 
-def mean_shift() -> Column:
-    """Absolute mean shift in reference standard deviations (0 for a constant)."""
-    return positive_ratio(F.abs(F.col("cur_mean") - F.col("ref_mean")), F.col("ref_std_samp"), 0.0)
-
-
-def std_ratio() -> Column:
-    return positive_ratio(F.col("cur_std_samp"), F.col("ref_std_samp"), 1.0)
+MEAN_SHIFT = "IF(ref_std_samp > 0, abs(cur_mean - ref_mean) / ref_std_samp, 0D)"
+STD_RATIO = "IF(ref_std_samp > 0, cur_std_samp / ref_std_samp, 1D)"
 
 
 def moment_shift(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return pairs.select(
-        *by, "feature", mean_shift().alias("mean_shift"), std_ratio().alias("std_ratio")
+    """Absolute mean shift in reference standard deviations (0 for a constant)."""
+    return pairs.selectExpr(
+        *by, "feature", f"{MEAN_SHIFT} AS mean_shift", f"{STD_RATIO} AS std_ratio"
     )
 
 
@@ -110,10 +108,21 @@ def distinct_values(weighted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return collapse(weighted, [*by, "feature"], "value", WEIGHTS)
 
 
-def _ecdf_gap() -> Column:
-    return F.abs(
-        F.col("cum_n_ref") / F.col("total_n_ref") - F.col("cum_n_cur") / F.col("total_n_cur")
-    )
+def _rank_sums(n_ref: str, n_cur: str, origin: str) -> list[Column]:
+    """Per-group aggregates of the running totals: largest gap, area, row count.
+
+    The area between the two distribution functions, sum of ``gap_i * (v_{i+1} -
+    v_i)``, is summed by parts as ``v_i * (gap_{i-1} - gap_i)``: the gap before a
+    value follows from its own weights, so no neighbouring row is needed.
+    ``origin`` is any constant near the values; it keeps the products small.
+    """
+    gap = f"abs(cum_n_ref / {n_ref} - cum_n_cur / {n_cur})"
+    before = f"abs((cum_n_ref - n_ref) / {n_ref} - (cum_n_cur - n_cur) / {n_cur})"
+    return [
+        F.expr(f"max({gap}) AS ks"),
+        F.expr(f"sum((value - {origin}) * ({before} - {gap})) AS area"),
+        F.expr("count(1) AS n_values"),
+    ]
 
 
 def rank_statistics(
@@ -121,20 +130,20 @@ def rank_statistics(
 ) -> DataFrame:
     """Kolmogorov-Smirnov distance with its p-value, and Wasserstein-1 distance."""
     keys = [*by, "feature"]
-    run = running_totals(distinct, keys, "value", WEIGHTS, following=["value"], **lanes)
-    gap = _ecdf_gap()
+    run = running_totals(distinct, keys, "value", WEIGHTS, **lanes)
     stats = run.where("total_n_ref > 0 AND total_n_cur > 0").groupBy(*keys).agg(
-        F.max(gap).alias("ks_statistic"),
-        F.coalesce(
-            F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)
-        ).alias("wasserstein"),
-        F.max("total_n_ref").alias("n_ref"),
-        F.max("total_n_cur").alias("n_cur"),
-        F.count(F.lit(1)).alias("n_distinct"),
+        *_rank_sums("total_n_ref", "total_n_cur", "0"),
+        F.expr("max(total_n_ref) AS n_ref"),
+        F.expr("max(total_n_cur) AS n_cur"),
     )
-    return stats.withColumn(
-        "ks_pvalue",
-        kolmogorov_tail("ks_statistic", "n_ref", "n_cur", corrected),
+    return stats.select(
+        *keys,
+        F.col("ks").alias("ks_statistic"),
+        kolmogorov_tail("ks", "n_ref", "n_cur", corrected).alias("ks_pvalue"),
+        F.col("area").alias("wasserstein"),
+        "n_ref",
+        "n_cur",
+        F.col("n_values").alias("n_distinct"),
     )
 
 
@@ -142,17 +151,18 @@ def rank_statistics(
 def with_edges(pairs: DataFrame, psi_bins: int = PSI_BINS, js_bins: int = JS_BINS) -> DataFrame:
     """Add the histogram ranges: reference range for PSI, joint range for JS.
 
-    The joint range stays NULL when it is a single point.
+    A constant reference range is widened to one unit; a constant joint range
+    stays NULL.
     """
-    lo, hi = widened(F.col("ref_lo"), F.col("ref_hi"))
-    joint_lo, joint_hi = F.least("ref_lo", "cur_lo"), F.greatest("ref_hi", "cur_hi")
-    usable = joint_lo < joint_hi
-    return pairs.select(
+    lo = "IF(ref_lo = ref_hi, ref_lo - 0.5D, ref_lo)"
+    hi = "IF(ref_lo = ref_hi, ref_hi + 0.5D, ref_hi)"
+    joint_lo, joint_hi = "least(ref_lo, cur_lo)", "greatest(ref_hi, cur_hi)"
+    usable = f"{joint_lo} < {joint_hi}"
+    return pairs.selectExpr(
         "*",
-        lo.alias("psi_lo"), hi.alias("psi_hi"),
-        ((hi - lo) / F.lit(float(psi_bins))).alias("psi_width"),
-        F.when(usable, joint_lo).alias("js_lo"), F.when(usable, joint_hi).alias("js_hi"),
-        F.when(usable, (joint_hi - joint_lo) / F.lit(float(js_bins))).alias("js_width"),
+        f"{lo} AS psi_lo", f"{hi} AS psi_hi", f"({hi} - {lo}) / {psi_bins}D AS psi_width",
+        f"IF({usable}, {joint_lo}, NULL) AS js_lo", f"IF({usable}, {joint_hi}, NULL) AS js_hi",
+        f"IF({usable}, ({joint_hi} - {joint_lo}) / {js_bins}D, NULL) AS js_width",
     )
 
 
@@ -160,8 +170,9 @@ _EDGES = ["psi_lo", "psi_hi", "psi_width", "js_lo", "js_hi", "js_width"]
 
 
 def _bin(prefix: str, bins: int) -> Column:
-    edges = [F.col(f"{prefix}_{e}") for e in ("lo", "hi", "width")]
-    return F.coalesce(bin_index(F.col("value"), *edges, bins), F.lit(-1)).alias(f"{prefix}_bin")
+    """Bin of ``value`` on a range of :func:`with_edges`; -1 outside."""
+    lo, hi, width = (f"{prefix}_{e}" for e in ("lo", "hi", "width"))
+    return F.expr(f"coalesce({bin_sql('value', lo, hi, width, bins)}, -1) AS {prefix}_bin")
 
 
 def _attach(rows: DataFrame, small: DataFrame, by: Sequence[str], shuffled: bool) -> DataFrame:
@@ -274,6 +285,10 @@ def category_counts(weighted: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return weighted.groupBy(*by, "feature", "value").agg(*[F.sum(w).alias(w) for w in WEIGHTS])
 
 
+def _kl(p: str, m: str) -> str:
+    return f"IF({p} > 0, {p} * ln({p} / {m}), 0D)"
+
+
 def category_statistics(
     counts: DataFrame, by: Sequence[str] = (), expected: str = "scaled"
 ) -> DataFrame:
@@ -294,49 +309,45 @@ def category_statistics(
     keys = [*by, "feature"]
     totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur"))
     joined = _attach(counts, totals, by, shuffled=True).where("_ref > 0 AND _cur > 0")
-    e = F.col("n_ref").cast("double")
+    e = "CAST(n_ref AS DOUBLE)"
     if expected == "scaled":
-        e = e * F.col("_cur") / F.col("_ref")
-    o = F.col("n_cur").cast("double")
-    p = F.col("n_ref") / F.col("_ref")
-    q = F.col("n_cur") / F.col("_cur")
-    mid = (p + q) / 2
+        e = f"({e} * _cur / _ref)"
+    p, q = "(n_ref / _ref)", "(n_cur / _cur)"
+    mid = f"(({p} + {q}) / 2)"
     stats = joined.groupBy(*keys).agg(
-        F.sum(F.when(e > 0, (o - e) * (o - e) / e)).alias("_stat"),
-        F.count_if(F.col("n_ref") == 0).alias("new_categories"),
-        F.count_if(F.col("n_cur") == 0).alias("vanished_categories"),
-        F.count(F.lit(1)).alias("n_distinct"),
-        (F.count(F.lit(1)) - 1).alias("chi2_dof"),
-        F.max("_ref").alias("n_ref"),
-        F.max("_cur").alias("n_cur"),
-        (F.sum(kl_term(p, mid) + kl_term(q, mid)) / 2).alias("js_divergence"),
-        F.min_by("n_ref", "value").alias("_x_ref"),
-        F.min_by("n_cur", "value").alias("_x_cur"),
+        F.expr(f"sum(IF({e} > 0, (n_cur - {e}) * (n_cur - {e}) / {e}, NULL)) AS chi2"),
+        F.expr("count_if(n_ref = 0) AS new_categories"),
+        F.expr("count_if(n_cur = 0) AS vanished_categories"),
+        F.expr("count(1) AS n_distinct"),
+        F.expr("count(1) - 1 AS chi2_dof"),
+        F.expr("max(_ref) AS total_ref"),
+        F.expr("max(_cur) AS total_cur"),
+        F.expr(f"sum(({_kl(p, mid)} + {_kl(q, mid)}) / 2) AS js_divergence"),
+        F.expr("min_by(n_ref, value) AS x_ref"),
+        F.expr("min_by(n_cur, value) AS x_cur"),
     )
-    stat = F.when(F.col("new_categories") > 0, F.lit(math.inf)).otherwise(F.col("_stat"))
+    stat = "IF(new_categories > 0, double('infinity'), chi2)"
     if expected == "raw":
-        stat = F.when(F.col("n_ref") == F.col("n_cur"), stat)
-    tail = chi2_tail("chi2_statistic", "chi2_dof")
-    p_ref = F.col("_x_ref") / F.col("n_ref")
-    p_cur = F.col("_x_cur") / F.col("n_cur")
-    pooled = (F.col("_x_ref") + F.col("_x_cur")) / (F.col("n_ref") + F.col("n_cur"))
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n_ref") + 1 / F.col("n_cur")))
-    z = F.when(F.col("n_distinct") == 2, F.try_divide(p_ref - p_cur, spread))
-    return (
-        stats.withColumn("chi2_statistic", stat)
-        .withColumn("z_statistic", z)
-        .select(
-            *keys, "n_ref", "n_cur", "n_distinct", "new_categories", "vanished_categories",
-            "chi2_statistic", "chi2_dof",
-            # a feature with a single category on both sides cannot deviate
-            F.when((F.col("chi2_dof") == 0) & F.col("chi2_statistic").isNotNull(), F.lit(1.0))
-            .otherwise(tail).alias("chi2_pvalue"),
-            "js_divergence",
-            F.sqrt(F.greatest(F.col("js_divergence"), F.lit(0.0))).alias("js_distance"),
-            "z_statistic",
-            F.when(F.col("z_statistic").isNotNull(), normal_two_sided("z_statistic"))
-            .alias("z_pvalue"),
-        )
+        stat = f"IF(total_ref = total_cur, {stat}, NULL)"
+    pooled = "((x_ref + x_cur) / (total_ref + total_cur))"
+    spread = f"sqrt({pooled} * (1 - {pooled}) * (1 / total_ref + 1 / total_cur))"
+    z = f"IF(n_distinct = 2, try_divide(x_ref / total_ref - x_cur / total_cur, {spread}), NULL)"
+    return stats.selectExpr("*", f"{stat} AS chi2_statistic", f"{z} AS z_statistic").select(
+        *keys,
+        F.expr("total_ref AS n_ref"),
+        F.expr("total_cur AS n_cur"),
+        "n_distinct", "new_categories", "vanished_categories", "chi2_statistic", "chi2_dof",
+        # a feature with a single category on both sides cannot deviate
+        F.expr("chi2_dof = 0 AND chi2_statistic IS NOT NULL AS _single"),
+        chi2_tail("chi2_statistic", "chi2_dof").alias("_tail"),
+        "js_divergence",
+        F.expr("sqrt(greatest(js_divergence, 0D)) AS js_distance"),
+        "z_statistic",
+        normal_two_sided("z_statistic").alias("z_pvalue"),
+    ).selectExpr(
+        *keys, "n_ref", "n_cur", "n_distinct", "new_categories", "vanished_categories",
+        "chi2_statistic", "chi2_dof", "IF(_single, 1D, _tail) AS chi2_pvalue", "js_divergence",
+        "js_distance", "z_statistic", "z_pvalue",
     )
 
 
@@ -372,57 +383,49 @@ def numeric_table(
         cells = distinct_values(cells, by)
     # bins are a function of (feature, value): found before the ordered window,
     # where the distinct values are still spread over all tasks
-    edges = with_edges(pairs).select(*keys, "ref_n", "cur_n", *_EDGES)
+    edges = with_edges(pairs).select(*keys, "ref_n", "cur_n", "ref_lo", *_EDGES)
     placed = _attach(cells, edges, by, shuffled=ranked).select(
-        *keys, "value", *WEIGHTS, "ref_n", "cur_n",
-        _bin("psi", PSI_BINS) if "psi" in metrics else F.lit(0).alias("psi_bin"),
-        _bin("js", JS_BINS) if "js" in metrics else F.lit(0).alias("js_bin"),
+        *keys, "value", *WEIGHTS, "ref_n", "cur_n", "ref_lo",
+        _bin("psi", PSI_BINS) if "psi" in metrics else F.expr("0 AS psi_bin"),
+        _bin("js", JS_BINS) if "js" in metrics else F.expr("0 AS js_bin"),
     )
     if ranked:
         placed = running_totals(
-            placed, keys, "value", WEIGHTS, ["value"], lanes=use_lanes, totals=False
+            placed, keys, "value", WEIGHTS, lanes=use_lanes, totals=False
         )
-        gap = F.abs(F.col("cum_n_ref") / F.col("ref_n") - F.col("cum_n_cur") / F.col("cur_n"))
-        sums = [
-            F.max(gap).alias("ks"),
-            F.sum(gap * (F.col("next_value") - F.col("value"))).alias("area"),
-            F.count(F.lit(1)).alias("values"),
-        ]
+        sums = _rank_sums("ref_n", "cur_n", "ref_lo")
     else:
-        none = F.lit(None)
-        sums = [F.max(none.cast("double")).alias("ks"), F.max(none.cast("double")).alias("area"),
-                F.max(none.cast("bigint")).alias("values")]
+        sums = [F.expr("CAST(NULL AS DOUBLE) AS ks"), F.expr("CAST(NULL AS DOUBLE) AS area"),
+                F.expr("CAST(NULL AS BIGINT) AS n_values")]
     by_bin = placed.groupBy(*keys, "psi_bin", "js_bin").agg(
-        *sums, *[F.sum(w).alias(w) for w in WEIGHTS]
+        *sums, *[F.expr(f"sum({w}) AS {w}") for w in WEIGHTS]
     )
     table = by_bin.groupBy(*keys).agg(
-        F.max("ks").alias("ks_statistic"),
-        F.sum("area").alias("_area"),
-        F.sum("values").alias("n_distinct"),
-        F.collect_list(F.struct("psi_bin", "js_bin", *WEIGHTS)).alias("_cells"),
+        F.expr("max(ks) AS ks"),
+        F.expr("sum(area) AS area"),
+        F.expr("sum(n_values) AS n_distinct"),
+        F.expr("collect_list(struct(psi_bin, js_bin, n_ref, n_cur)) AS _cells"),
     )
     table = _attach(table, pairs, by, shuffled=True)
-    null = F.lit(None).cast("double")
-    has_ks, has_w = "ks" in metrics, "wasserstein" in metrics
-    area = F.coalesce("_area", F.lit(0.0))
+
+    def shown(metric: str, column: Column | str, name: str) -> Column:
+        if metric not in metrics:
+            return F.expr(f"CAST(NULL AS DOUBLE) AS {name}")
+        return (F.expr(column) if isinstance(column, str) else column).alias(name)
+
     return table.select(
         *keys,
-        F.col("ref_n").alias("n_ref"),
-        F.col("cur_n").alias("n_cur"),
+        F.expr("ref_n AS n_ref"),
+        F.expr("cur_n AS n_cur"),
         "n_distinct",
-        (F.col("ks_statistic") if has_ks else null).alias("ks_statistic"),
-        (
-            kolmogorov_tail("ks_statistic", "ref_n", "cur_n", corrected)
-            if has_ks
-            else null
-        ).alias("ks_pvalue"),
-        (area if has_w else null).alias("wasserstein"),
-        (area / F.greatest(F.col("ref_std_pop"), F.lit(STD_FLOOR)) if has_w else null)
-        .alias("wasserstein_normed"),
-        (psi_of_cells("_cells") if "psi" in metrics else null).alias("psi"),
-        (mean_shift() if "moments" in metrics else null).alias("mean_shift"),
-        (std_ratio() if "moments" in metrics else null).alias("std_ratio"),
-        (js_of_cells("_cells") if "js" in metrics else null).alias("js_divergence"),
+        shown("ks", "ks", "ks_statistic"),
+        shown("ks", kolmogorov_tail("ks", "ref_n", "cur_n", corrected), "ks_pvalue"),
+        shown("wasserstein", "area", "wasserstein"),
+        shown("wasserstein", f"area / greatest(ref_std_pop, {STD_FLOOR}D)", "wasserstein_normed"),
+        shown("psi", psi_of_cells("_cells"), "psi"),
+        shown("moments", MEAN_SHIFT, "mean_shift"),
+        shown("moments", STD_RATIO, "std_ratio"),
+        shown("js", js_of_cells("_cells"), "js_divergence"),
     )
 
 
@@ -457,29 +460,28 @@ def feature_table(
     if not numeric and not categorical:
         raise ValueError("no usable feature")
     keys = [*by, "feature"]
-    null = F.lit(None).cast("double")
     parts = []
     if numeric:
         parts.append(
-            numeric_table(sided, numeric, by, metrics, corrected, lanes).select(
-                *keys, F.lit(NUMERIC).alias("kind"), "n_ref", "n_cur", "n_distinct",
-                *_NUMERIC_OUT, *[null.alias(c) for c in _CATEGORICAL_OUT],
+            numeric_table(sided, numeric, by, metrics, corrected, lanes).selectExpr(
+                *keys, f"'{NUMERIC}' AS kind", "n_ref", "n_cur", "n_distinct", *_NUMERIC_OUT,
+                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in _CATEGORICAL_OUT],
             )
         )
     if categorical:
         counts = category_counts(long_form(sided, categorical, CATEGORICAL, by), by)
         parts.append(
-            category_statistics(counts, by, expected).select(
-                *keys, F.lit(CATEGORICAL).alias("kind"), "n_ref", "n_cur", "n_distinct",
-                *[null.alias(c) for c in _NUMERIC_OUT], *_CATEGORICAL_OUT,
+            category_statistics(counts, by, expected).selectExpr(
+                *keys, f"'{CATEGORICAL}' AS kind", "n_ref", "n_cur", "n_distinct",
+                *[f"CAST(NULL AS DOUBLE) AS {c}" for c in _NUMERIC_OUT], *_CATEGORICAL_OUT,
             )
         )
     table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return table.select(
+    return table.selectExpr(
         "*",
-        (F.col("ks_pvalue") < P_LIMIT).alias("ks_drift"),
-        (F.col("psi") > PSI_LIMIT).alias("psi_drift"),
-        (F.col("chi2_pvalue") < P_LIMIT).alias("chi2_drift"),
+        f"ks_pvalue < {P_LIMIT}D AS ks_drift",
+        f"psi > {PSI_LIMIT}D AS psi_drift",
+        f"chi2_pvalue < {P_LIMIT}D AS chi2_drift",
     )
 
 

@@ -12,21 +12,22 @@ from ..session import join_small
 WEIGHTS = ("n_ref", "n_cur")
 
 
-def bin_index(value: Column, lo: Column, hi: Column, width: Column, bins: int) -> Column:
+def bin_sql(value: str, lo: str, hi: str, width: str, bins: int) -> str:
     """Bin of ``value`` among ``bins`` equal bins of ``[lo, hi]``; NULL outside.
 
     Bins are closed on the left, the last one on both sides.  The arithmetic
     guess is corrected against the edges ``lo + i * width`` themselves, so a
     value equal to an edge lands where comparing with the edges puts it.
     """
-    guess = F.floor((value - lo) / width)
+    guess = f"floor(({value} - {lo}) / {width})"
     settled = (
-        guess
-        + (value >= (guess + 1) * width + lo).cast("bigint")
-        - (value < guess * width + lo).cast("bigint")
+        f"{guess} + CAST({value} >= ({guess} + 1) * {width} + {lo} AS INT)"
+        f" - CAST({value} < {guess} * {width} + {lo} AS INT)"
+    )
+    return (
+        f"CASE WHEN {value} >= {lo} AND {value} <= {hi} "
+        f"THEN CAST(least(greatest({settled}, 0), {bins - 1}) AS INT) END"
     )
-    inside = (value >= lo) & (value <= hi)
-    return F.when(inside, F.least(F.greatest(settled, F.lit(0)), F.lit(bins - 1)).cast("int"))
 
 
 def widened(lo: Column, hi: Column) -> tuple[Column, Column]:
@@ -51,8 +52,8 @@ def bin_counts(
     """
     width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
     placed = join_small(weighted, edges.select(*keys, "lo", "hi", width.alias("_width")), keys)
-    index = bin_index(F.col("value"), F.col("lo"), F.col("hi"), F.col("_width"), bins)
-    binned = placed.withColumn("bin", F.coalesce(index, F.lit(-1)))
+    index = bin_sql("value", "lo", "hi", "_width", bins)
+    binned = placed.withColumn("bin", F.expr(f"coalesce({index}, -1)"))
     counts = binned.groupBy(*keys, "bin").agg(*[F.sum(w).alias(w) for w in weights])
     grid = edges.select(
         *keys, "lo", "hi", F.explode(F.sequence(F.lit(-1), F.lit(bins - 1))).alias("bin")

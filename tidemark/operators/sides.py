@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import missing_to_null
-
 IS_REF = "is_ref"
 WEIGHTS = ["n_ref", "n_cur"]
 
@@ -74,11 +72,10 @@ def split_kinds(kinds: Mapping[str, str]) -> tuple[list[str], list[str]]:
 
 
 def _melt(df: DataFrame, keep: Sequence[str], features: Sequence[str], cast: str) -> DataFrame:
-    cells = []
-    for f in features:
-        cell = F.col(f).cast(cast)
-        cells.append((missing_to_null(cell) if cast == "double" else cell).alias(f))
-    return df.select(*keep, *cells).unpivot(list(keep), list(features), "feature", "value")
+    cell = "nanvl(CAST(`{0}` AS DOUBLE), NULL) AS `{0}`" if cast == "double" else "CAST(`{0}` AS STRING) AS `{0}`"
+    return df.selectExpr(
+        *[f"`{k}`" for k in keep], *[cell.format(f) for f in features]
+    ).unpivot(list(keep), list(features), "feature", "value")
 
 
 def long_form(
@@ -91,15 +88,12 @@ def long_form(
     distinct values and only then copied to each group.
     """
     cast = "double" if kind == NUMERIC else "string"
-    cells = _melt(sided, [*by, IS_REF], features, cast).where(F.col("value").isNotNull())
-    ref = F.col(IS_REF).cast("bigint")
+    cells = _melt(sided, [*by, IS_REF], features, cast).where("value IS NOT NULL")
     if not by:
-        return cells.select(
-            "feature", "value", ref.alias("n_ref"), (F.lit(1) - ref).alias("n_cur")
-        )
-    current = cells.where(~F.col(IS_REF)).select(
-        *by, "feature", "value", F.lit(0).cast("bigint").alias("n_ref"),
-        F.lit(1).cast("bigint").alias("n_cur"),
+        ref = f"CAST({IS_REF} AS BIGINT)"
+        return cells.selectExpr("feature", "value", f"{ref} AS n_ref", f"1 - {ref} AS n_cur")
+    current = cells.where(f"NOT {IS_REF}").selectExpr(
+        *by, "feature", "value", "0L AS n_ref", "1L AS n_cur"
     )
     groups = sided.where(~F.col(IS_REF)).select(*by).distinct()
     reference = (
@@ -107,6 +101,6 @@ def long_form(
         .groupBy("feature", "value")
         .agg(F.count(F.lit(1)).alias("n_ref"))
         .crossJoin(groups)
-        .select(*by, "feature", "value", "n_ref", F.lit(0).cast("bigint").alias("n_cur"))
+        .selectExpr(*by, "feature", "value", "n_ref", "0L AS n_cur")
     )
     return current.unionByName(reference)
