@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import sampling as W
+from tidemark.operators.ranks import hash_split
 
 from .common import query, table
 
@@ -40,6 +41,21 @@ def split_stratified(spark, sf):
     return W.stratified_split(df, ["o_orderkey"], "o_orderstatus", 0.3)
 
 
+@query(
+    "sample_per_stratum_deep",
+    f"SELECT o_orderkey, o_orderstatus FROM ({_O}) QUALIFY row_number() OVER (PARTITION BY o_orderstatus ORDER BY h) "
+    "<= floor(count(*) OVER (PARTITION BY o_orderstatus) * 0.25)",
+)
+def sample_per_stratum_deep(spark, sf):
+    """A quarter of each status through the three-pass selection for large tables."""
+    df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    marked = hash_split(
+        df, ["o_orderkey"], 42, {"in": lambda n: F.floor(n * F.lit(0.25))}, ["in"], None, "side",
+        ["o_orderstatus"], deep=True,
+    )
+    return marked.where("side = 'in'").drop("side")
+
+
 @query(
     "split_plain",
     f"SELECT o_orderkey, CASE WHEN row_number() OVER (ORDER BY h) <= (SELECT count(*) - ceil(count(*) * 0.5) FROM orders) "

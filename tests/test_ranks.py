@@ -35,9 +35,10 @@ def test_null_stratum_is_a_stratum(spark):
     assert {r.s: r["count"] for r in got} == {None: 4, "1": 4, "2": 4}
 
 
-def test_hash_split_follows_the_md5_order(spark):
+@pytest.mark.parametrize("deep", [False, True])
+def test_hash_split_follows_the_md5_order(spark, deep):
     df = spark.range(500)
-    marked = hash_split(df, ["id"], 9, {"in": lambda n: F.lit(77)}, ["in"], "out")
+    marked = hash_split(df, ["id"], 9, {"in": lambda n: F.lit(77)}, ["in"], "out", deep=deep)
     order = sorted(range(500), key=lambda i: hashlib.md5(f"9:{i}".encode()).hexdigest())
     assert {r.id for r in marked.where("split = 'in'").collect()} == set(order[:77])
     assert marked.count() == 500

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import hash_fraction
 from ..session import cut_lineage, join_small
-from .ranks import HASH_PARTS, cut_tuples, side_of_cuts, with_hash_order
+from .ranks import cut_tuples, side_of_cuts, with_hash_order
 from .sampling import oversample, sample_rows, swap_rows
 from .sides import NUMERIC, feature_kinds
 
@@ -134,12 +134,12 @@ def flip_labels(
 ) -> DataFrame:
     """Invert a 0/1 label for exactly ``floor(share * matching)`` matching rows."""
     match = F.coalesce(where, F.lit(False))
-    hashed = with_hash_order(df, seed, key).withColumn("_match", match)
+    hashed, order = with_hash_order(df, seed, key)
+    hashed = hashed.withColumn("_match", match)
     cuts = cut_tuples(
-        hashed.where("_match"), HASH_PARTS,
-        {"flip": lambda n: F.floor(n * F.lit(share))}, bounded=HASH_PARTS,
+        hashed.where("_match"), order, {"flip": lambda n: F.floor(n * F.lit(share))}, bounded=order
     )
-    marked = side_of_cuts(hashed, HASH_PARTS, cuts, ["flip"], None, "_side")
+    marked = side_of_cuts(hashed, order, cuts, ["flip"], None, "_side")
     flipped = F.when(
         F.col("_match") & (F.col("_side") == "flip"), F.lit(1) - F.col(label)
     ).otherwise(F.col(label))

@@ -133,20 +133,29 @@ def side_of_cuts(
 HASH_PARTS = ["_h1", "_h2", "_h3"]
 
 
-def with_hash_order(df: DataFrame, seed: int | str, key: Sequence[str]) -> DataFrame:
-    """Add the MD5 order as three columns: two of 4096 values each, and the tail.
-
-    The first two passes of a selection thus count at most 4096 values each, and
-    the third sees one row in sixteen million.
+def with_hash_order(
+    df: DataFrame, seed: int | str, key: Sequence[str], deep: bool | str = "auto"
+) -> tuple[DataFrame, list[str]]:
+    """Add the MD5 order of ``key`` and name the columns that hold it.
+
+    A large table gets three columns, two of 4096 values each and the tail: the
+    first two passes of a selection then count at most 4096 values each and the
+    third sees one row in sixteen million.  A table that fits one lane is
+    ordered by the whole digest in one pass.
     """
     digest = row_key(seed, *key)
-    return (
-        df.withColumn("_h", digest)
-        .withColumn("_h1", F.substring("_h", 1, 3))
-        .withColumn("_h2", F.substring("_h", 4, 3))
-        .withColumn("_h3", F.substring("_h", 7, 26))
-        .drop("_h")
+    if deep == "auto":
+        deep = needs_lanes(df)
+    if not deep:
+        return df.withColumn("_h1", digest), ["_h1"]
+    parts = df.withColumn("_h", digest).withColumns(
+        {
+            "_h1": F.substring("_h", 1, 3),
+            "_h2": F.substring("_h", 4, 3),
+            "_h3": F.substring("_h", 7, 26),
+        }
     )
+    return parts.drop("_h"), HASH_PARTS
 
 
 def hash_split(
@@ -158,11 +167,12 @@ def hash_split(
     rest: str | None,
     column: str = "split",
     strata: Sequence[str] = (),
+    deep: bool | str = "auto",
 ) -> DataFrame:
     """Split rows at exact counts along the pseudo-random MD5 order of ``key``."""
-    hashed = with_hash_order(df, seed, key)
-    found = cut_tuples(hashed, HASH_PARTS, cuts, strata, bounded=HASH_PARTS)
-    return side_of_cuts(hashed, HASH_PARTS, found, names, rest, column, strata).drop(*HASH_PARTS)
+    hashed, order = with_hash_order(df, seed, key, deep)
+    found = cut_tuples(hashed, order, cuts, strata, bounded=order)
+    return side_of_cuts(hashed, order, found, names, rest, column, strata).drop(*order)
 
 
 def first_rows(

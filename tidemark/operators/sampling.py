@@ -16,7 +16,7 @@ from pyspark.sql.window import Window
 from ..functions.keys import row_key
 from ..session import at_most, join_small
 from .ranks import (
-    HASH_PARTS, MAX_STRATA, cut_tuples, first_rows, hash_split, side_of_cuts, with_hash_order,
+    MAX_STRATA, cut_tuples, first_rows, hash_split, side_of_cuts, with_hash_order,
 )
 
 
@@ -204,10 +204,11 @@ def priority_fill(
     df: DataFrame, key: Sequence[str], preferred: Column, size: int, seed: int = 42
 ) -> DataFrame:
     """Rows satisfying ``preferred`` first, topped up from the rest."""
-    ranked = with_hash_order(df, seed, key).withColumn(
+    hashed, parts = with_hash_order(df, seed, key)
+    ranked = hashed.withColumn(
         "_rank", F.when(F.coalesce(preferred, F.lit(False)), 0).otherwise(1)
     )
-    order = ["_rank", *HASH_PARTS]
+    order = ["_rank", *parts]
     cuts = cut_tuples(ranked, order, {"in": lambda n: F.lit(size)}, bounded=order)
     marked = side_of_cuts(ranked, order, cuts, ["in"], None, "_side")
     return marked.where("_side = 'in'").drop("_side", *order)
