@@ -32,11 +32,18 @@ MAX_GROUPS = 1_000_000
 
 
 def _quoted(name: str) -> str:
-    return name.replace("\\", "\\\\").replace("'", "\\'")
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name_of(features: Sequence[str]) -> str:
+    """SQL that turns the position of a feature back into its name."""
+    return f"get(array({', '.join(_quoted(f) for f in features)}), feature) AS feature"
 
 
 # --------------------------------------------------------------------- moments
-def side_moments(sided: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def side_moments(
+    sided: DataFrame, features: Sequence[str], by: Sequence[str] = (), coded: bool = False
+) -> DataFrame:
     """``(by..., is_ref, feature, n, mean, std_samp, std_pop, lo, hi)``.
 
     One aggregation with all features side by side: cells are not melted, and
@@ -58,7 +65,7 @@ def side_moments(sided: DataFrame, features: Sequence[str], by: Sequence[str] =
     )
     # the sample deviation is undefined for a single value
     rows = ", ".join(
-        f"named_struct('feature', '{_quoted(f)}', 'n', n{i}, 'mean', mean{i}, "
+        f"named_struct('feature', {i if coded else _quoted(f)}, 'n', n{i}, 'mean', mean{i}, "
         f"'std_samp', IF(n{i} > 1, sp{i} * sqrt(n{i} / (n{i} - 1D)), NULL), 'std_pop', sp{i}, "
         f"'lo', lo{i}, 'hi', hi{i})"
         for i, f in enumerate(features)
@@ -70,9 +77,11 @@ _MOMENTS = ["n", "mean", "std_samp", "std_pop", "lo", "hi"]
 PAIR_COLUMNS = [f"{side}_{m}" for side in ("ref", "cur") for m in _MOMENTS]
 
 
-def paired_moments(sided: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+def paired_moments(
+    sided: DataFrame, features: Sequence[str], by: Sequence[str] = (), coded: bool = False
+) -> DataFrame:
     """Reference and current moments on one row; features empty on a side drop out."""
-    both = side_moments(sided, features, by)
+    both = side_moments(sided, features, by, coded)
     if not by:
         pairs = both.groupBy("feature").agg(
             *[
@@ -83,7 +92,7 @@ def paired_moments(sided: DataFrame, features: Sequence[str], by: Sequence[str]
         )
     else:
         # every group of current rows meets the one reference
-        reference = side_moments(sided.where(IS_REF), features)
+        reference = side_moments(sided.where(IS_REF), features, coded=coded)
         ref = reference.selectExpr("feature", *[f"{m} AS ref_{m}" for m in _MOMENTS])
         cur = both.where(f"NOT {IS_REF}").selectExpr(
             *by, "feature", *[f"{m} AS cur_{m}" for m in _MOMENTS]
@@ -376,8 +385,8 @@ def numeric_table(
         raise ValueError(f"unknown metrics: {sorted(unknown)}")
     keys = [*by, "feature"]
     ranked = "ks" in metrics or "wasserstein" in metrics
-    pairs = paired_moments(sided, features, by)
-    cells = long_form(sided, features, NUMERIC, by)
+    pairs = paired_moments(sided, features, by, coded=True)
+    cells = long_form(sided, features, NUMERIC, by, coded=True)
     if ranked:
         use_lanes = needs_lanes(sided) if lanes == "auto" else bool(lanes)
         cells = distinct_values(cells, by)
@@ -414,7 +423,8 @@ def numeric_table(
         return (F.expr(column) if isinstance(column, str) else column).alias(name)
 
     return table.select(
-        *keys,
+        *by,
+        F.expr(_name_of(features)),
         F.expr("ref_n AS n_ref"),
         F.expr("cur_n AS n_cur"),
         "n_distinct",
@@ -469,10 +479,10 @@ def feature_table(
             )
         )
     if categorical:
-        counts = category_counts(long_form(sided, categorical, CATEGORICAL, by), by)
+        cells = long_form(sided, categorical, CATEGORICAL, by, coded=True)
         parts.append(
-            category_statistics(counts, by, expected).selectExpr(
-                *keys, f"'{CATEGORICAL}' AS kind", "n_ref", "n_cur", "n_distinct",
+            category_statistics(category_counts(cells, by), by, expected).selectExpr(
+                *by, _name_of(categorical), f"'{CATEGORICAL}' AS kind", "n_ref", "n_cur", "n_distinct",
                 *[f"CAST(NULL AS DOUBLE) AS {c}" for c in _NUMERIC_OUT], *_CATEGORICAL_OUT,
             )
         )

@@ -14,8 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import at_most, join_small
+
 IS_REF = "is_ref"
 WEIGHTS = ["n_ref", "n_cur"]
+MAX_GROUPS = 10_000
 
 NUMERIC = "numeric"
 CATEGORICAL = "categorical"
@@ -78,29 +81,41 @@ def _melt(df: DataFrame, keep: Sequence[str], features: Sequence[str], cast: str
     ).unpivot(list(keep), list(features), "feature", "value")
 
 
+def _melt_coded(df: DataFrame, keep: Sequence[str], features: Sequence[str], cast: str) -> DataFrame:
+    """Like :func:`_melt`, with the position of the feature instead of its name."""
+    cell = "nanvl(CAST(`{0}` AS DOUBLE), NULL)" if cast == "double" else "CAST(`{0}` AS STRING)"
+    cells = ", ".join(cell.format(f) for f in features)
+    return df.selectExpr(*[f"`{k}`" for k in keep], f"posexplode(array({cells})) AS (feature, value)")
+
+
 def long_form(
-    sided: DataFrame, features: Sequence[str], kind: str, by: Sequence[str] = ()
+    sided: DataFrame, features: Sequence[str], kind: str, by: Sequence[str] = (),
+    coded: bool = False,
 ) -> DataFrame:
     """Cells of the chosen features with side weights; missing cells are dropped.
 
     With ``by`` the current rows belong to several groups (batches) that are all
     compared with the same reference.  The reference is first collapsed to
-    distinct values and only then copied to each group.
+    distinct values and only then copied to each group.  ``coded`` identifies a
+    feature by its position, which keeps names out of every shuffle.
     """
     cast = "double" if kind == NUMERIC else "string"
-    cells = _melt(sided, [*by, IS_REF], features, cast).where("value IS NOT NULL")
+    melt = _melt_coded if coded else _melt
+    cells = melt(sided, [*by, IS_REF], features, cast).where("value IS NOT NULL")
     if not by:
         ref = f"CAST({IS_REF} AS BIGINT)"
         return cells.selectExpr("feature", "value", f"{ref} AS n_ref", f"1 - {ref} AS n_cur")
     current = cells.where(f"NOT {IS_REF}").selectExpr(
         *by, "feature", "value", "0L AS n_ref", "1L AS n_cur"
     )
-    groups = sided.where(~F.col(IS_REF)).select(*by).distinct()
+    groups = at_most(
+        sided.where(~F.col(IS_REF)).select(*by).distinct(), MAX_GROUPS, "groups of one comparison"
+    )
     reference = (
-        cells.where(IS_REF)
-        .groupBy("feature", "value")
-        .agg(F.count(F.lit(1)).alias("n_ref"))
-        .crossJoin(groups)
+        join_small(
+            cells.where(IS_REF).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n_ref")),
+            groups, [],
+        )
         .selectExpr(*by, "feature", "value", "n_ref", "0L AS n_cur")
     )
     return current.unionByName(reference)

@@ -68,12 +68,13 @@ def join_small(
 def at_most(df: DataFrame, rows: int, what: str) -> DataFrame:
     """Pass a table through, failing the query if it has more than ``rows`` rows.
 
-    Used on tables whose size depends on the data (class labels) before they
-    are broadcast.  The check is part of the plan; it starts no job.
+    Used on tables whose size depends on the data (class labels, groups) before
+    they are broadcast.  The check is part of the plan: it starts no job, and it
+    never moves more than ``rows + 1`` rows into one task.
     """
     everything = Window.partitionBy(F.lit(0))
     fits = F.when(
         F.count(F.lit(1)).over(everything) > rows,
         F.raise_error(F.lit(f"{what}: more than {rows} rows, refusing to broadcast")),
     ).otherwise(F.lit(True))
-    return df.withColumn("_fits", fits).where("_fits").drop("_fits")
+    return df.limit(rows + 1).withColumn("_fits", fits).where("_fits").drop("_fits")
