@@ -45,6 +45,17 @@ def drift_ks(spark, sf):
     )
 
 
+@query("drift_ks_exact")
+def drift_ks_exact(spark, sf):
+    """Exact p-values for batches of up to 10,000 rows (checked by brute force in the tests)."""
+    t = D.feature_table(
+        events_by_batch(spark, sf), EV_KINDS, by=["batch_number"], metrics=("ks",), exact_ks_rows=10_000
+    )
+    return t.where("kind = 'numeric'").select(
+        "batch_number", "feature", "n_ref", "n_cur", "ks_statistic", "ks_pvalue", "ks_drift"
+    )
+
+
 @query("drift_wasserstein", f"{LI} SELECT feature, round(wd, 6) AS wasserstein FROM rk")
 def drift_wasserstein(spark, sf):
     t = D.rank_statistics(D.distinct_values(_numeric_cells(lineitem_sides(spark, sf))))

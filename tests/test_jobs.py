@@ -180,3 +180,35 @@ def test_shared_dir_follows_the_cluster_setting():
                 return {"spark.checkpoint.dir": "hdfs://shared/scratch/"}.get(key, default)
 
     assert shared_dir(Session, "x").startswith("hdfs://shared/scratch/x-")
+
+
+def test_score_requests(spark):
+    """Requests are checked, cleaned, encoded and scored; bad ones come back."""
+    from tidemark import schema as S
+    from tidemark.operators import cleaning as K
+
+    columns = [
+        *[f"CAST(id % 9 + 1 AS INT) AS `{c}`" for c in S.INTEGER_FIELDS],
+        *[f"'No' AS `{c}`" for c in S.DRUG_FIELDS],
+        "IF(id % 2 = 0, 'Female', 'Male') AS gender", "'[50-60)' AS age", "'Ch' AS change",
+        "'Yes' AS diabetesMed", "IF(id % 5 = 0, '?', 'Asian') AS race", "'250' AS diag_1",
+        "CAST(NULL AS STRING) AS diag_2", "'401' AS diag_3", "CAST(NULL AS STRING) AS max_glu_serum",
+        "'Norm' AS A1Cresult",
+    ]
+    requests = spark.range(60).selectExpr("id", *columns)
+    ready = K.rename_to_stored(K.featurise(K.clean(requests))).drop("age", "id")
+    numeric, categorical = M.default_features(ready)
+    assert "glyburide-metformin" in categorical and "age_ordinal" in numeric
+    encoder = M.fit_encoder(ready, numeric, categorical)
+    train = T.with_class_weights(
+        encoder.transform(ready.withColumn("label", (F.col("num_medications") > 4).cast("double")))
+    )
+    model = T.logistic_regression(60, maxIter=5).fit(train)
+    bad = requests.where("id < 3").withColumn("gender", F.lit(None).cast("string"))
+    scored, rejected = jobs.score_requests(
+        requests.where("id >= 3").unionByName(bad), encoder, model, ["id"]
+    )
+    rows = scored.collect()
+    assert scored.columns == ["id", "prediction", "probability_score"]
+    assert len(rows) == 57 and all(0 < r.probability_score < 1 for r in rows)
+    assert {r.id for r in rejected.collect()} == {0, 1, 2}

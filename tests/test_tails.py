@@ -1,8 +1,11 @@
+import itertools
 import math
 
 import pytest
 
-from tidemark.functions.tails import chi2_tail, erfc, kolmogorov_tail, normal_two_sided
+from tidemark.functions.tails import (
+    chi2_tail, erfc, exact_kolmogorov, exact_kolmogorov_tail, kolmogorov_tail, normal_two_sided,
+)
 
 
 def test_erfc_matches_the_library_function(spark):
@@ -48,3 +51,26 @@ def test_kolmogorov_tail_limits(spark):
     assert zero == 1.0
     assert middle == pytest.approx(0.18701855223717942, abs=1e-12)
     assert one == pytest.approx(0.0, abs=1e-12)
+
+
+@pytest.mark.parametrize(("n", "m"), [(1, 1), (3, 2), (4, 4), (5, 3), (6, 5)])
+def test_exact_kolmogorov_counts_interleavings(n, m):
+    def distance(first):
+        i = j = 0
+        worst = 0.0
+        for k in range(n + m):
+            i, j = (i + 1, j) if k in first else (i, j + 1)
+            worst = max(worst, abs(i / n - j / m))
+        return worst
+
+    all_distances = [distance(set(c)) for c in itertools.combinations(range(n + m), n)]
+    for d in sorted(set(all_distances)):
+        expected = sum(x >= d - 1e-12 for x in all_distances) / len(all_distances)
+        assert exact_kolmogorov(d, n, m) == pytest.approx(expected)
+
+
+def test_exact_tail_only_below_the_limit(spark):
+    df = spark.createDataFrame([(0.5, 10, 10), (0.5, 10, 2000), (None, 5, 5)], "d double, n long, m long")
+    got = [r.p for r in df.select("m", exact_kolmogorov_tail("d", "n", "m", 100).alias("p")).orderBy("m").collect()]
+    assert got[0] is None and got[2] is None
+    assert got[1] == pytest.approx(exact_kolmogorov(0.5, 10, 10))

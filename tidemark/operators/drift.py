@@ -15,7 +15,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tails import chi2_tail, kolmogorov_tail, normal_two_sided
+from ..functions.tails import (
+    chi2_tail, exact_kolmogorov_tail, kolmogorov_tail, normal_two_sided,
+)
 from ..session import at_most, join_small
 from .histogram import bin_sql
 from .prefix import collapse, needs_lanes, running_totals
@@ -371,6 +373,7 @@ def numeric_table(
     metrics: Sequence[str] = NUMERIC_METRICS,
     corrected: bool = True,
     lanes: bool | str = "auto",
+    exact_ks_rows: int = 0,
 ) -> DataFrame:
     """All numeric metrics per feature in one chain.
 
@@ -417,6 +420,12 @@ def numeric_table(
     )
     table = _attach(table, pairs, by, shuffled=True)
 
+    p_value = kolmogorov_tail("ks", "ref_n", "cur_n", corrected)
+    if exact_ks_rows and "ks" in metrics:
+        exact = exact_kolmogorov_tail("ks", "ref_n", "cur_n", exact_ks_rows)
+        table = table.withColumn("_exact", exact)
+        p_value = F.coalesce(F.col("_exact"), p_value)
+
     def shown(metric: str, column: Column | str, name: str) -> Column:
         if metric not in metrics:
             return F.expr(f"CAST(NULL AS DOUBLE) AS {name}")
@@ -429,7 +438,7 @@ def numeric_table(
         F.expr("cur_n AS n_cur"),
         "n_distinct",
         shown("ks", "ks", "ks_statistic"),
-        shown("ks", kolmogorov_tail("ks", "ref_n", "cur_n", corrected), "ks_pvalue"),
+        shown("ks", p_value, "ks_pvalue"),
         shown("wasserstein", "area", "wasserstein"),
         shown("wasserstein", f"area / greatest(ref_std_pop, {STD_FLOOR}D)", "wasserstein_normed"),
         shown("psi", psi_of_cells("_cells"), "psi"),
@@ -457,11 +466,14 @@ def feature_table(
     expected: str = "scaled",
     corrected: bool = True,
     lanes: bool | str = "auto",
+    exact_ks_rows: int = 0,
 ) -> DataFrame:
     """One row per feature with every drift metric and the per-test flags.
 
     ``metrics`` and ``max_features`` give the light variant.  A metric that was
-    not asked for, or does not apply to the kind, is NULL.
+    not asked for, or does not apply to the kind, is NULL.  KS p-values are
+    asymptotic; features whose sides both have at most ``exact_ks_rows`` rows get
+    the exact one.
     """
     kinds = dict(features) if features is not None else feature_kinds(sided, exclude=list(by))
     if max_features is not None:
@@ -473,7 +485,9 @@ def feature_table(
     parts = []
     if numeric:
         parts.append(
-            numeric_table(sided, numeric, by, metrics, corrected, lanes).selectExpr(
+            numeric_table(
+                sided, numeric, by, metrics, corrected, lanes, exact_ks_rows
+            ).selectExpr(
                 *keys, f"'{NUMERIC}' AS kind", "n_ref", "n_cur", "n_distinct", *_NUMERIC_OUT,
                 *[f"CAST(NULL AS DOUBLE) AS {c}" for c in _CATEGORICAL_OUT],
             )
