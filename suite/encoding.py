@@ -96,7 +96,7 @@ def _training(spark, sf):
     held = hash_fraction(42, "l_orderkey") < 0.3
     model = M.fit_encoder(rows.where(~held), NUMERIC, TEXT)
     vectors = T.with_class_weights(model.transform(rows).select("l_orderkey", "label", "features"))
-    return vectors.where(~held), vectors.where(held)
+    return T.spread_for_training(vectors.where(~held)), vectors.where(held)
 
 
 @query("train_score_lr")

@@ -34,6 +34,17 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     ).drop("_n", "_n1")
 
 
+def spread_for_training(df: DataFrame) -> DataFrame:
+    """Keep the training rows for the many passes of a fit, on all cores.
+
+    Adaptive execution coalesces by size, which leaves a small but compute-heavy
+    table in a few tasks.  Tables with enough partitions are left as they are.
+    """
+    kept = df.persist()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return kept if kept.rdd.getNumPartitions() >= cores else kept.repartition(cores).persist()
+
+
 def logistic_regression(rows: int, inverse_penalty: float = 1.0, **params) -> LogisticRegression:
     """L2 logistic regression on already scaled features.
 
