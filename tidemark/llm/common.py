@@ -54,7 +54,7 @@ def write_file(path: str, parts: list[bytes]) -> None:
 
     store, where = fs.FileSystem.from_uri(path)
     store.create_dir(where.rsplit("/", 1)[0], recursive=True)
-    with store.open_output_stream(where) as out:
+    with store.open_output_stream(where, compression=None) as out:
         for part in parts:
             out.write(part)
 
@@ -110,6 +110,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+_POWER: dict[int, np.ndarray] = {}
+
+
+def powers(base: int, n: int) -> np.ndarray:
+    """A view of the first ``n`` powers, kept between batches."""
+    if len(_POWER.get(base, ())) < n:
+        _POWER[base] = _powers(base, 1 << max(21, int(n).bit_length()))
+    return _POWER[base][:n]
+
+
+_UNBASE = pow(_BASE, -1, 1 << 64)
+
+
 class Words:
     """Word hashes of a batch of texts, computed over one byte buffer.
 
@@ -130,12 +143,12 @@ class Words:
         word = ~_SPACE[data]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).view(np.int8)))
         self.start, self.end = edge[0::2], edge[1::2]
-        power = _powers(_BASE, len(data) + 1)
+        power = powers(_BASE, len(data) + 1)
         total = np.concatenate(
             ([np.uint64(0)], np.cumsum(_BYTE_CODES[_LOWER[data]] * power[:-1], dtype=np.uint64))
         )
         # dividing by base**start makes equal words equal wherever they stand
-        back = _powers(pow(_BASE, -1, 1 << 64), len(data) + 1)
+        back = powers(_UNBASE, len(data) + 1)
         self.hash = mix(
             (total[self.end] - total[self.start]) * back[self.start]
             + (self.end - self.start).astype(np.uint64)

@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import functools
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ORACLE, QUERIES, table
 
+_ROOT = str(Path(__file__).resolve().parents[2])
 __all__ = ["ORACLE", "QUERIES"]
 
 
 def query(name: str, sql: str | None = None):
     def register(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            # Python workers of a local session import this package from where it lies
+            spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -43,3 +53,27 @@ def op4(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     cut = packing.pieces(docs, vocabulary("byte_bpe_50k.json"), end_id=0, capacity=2048)
     return packing.pack(cut.drop("ids"), 2048)
+
+
+@query("op9_warc")
+def op9(spark, sf_dir):
+    """All pages through archives with revisit records and back."""
+    from tidemark.llm import warc
+
+    folder, listed = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, folder, listed).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query("op10_quality")
+def op10(spark, sf_dir):
+    """Quality scores of all documents, learnt outside the held-out fold."""
+    from tidemark.llm import quality
+
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    scored = quality.classify(table(spark, sf_dir, "documents"), labels)
+    return scored.select(
+        "doc_id", (quality.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
