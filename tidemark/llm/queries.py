@@ -77,3 +77,11 @@ def op10(spark, sf_dir):
         "doc_id", (quality.fold(F.col("doc_id")) == 0).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query("op3_neardup")
+def op3(spark, sf_dir):
+    """Components of documents that share four fifths of their four-word shingles."""
+    from tidemark.llm import neardup
+
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
