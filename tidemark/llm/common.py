@@ -198,6 +198,66 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Ite
         lo = hi
 
 
+# --- a filter of fixed size ----------------------------------------------------------------
+
+_FILTER_BITS = 26
+
+
+def _positions(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h = mix(ids.astype(np.int64).view(np.uint64))
+    low = np.uint64((1 << _FILTER_BITS) - 1)
+    return (h & low).astype(np.int64), ((h >> np.uint64(32)) & low).astype(np.int64)
+
+
+def filter_of(ids: DataFrame) -> bytes:
+    """A Bloom filter of fixed size (8 MB) over the first column, put together from 64 slices.
+
+    It only saves work: values that it lets through by chance are dropped by the
+    join that follows.
+    """
+    bits = 20
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, q = _positions(batch.column(0).to_numpy())
+            at = np.unique(np.concatenate((p, q)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((at >> bits).astype(np.int32)), pa.array(at)], names=["slice", "at"]
+            )
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch.column("at").to_numpy()
+            for s in np.unique(at >> bits):
+                mine = held.setdefault(int(s), np.zeros(1 << bits, dtype=bool))
+                mine[at[(at >> bits) == s] & ((1 << bits) - 1)] = True
+        for s, mine in held.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s], pa.int32()), pa.array([np.packbits(mine).tobytes()])],
+                names=["slice", "bits"],
+            )
+
+    found = np.zeros(1 << _FILTER_BITS, dtype=bool)
+    slices = (
+        ids.select(F.col(ids.columns[0]).cast("long")).mapInArrow(hashed, "slice int, at long")
+        .repartition(16, "slice").mapInArrow(fill, "slice int, bits binary")
+    )
+    for row in slices.toLocalIterator():
+        lo = row["slice"] << bits
+        found[lo : lo + (1 << bits)] |= np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
+    return np.packbits(found).tobytes()
+
+
+def in_filter(bits: bytes, values: np.ndarray) -> np.ndarray:
+    """Which values may be in the filter."""
+    held = np.frombuffer(bits, np.uint8)
+    hit = np.ones(len(values), dtype=bool)
+    for at in _positions(values):
+        hit &= (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+    return hit
+
+
 # --- connected components -------------------------------------------------------------------
 
 

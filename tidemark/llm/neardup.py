@@ -28,7 +28,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Words, components, mix, saved, shingle_sets, text_slices
+from tidemark.llm.common import (
+    Words,
+    components,
+    filter_of,
+    in_filter,
+    mix,
+    saved,
+    shingle_sets,
+    text_slices,
+)
 
 CHUNK = 5
 SYMBOLS = 80
@@ -37,7 +46,6 @@ RADIUS = 2 * (SYMBOLS // CHUNK) - 1
 DRAWS = 4
 #: Members that are confirmed against one class in a single task.
 MEMBERS_PER_TASK = 2000
-_FILTER_BITS = 26
 
 _FACTORS = np.random.default_rng(80).integers(1, 2**63, SYMBOLS, dtype=np.int64).astype(
     np.uint64
@@ -210,67 +218,14 @@ def open_pairs(near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     return met.select(F.col("b.id").alias("a"), F.col("a.id").alias("b")).distinct()
 
 
-def _positions(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h = mix(ids.astype(np.int64).view(np.uint64))
-    low = np.uint64((1 << _FILTER_BITS) - 1)
-    return (h & low).astype(np.int64), ((h >> np.uint64(32)) & low).astype(np.int64)
-
-
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A Bloom filter of fixed size (8 MB) over ``ids (id)``, put together from 64 slices.
-
-    It only saves work: documents that it lets through by chance are dropped by
-    the join that follows.
-    """
-    bits = 20
-
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            p, q = _positions(batch.column(0).to_numpy())
-            at = np.unique(np.concatenate((p, q)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((at >> bits).astype(np.int32)), pa.array(at)], names=["slice", "at"]
-            )
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-        for batch in batches:
-            at = batch.column("at").to_numpy()
-            for s in np.unique(at >> bits):
-                mine = held.setdefault(int(s), np.zeros(1 << bits, dtype=bool))
-                mine[at[(at >> bits) == s] & ((1 << bits) - 1)] = True
-        for s, mine in held.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s], pa.int32()), pa.array([np.packbits(mine).tobytes()])],
-                names=["slice", "bits"],
-            )
-
-    found = np.zeros(1 << _FILTER_BITS, dtype=bool)
-    slices = (
-        ids.select("id").mapInArrow(hashed, "slice int, at long")
-        .repartition(16, "slice").mapInArrow(fill, "slice int, bits binary")
-    )
-    for row in slices.toLocalIterator():
-        lo = row["slice"] << bits
-        found[lo : lo + (1 << bits)] |= np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
-    return np.packbits(found)
-
-
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``(id, found)``: the shingle sets of the documents that ``ids (id)`` names."""
     context = docs.sparkSession.sparkContext
-    shipped = context.broadcast(id_filter(ids).tobytes())
-
-    def wanted(doc_ids: np.ndarray) -> np.ndarray:
-        bits = np.frombuffer(shipped.value, np.uint8)
-        hit = np.ones(len(doc_ids), dtype=bool)
-        for at in _positions(doc_ids):
-            hit &= (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-        return hit
+    shipped = context.broadcast(filter_of(ids))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(wanted(batch.column("doc_id").to_numpy())))
+            batch = batch.filter(pa.array(in_filter(shipped.value, batch.column("doc_id").to_numpy())))
             for part in text_slices(batch, "text"):
                 found = [s.tobytes() for s in shingle_sets(Words(part.column("text").to_pylist()), width)]
                 yield pa.RecordBatch.from_arrays(

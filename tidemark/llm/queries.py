@@ -85,3 +85,11 @@ def op3(spark, sf_dir):
     from tidemark.llm import neardup
 
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
+
+
+@query("op6_tiling")
+def op6(spark, sf_dir):
+    """Documents that contain benchmark items, with the share of the item that is covered."""
+    from tidemark.llm import tiling
+
+    return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
