@@ -93,3 +93,12 @@ def op6(spark, sf_dir):
     from tidemark.llm import tiling
 
     return tiling.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op7_pii")
+def op7(spark, sf_dir):
+    """Personal data in all documents."""
+    from tidemark.llm import pii
+
+    docs = table(spark, sf_dir, "documents")
+    return pii.spans(docs, pii.fit(docs))
