@@ -102,3 +102,11 @@ def op7(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return pii.spans(docs, pii.fit(docs))
+
+
+@query("op8_hnsw")
+def op8(spark, sf_dir):
+    """The ten nearest rows of every hundredth embedding."""
+    from tidemark.llm import hnsw
+
+    return hnsw.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
