@@ -110,3 +110,11 @@ def op8(spark, sf_dir):
     from tidemark.llm import hnsw
 
     return hnsw.neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+@query("op5_wrapper")
+def op5(spark, sf_dir):
+    """Main text of all pages."""
+    from tidemark.llm import wrapper
+
+    return wrapper.main_texts(table(spark, sf_dir, "pages"))
