@@ -118,3 +118,11 @@ def op5(spark, sf_dir):
     from tidemark.llm import wrapper
 
     return wrapper.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op2_sharding")
+def op2(spark, sf_dir):
+    """All documents in sixteen shards of even counts, copies together."""
+    from tidemark.llm import sharding
+
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=16)
