@@ -1,19 +1,76 @@
-"""From raw documents to packed training sequences."""
+"""From raw documents to packed training sequences.
+
+Every stage works on all rows that its predecessor kept.  All but the last
+return the columns of the documents; rows are dropped whole, and the personal
+data stage replaces spans in ``text`` and renews ``n_chars``.  A null text
+counts as empty, a row without ``doc_id`` passes the stages that drop by id.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import neardup, packing, pii, quality, tiling
+from tidemark.llm.common import saved, without
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose quality score is below 0.3."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = labels.select("doc_id", F.col("quality").alias("label"))
+    found = saved(quality.features(docs), "statistics")
+    return quality.accepted(docs, quality.fit(found, labels), least=0.3)
+
+
+def neardup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near copies."""
+    found = neardup.near_duplicates(docs, width=5, percent=80)
+    return without(docs, found.where("NOT kept").select("doc_id"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that contain a benchmark item, in one piece or reordered."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return without(docs, tiling.contaminated(docs, benchmark).select("doc_id"))
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by the name of its kind."""
+    clean = pii.masked(docs, pii.fit(docs))
+    if "n_chars" not in docs.columns:
+        return clean
+    kind = docs.schema["n_chars"].dataType
+    return clean.withColumn(
+        "n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+    )
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack all documents into sequences of at most 2048 tokens."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    cut = packing.pieces(docs, path, end_id=0, capacity=2048)
+    return packing.pack(cut.drop("ids"), 2048)
+
 
-STAGES: list = []
+STAGES = [
+    ("quality", quality_stage),
+    ("neardup", neardup_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("packing", packing_stage),
+]
 
-#: SQL cannot express trained scores and token ids; tests/llm holds a brute-force version.
+#: SQL expresses neither trained scores nor token ids; tests/llm has a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written and read again."""
-    from tidemark.llm.common import saved
+    from tidemark.llm.queries import importable
 
+    importable(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), name)

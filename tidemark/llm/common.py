@@ -258,6 +258,29 @@ def in_filter(bits: bytes, values: np.ndarray) -> np.ndarray:
     return hit
 
 
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``doc_id`` is in ``ids (doc_id)``; null ids stay.
+
+    Rows outside the filter are surely kept and never shuffled; only those it
+    lets through meet the ids in a join.
+    """
+    ids = saved(ids.select(F.col("doc_id").cast("long")).where("doc_id IS NOT NULL").distinct(), "dropped")
+    shipped = docs.sparkSession.sparkContext.broadcast(filter_of(ids))
+    at = docs.columns.index("doc_id")
+
+    def side(maybe: bool):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                column = batch.column(at)
+                hit = in_filter(shipped.value, column.fill_null(0).to_numpy(zero_copy_only=False))
+                hit &= column.is_valid().to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(hit == maybe))
+
+        return docs.mapInArrow(pick, docs.schema)
+
+    return side(False).union(side(True).join(ids, "doc_id", "left_anti").select(*docs.columns))
+
+
 # --- connected components -------------------------------------------------------------------
 
 

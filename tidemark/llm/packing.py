@@ -36,7 +36,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, spaced:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, spaced)
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 23):
+            for part in text_slices(batch, "text", 1 << 22):
                 ids, bounds = own.encode(part.column("text"))
                 size = np.diff(bounds) + 1
                 whole = np.full(len(ids) + len(size), end_id, dtype="<u4")

@@ -277,6 +277,19 @@ def scores(found: DataFrame, model: Model) -> DataFrame:
     return found.mapInArrow(score, "doc_id long, score double")
 
 
+def accepted(docs: DataFrame, model: Model, least: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` whose text scores at least ``least``, scored where they are read."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "text"):
+                score = model.score(statistics(part.column(at).to_pylist()))
+                yield part.filter(pa.array(score >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, score)`` for all documents, fitted on those with a ``label``.
 

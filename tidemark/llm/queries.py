@@ -13,12 +13,16 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 __all__ = ["ORACLE", "QUERIES"]
 
 
+def importable(spark) -> None:
+    """Let the Python workers of a local session import this package from where it lies."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+
+
 def query(name: str, sql: str | None = None):
     def register(fn):
         @functools.wraps(fn)
         def run(spark, sf_dir):
-            # Python workers of a local session import this package from where it lies
-            spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
+            importable(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run

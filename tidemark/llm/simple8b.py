@@ -31,7 +31,8 @@ BLOCK = 1024
 COUNTS = np.array([120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
-IDS_PER_FILE = 4_000_000
+_LIMITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
+IDS_PER_FILE = 1_000_000
 _HEAD = struct.Struct("<8sQQQQI")
 _MAGIC = b"IDS8B001"
 
@@ -46,27 +47,29 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if n == 0:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
-    at = np.arange(n)
-    stop = np.minimum((at // BLOCK + 1) * BLOCK, n)
-    width = np.searchsorted(np.uint64(1) << np.arange(64, dtype=np.uint64), ids, side="right")
-    choice = np.full(n, ESCAPE, dtype=np.int8)
-    step = np.ones(n, dtype=np.int64)
+    blocks = -(-n // BLOCK)
+    # a row per block; the zeros behind its end fit into any word
+    width = np.zeros((blocks, BLOCK + int(COUNTS.max())), dtype=np.uint8)
+    flat = np.zeros(blocks * BLOCK, dtype=np.uint8)
+    flat[:n] = np.searchsorted(_LIMITS, ids, side="right")
+    width[:, :BLOCK] = flat.reshape(blocks, BLOCK)
+    choice = np.full((blocks, BLOCK), ESCAPE, dtype=np.uint8)
+    seen = np.zeros((blocks, width.shape[1] + 1), dtype=np.int16)
     for selector in range(len(COUNTS) - 1, -1, -1):
         wide = width > WIDTHS[selector]
-        if wide.all():
-            break
-        # the next id that is too wide, or the end of the block
-        reach = np.minimum.accumulate(np.where(wide, at, n)[::-1])[::-1]
-        fits = ~wide & ((reach - at >= COUNTS[selector]) | (reach >= stop))
-        choice[fits] = selector
-        step[fits] = COUNTS[selector]
+        np.cumsum(wide, axis=1, dtype=np.int16, out=seen[:, 1:])
+        count = COUNTS[selector]
+        choice[seen[:, count : count + BLOCK] == seen[:, :BLOCK]] = selector
+    choice = choice.ravel()
+    stop = np.minimum((np.arange(blocks) + 1) * BLOCK, n)
+    steps = np.append(COUNTS, 1)
     # follow the chain of words in all blocks side by side
     here = np.arange(0, n, BLOCK)
     starts = []
     while len(here):
         starts.append(here)
-        after = here + step[here]
-        here = after[after < stop[here]]
+        after = here + steps[choice[here]]
+        here = after[after < stop[here // BLOCK]]
     first = np.sort(np.concatenate(starts))
     kind = choice[first]
     slots = np.where(kind == ESCAPE, 2, 1)
@@ -79,7 +82,7 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         word = np.full(len(mine), selector << 60, dtype=np.uint64)
         for j in range(COUNTS[selector] if WIDTHS[selector] else 0):
             source = first[mine] + j
-            inside = source < stop[first[mine]]
+            inside = source < stop[first[mine] // BLOCK]
             value = np.where(inside, ids[np.minimum(source, n - 1)], np.uint64(0))
             word |= value << np.uint64(WIDTHS[selector] * j)
         words[place[mine]] = word
@@ -191,7 +194,7 @@ def write_ids(
             )
 
         for batch in batches:
-            for piece in text_slices(batch, "text", 1 << 23):
+            for piece in text_slices(batch, "text", 1 << 22):
                 ids, bounds = own.encode(piece.column("text"))
                 whole = np.full(len(ids) + piece.num_rows, end_id, dtype=np.uint32)
                 whole[np.arange(len(ids)) + np.repeat(np.arange(piece.num_rows), np.diff(bounds))] = ids
@@ -205,7 +208,8 @@ def write_ids(
             yield flush()
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange("doc_id", F.crc32(F.col("text").cast("binary"))).sortWithinPartitions("doc_id", F.crc32(F.col("text").cast("binary")), "text")
+    keys = ["doc_id", F.crc32(F.col("text").cast("binary")), "text"]
+    ordered = rows.repartitionByRange(*keys[:2]).sortWithinPartitions(*keys)
     return folder, saved(ordered.mapInArrow(write, _LISTED), "token-list")
 
 

@@ -9,16 +9,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept between batches; beyond that the cache starts anew.
-CACHED_WORDS = 1_000_000
+#: Words kept between batches; beyond that those seen in one batch only are dropped.
+CACHED_WORDS = 600_000
+#: Words that one call of the tokenizer encodes as a text of their own.
+_RUN = 1000
 
 #: A text with any of these is encoded whole: white space other than single
-#: inner spaces and line feeds, or the mark of a first word.
+#: inner spaces and line feeds, or one of the marks below.
 _ODD = (
-    "[\\x00\\t\\r\\v\\f\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
+    "[\\x00\\x01\\t\\r\\v\\f\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}"
     "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]|[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\z"
 )
 
+#: A full stop or comma between a letter and a space is a token of its own.
+_STOP = "([\\pL\\pN])([.,]) "
+
 
 class Encoder:
     """Encodes texts exactly as ``Tokenizer.encode(text, add_special_tokens=False)`` does.
@@ -36,38 +41,77 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.spaced = spaced
+        # tokens that begin a spaced word, or end a word of letters
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.edges = np.zeros(max(names.values(), default=0) + 1, dtype=bool)
+        for name, i in names.items():
+            self.edges[i] = name.startswith("\u0120") if spaced else name.endswith("</w>")
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, dtype=np.uint32)
         self.bounds = np.zeros(1 << 16, dtype=np.int64)
+        self.used = np.zeros(1 << 16, dtype=np.uint8)
+
+    def _thin(self) -> None:
+        """Keep the words of more than one batch, or none if they are still too many."""
+        kept = [(w, i) for w, i in self.place.items() if self.used[i] > 1]
+        if 2 * len(kept) > CACHED_WORDS:
+            self._forget()
+            return
+        at = np.array([i for _, i in kept], dtype=np.int64)
+        low, size = self.bounds[at], self.bounds[at + 1] - self.bounds[at]
+        end = np.cumsum(size)
+        total = int(end[-1]) if len(end) else 0
+        ids = self.ids[np.arange(total) + np.repeat(low - (end - size), size)]
+        self._forget()
+        self._append([w for w, _ in kept], ids, size)
+
+    def _append(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        n, m = len(self.place), len(words)
+        while len(self.bounds) < n + m + 1:
+            self.bounds = np.concatenate((self.bounds, np.zeros_like(self.bounds)))
+            self.used = np.concatenate((self.used, np.zeros_like(self.used)))
+        low = self.bounds[n]
+        while len(self.ids) < low + len(ids):
+            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        self.ids[low : low + len(ids)] = ids
+        self.bounds[n + 1 : n + 1 + m] = low + np.cumsum(size)
+        self.place.update(zip(words, range(n, n + m), strict=True))
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _text(self, word: str) -> str:
-        """A first word is marked by NUL, a word after a line feed begins with it."""
+        """NUL marks a first word, \\1 a full stop or comma; a line's first word begins with it."""
         if not self.spaced:
             return word
-        return word[1:] if word[0] == "\0" else word if word[0] == "\n" else " " + word
+        return word[1:] if word[0] < "\2" else word if word[0] == "\n" else " " + word
 
     def _learn(self, words: list[str]) -> None:
+        """Encode words in runs of letters, or one by one where ends cannot be told."""
+        runs = [w for w in words if w.isalpha()]
+        rest = [w for w in words if not w.isalpha()]
         gc.disable()  # hundreds of thousands of small objects, none of them in cycles
-        found = self.whole([self._text(w) for w in words])
+        lead = " " if self.spaced else ""
+        for at in range(0, len(runs), 100 * _RUN):
+            part = runs[at : at + 100 * _RUN]
+            texts = [lead + " ".join(part[i : i + _RUN]) for i in range(0, len(part), _RUN)]
+            ids = np.concatenate([np.array(x, dtype=np.uint32) for x in self.whole(texts)])
+            edge = np.flatnonzero(self.edges[ids])
+            ends = np.append(edge[1:], len(ids)) if self.spaced else edge + 1
+            if len(ends) == len(part):
+                self._append(part, ids, np.diff(ends, prepend=0))
+            else:
+                rest += part
+        for at in range(0, len(rest), 50_000):
+            part = rest[at : at + 50_000]
+            found = self.whole([self._text(w) for w in part])
+            size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            ids = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(size.sum()))
+            self._append(part, ids, size)
         gc.enable()
-        n = len(self.place)
-        sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        ends = self.bounds[n] + np.cumsum(sizes)
-        while len(self.bounds) < n + len(found) + 1:
-            self.bounds = np.concatenate((self.bounds, np.zeros_like(self.bounds)))
-        while len(self.ids) < ends[-1]:
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.ids[self.bounds[n] : ends[-1]] = np.fromiter(
-            (i for x in found for i in x), dtype=np.uint32, count=int(sizes.sum())
-        )
-        self.bounds[n + 1 : n + 1 + len(found)] = ends
-        self.place.update(zip(words, range(n, n + len(found)), strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, bounds)``: the ids of text ``i`` are ``ids[bounds[i]:bounds[i + 1]]``."""
@@ -76,22 +120,25 @@ class Encoder:
         plain = texts if not odd.any() else pc.if_else(pa.array(odd), "", texts)
         if self.spaced:
             plain = pc.binary_join_element_wise("\0", pc.replace_substring(plain, "\n", " \n"), "")
+            plain = pc.replace_substring_regex(plain, _STOP, "\\1 \1\\2 ")
         else:
             plain = pc.replace_substring(plain, "\n", " ")
+            plain = pc.replace_substring_regex(plain, _STOP, "\\1 \\2 ")
         lists = pc.split_pattern(plain, " ")
         count = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
         words = lists.flatten().dictionary_encode()
         distinct = words.dictionary.to_pylist()
         nothing = "\0" if self.spaced else ""  # the word of an empty text
-        fresh = [w for w in distinct if w not in self.place and w != nothing]
-        if len(self.place) + len(fresh) > CACHED_WORDS and self.place:
-            self._forget()
-            fresh = [w for w in distinct if w != nothing]
+        known = self.place.get
+        at = np.fromiter((known(w, -1) for w in distinct), dtype=np.int64, count=len(distinct))
+        fresh = [distinct[i] for i in np.flatnonzero(at < 0) if distinct[i] != nothing]
         if fresh:
             self._learn(fresh)
-        at = np.fromiter(
-            (self.place.get(w, -1) for w in distinct), dtype=np.int64, count=len(distinct)
-        )
+            known = self.place.get
+            for i in np.flatnonzero(at < 0):
+                at[i] = known(distinct[i], -1)
+        seen = at[at >= 0]
+        self.used[seen] = np.minimum(self.used[seen], 254) + 1
         low = np.where(at >= 0, self.bounds[at], 0)
         long = np.where(at >= 0, self.bounds[at + 1] - low, 0)
         place = words.indices.to_numpy(zero_copy_only=False)
@@ -100,6 +147,8 @@ class Encoder:
         total = int(end[-1]) if len(end) else 0
         ids = self.ids[np.arange(total) + np.repeat(low[place] - (end - size), size)]
         bounds = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(count)))]
+        if len(self.place) > CACHED_WORDS:
+            self._thin()
         if not odd.any():
             return ids, bounds
         at_odd = np.flatnonzero(odd)
