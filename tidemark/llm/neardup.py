@@ -12,9 +12,10 @@ Documents with equal shingle sets form one class, and classes are what is
 compared.  First each class is matched with the closest of a few classes drawn
 from its keys, which joins large groups by a number of links in proportion to
 their size; then every pair of classes that meet, are close enough and are
-still in different components is checked.  All links are confirmed on the full
-shingle sets.  So the components are those of all links, while a group of
-thousands of near copies never becomes millions of pairs.
+still in different components is checked, in crowds block by block.  All links
+are confirmed on the full shingle sets.  So the components are those of all
+links, while a group of thousands of near copies never becomes millions of
+pairs.
 """
 
 from __future__ import annotations
@@ -47,6 +48,10 @@ DRAWS = 4
 #: Members that are confirmed against one class in a single task.
 MEMBERS_PER_TASK = 2000
 
+#: Classes from which a cell counts as a crowd, and classes in a block of one.
+CROWD = 8
+BLOCK = 500
+
 _FACTORS = np.random.default_rng(80).integers(1, 2**63, SYMBOLS, dtype=np.int64).astype(
     np.uint64
 ) * np.uint64(2) + np.uint64(1)
@@ -129,27 +134,40 @@ def classes(signed: DataFrame) -> DataFrame:
 
 
 def index(rows: DataFrame) -> DataFrame:
-    """``(key, id, n, s0..)`` for every key of every class."""
+    """``(key, id)`` for every key of every class."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                signs = np.frombuffer(b"".join(part.column("signature").to_pylist()), np.uint16)
-                signs = signs.reshape(part.num_rows, SYMBOLS)
                 row = pa.array(np.repeat(np.arange(part.num_rows), SYMBOLS))
-                marks = sketch(signs)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys(signs).ravel()), part.column("id").take(row),
-                     part.column("n_shingles").take(row),
-                     *(pa.array(marks[:, i]).take(row) for i in range(_WORDS))],
-                    names=["key", "id", "n", *_SKETCH],
+                    [pa.array(keys(_symbols(part)).ravel()), part.column("id").take(row)],
+                    names=["key", "id"],
                 )
 
-    marks = "".join(f", {s} long" for s in _SKETCH)
-    return rows.select("id", "n_shingles", "signature").mapInArrow(
-        explode, f"key long, id long, n long{marks}"
-    )
+    return rows.select("id", "signature").mapInArrow(explode, "key long, id long")
+
+
+def marks(rows: DataFrame) -> DataFrame:
+    """``(id, n, s0..)``: size and sketch of every class."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = sketch(_symbols(batch))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("n_shingles"),
+                 *(pa.array(bits[:, i]) for i in range(_WORDS))],
+                names=["id", "n", *_SKETCH],
+            )
+
+    columns = "".join(f", {s} long" for s in _SKETCH)
+    return rows.select("id", "n_shingles", "signature").mapInArrow(draw, f"id long, n long{columns}")
+
+
+def _symbols(batch: pa.RecordBatch) -> np.ndarray:
+    raw = b"".join(batch.column("signature").to_pylist())
+    return np.frombuffer(raw, np.uint16).reshape(batch.num_rows, SYMBOLS)
 
 
 def _apart(a: str, b: str) -> Column:
@@ -171,11 +189,17 @@ def _sizes_fit(a: str, b: str, percent: int) -> Column:
 def drawn_pairs(near: DataFrame, percent: int) -> DataFrame:
     """At most :data:`DRAWS` pairs per class: the closest of the classes drawn from its keys.
 
-    A draw takes from every key the class with the smallest of some hash, so
-    that the classes of a large group draw the same few.
+    The first draw takes from every key the most central class, the one that
+    meets most others over all its keys: in a group of edited copies that is
+    the original or the copy with the fewest edits.  The other draws take the
+    smallest of some hash, so that the classes of a group draw the same few.
     """
     mark = F.struct("id", "n", *_SKETCH)
-    draws = [F.min(F.struct(F.xxhash64("id", F.lit(d)).alias("h"), mark.alias("m"))) for d in range(DRAWS)]
+    central = near.groupBy("id").agg(F.sum("many").alias("meets"))
+    near = near.join(central, "id")
+    draws = [F.min(F.struct((-F.col("meets")).alias("h"), mark.alias("m")))] + [
+        F.min(F.struct(F.xxhash64("id", F.lit(d)).alias("h"), mark.alias("m"))) for d in range(1, DRAWS)
+    ]
     leaders = (
         near.groupBy("key")
         .agg(*[c.alias(f"d{d}") for d, c in enumerate(draws)])
@@ -193,31 +217,106 @@ def drawn_pairs(near: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def open_pairs(near: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs under a common key that may be similar and lie in different components.
+def open_rows(near: DataFrame, labels: DataFrame) -> DataFrame:
+    """``near`` with ``component`` and ``cell``, without keys that one component has for itself.
 
-    Keys whose classes are all in one component are left out before the join.
+    Every key is headed by its largest component.  Classes that have the most
+    keys under the same head share a cell, so that a crowd of copies too
+    different to be linked is one cell.  A class in a cell of fewer than
+    :data:`CROWD` is in a cell of its own.
     """
-    known = labels.select("id", "component")
-    rows = near.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    size = labels.groupBy("component").agg(F.count("*").alias("size"))
+    known = labels.join(size, "component").select("id", "component", "size")
+    rows = near.join(known, "id", "left").select(
+        *near.columns, F.coalesce("component", "id").alias("component"),
+        F.coalesce("size", F.lit(1)).alias("size"),
+    )
     rows = saved(rows, "near-labelled")
-    mixed = (
+    heads = (
         rows.groupBy("key")
-        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        .where("lo < hi")
-        .select("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+             F.max(F.struct("size", (-F.col("component")).alias("c"))).alias("head"))
+        .where("lo < hi").select("key", "head")
     )
-    rows = saved(rows.join(mixed, "key"), "near-mixed")
+    rows = saved(rows.drop("size").join(heads, "key"), "near-mixed")
+    cells = (
+        rows.groupBy("id", "head").agg(F.count("*").alias("n"))
+        .groupBy("id").agg(F.max_by("head", F.struct("n", "head")).alias("head"))
+        .select("id", (-F.col("head.c")).alias("cell"))
+    )
+    cells = saved(cells, "cells")
+    crowds = cells.groupBy("cell").agg(F.count("*").alias("crowd")).where(F.col("crowd") >= CROWD)
+    crowded = saved(cells.join(crowds, "cell").select("id", "cell", "crowd"), "crowds")
+    # cells of single classes get numbers that no crowd has
+    return rows.drop("head").join(crowded, "id", "left").withColumn(
+        "cell", F.coalesce(F.col("cell"), -1 - F.col("id"))
+    )
+
+
+def open_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs under a common key that may be similar, of different components and cells."""
     a, b = rows.alias("a"), rows.alias("b")
     met = a.join(
         b,
         (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
-        & (F.col("a.component") != F.col("b.component"))
+        & (F.col("a.component") != F.col("b.component")) & (F.col("a.cell") != F.col("b.cell"))
         & _sizes_fit("a", "b", percent) & (_apart("a", "b") <= RADIUS),
     )
     return met.select(F.col("b.id").alias("a"), F.col("a.id").alias("b")).distinct()
 
 
+def links_in_crowds(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links ``(a, b)`` between different components inside each crowd.
+
+    A crowd is cut into blocks of about :data:`BLOCK` classes, and each pair of
+    blocks is one task's work: the shingles of one block are indexed, those of
+    the other are looked up.  Only links come out.
+    """
+    members = rows.where("crowd IS NOT NULL").select("id", "component", "cell", "crowd").distinct()
+    blocks = F.ceil(F.col("crowd") / BLOCK).cast("int")
+    members = members.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("id", F.lit(5)), F.col("blocks")).cast("int")
+    )
+    dealt = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "id", "component", "cell", "block",
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+    )
+    dealt = dealt.join(sets, "id")
+
+    def compare(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, component = table.column("id").to_numpy(), table.column("component").to_numpy()
+        found = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("found")]
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block = table.column("block").to_numpy()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        size = np.array([len(x) for x in found])
+        shingle = np.concatenate([found[x] for x in left]) if len(left) else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(left)), size[left])
+        order = np.argsort(shingle, kind="stable")
+        shingle, owner = shingle[order], owner[order]
+        out_a, out_b = [], []
+        for r in right:
+            lo = np.searchsorted(shingle, found[r], side="left")
+            n = np.searchsorted(shingle, found[r], side="right") - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], minlength=len(left))
+            good = (100 * both >= percent * (size[left] + size[r] - both)) & (both > 0)
+            good &= component[left] != component[r]
+            out_a.append(np.full(good.sum(), ids[r]))
+            out_b.append(ids[left[good]])
+        none = np.zeros(0, np.int64)
+        return pa.table(
+            {"a": np.concatenate([none, *out_a]), "b": np.concatenate([none, *out_b])}
+        )
+
+    return dealt.groupBy("cell", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """``(id, found)``: the shingle sets of the documents that ``ids (id)`` names."""
     context = docs.sparkSession.sparkContext
@@ -240,15 +339,12 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return sets.dropDuplicates(["id"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose full sets have ``100 * intersection >= percent * union``.
 
     The sets of all ``a`` stream past the set of their ``b``, which is held
     alone; a ``b`` with very many ``a`` is dealt out to several tasks.
     """
-    pairs = saved(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = saved(sets_of(docs, ids, width), "sets")
     parts = pairs.groupBy("b").agg(
         F.ceil(F.count("*") / MEMBERS_PER_TASK).cast("int").alias("parts")
     )
@@ -287,7 +383,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
                     [pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"]
                 )
 
-    return saved(rows.mapInArrow(compare, "a long, b long"), "links")
+    return rows.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -302,13 +398,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     signed = saved(signatures(docs, width), "signatures")
     groups = saved(classes(signed), "classes")
     rows = saved(index(groups), "index")
-    shared = rows.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").select("key")
-    near = saved(rows.join(shared, "key"), "near")
-    links = confirmed(drawn_pairs(near, percent), docs, width, percent)
+    shared = rows.groupBy("key").agg(F.count("*").alias("many")).where("many > 1")
+    near = saved(rows.join(shared, "key").join(marks(groups), "id"), "near")
+    pairs = saved(drawn_pairs(near, percent), "drawn")
+    sets = saved(sets_of(docs, _ids(pairs), width), "sets")
+    links = saved(confirmed(pairs, sets, percent), "links")
     labels = components(links)
-    rest = confirmed(open_pairs(near, labels, percent), docs, width, percent)
-    if not rest.isEmpty():
-        labels = components(links.union(rest), start=labels)
+    left = saved(open_rows(near, labels), "open")
+    pairs = saved(open_pairs(left, percent), "pairs")
+    crowded = left.where("crowd IS NOT NULL").select("id").distinct()
+    sets = saved(sets_of(docs, _ids(pairs).union(crowded).distinct(), width), "sets")
+    more = confirmed(pairs, sets, percent).union(links_in_crowds(left, sets, percent))
+    more = saved(more, "links")
+    if not more.isEmpty():
+        labels = components(links.union(more), start=labels)
     named = groups.select("id", *_CLASS).join(labels, "id", "left").select(
         *_CLASS, F.coalesce("component", "id").alias("component")
     )
