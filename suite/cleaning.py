@@ -179,9 +179,9 @@ def numeric_only(spark, sf):
     return K.numeric_only(table(spark, sf, "events"))
 
 
-@query("first_features", "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem")
-def first_features(spark, sf):
-    return K.first_features(table(spark, sf, "lineitem"), 3)
+@query("select_features", "SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem")
+def select_features(spark, sf):
+    return K.select_features(table(spark, sf, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"])
 
 
 @query(

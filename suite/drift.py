@@ -8,7 +8,6 @@ from tidemark.operators import consensus as C
 from tidemark.operators import drift as D
 from tidemark.operators import evaluate as E
 from tidemark.operators.profile import correlations, quality_profile
-from tidemark.operators.sampling import cap_rows
 from tidemark.operators.sides import flag_sides, long_form, stack_sides
 
 from .common import (
@@ -45,17 +44,6 @@ def drift_ks(spark, sf):
     )
 
 
-@query("drift_ks_exact")
-def drift_ks_exact(spark, sf):
-    """Exact p-values for batches of up to 10,000 rows (checked by brute force in the tests)."""
-    t = D.feature_table(
-        events_by_batch(spark, sf), EV_KINDS, by=["batch_number"], metrics=("ks",), exact_ks_rows=10_000
-    )
-    return t.where("kind = 'numeric'").select(
-        "batch_number", "feature", "n_ref", "n_cur", "ks_statistic", "ks_pvalue", "ks_drift"
-    )
-
-
 @query("drift_wasserstein", f"{LI} SELECT feature, round(wd, 6) AS wasserstein FROM rk")
 def drift_wasserstein(spark, sf):
     t = D.rank_statistics(D.distinct_values(_numeric_cells(lineitem_sides(spark, sf))))
@@ -69,7 +57,7 @@ def drift_wasserstein(spark, sf):
 def drift_wasserstein_lanes(spark, sf):
     """The same statistics through the multi-lane plan used for large features."""
     t = D.rank_statistics(
-        D.distinct_values(_numeric_cells(lineitem_sides(spark, sf))), lanes=True, rows_per_lane=5000
+        D.distinct_values(_numeric_cells(lineitem_sides(spark, sf))), rows_per_lane=5000
     )
     return rounded(
         t.select("feature", "wasserstein", "ks_statistic", "n_distinct"),
@@ -214,9 +202,7 @@ def drift_metric_maps(spark, sf):
     )
 
 
-_LIGHT_SRC = f"""SELECT value, user_id, is_ref, grp FROM (
-  SELECT *, b = 0 AS is_ref, 0 AS grp, row_number() OVER (PARTITION BY b = 0 ORDER BY md5('42:' || event_id)) AS rn
-  FROM (SELECT *, {BATCH_SQL} AS b FROM events)) WHERE NOT is_ref OR rn <= 5000"""
+_LIGHT_SRC = f"SELECT value, user_id, b = 0 AS is_ref, 0 AS grp FROM (SELECT *, {BATCH_SQL} AS b FROM events)"
 LIGHT = "WITH " + base_ctes(_LIGHT_SRC, EV_NUMERIC, [])
 
 
@@ -225,14 +211,11 @@ LIGHT = "WITH " + base_ctes(_LIGHT_SRC, EV_NUMERIC, [])
     f"{LIGHT} SELECT feature, n_ref, n_cur, {rounded_select(['ks_statistic', 'ks_pvalue', 'wasserstein', 'psi'])} FROM ft",
 )
 def drift_light(spark, sf):
-    """Light variant: three metrics, first 20 features, reference capped at 5000 rows."""
+    """Light variant: three metrics of named features over all rows."""
     events = with_batch(table(spark, sf, "events"))
-    reference = cap_rows(events.where("batch_number = 0"), ["event_id"], 5000)
-    sided = stack_sides(
-        reference.select("value", "user_id"),
-        events.where("batch_number <> 0").select("value", "user_id"),
-    )
-    t = D.feature_table(sided, metrics=("ks", "wasserstein", "psi"), max_features=20)
+    sided = flag_sides(events, F.col("batch_number") == 0)
+    kinds = {c: "numeric" for c in EV_NUMERIC}
+    t = D.feature_table(sided, kinds, metrics=("ks", "wasserstein", "psi"))
     metrics = ["ks_statistic", "ks_pvalue", "wasserstein", "psi"]
     return rounded(t.select("feature", "n_ref", "n_cur", *metrics), metrics)
 
@@ -241,22 +224,9 @@ KS_CHI2 = (
     "CASE WHEN kind = 'numeric' THEN ks_pvalue ELSE chi2_pvalue END",
     "CASE WHEN kind = 'numeric' THEN ks_pvalue ELSE chi2_pvalue END < 0.05",
 )
-_AUTO_TEST = (
-    "CASE WHEN n_ref <= 1000 AND kind = 'numeric' AND n_distinct > 5 THEN 'ks' "
-    "WHEN n_ref <= 1000 AND n_distinct = 2 AND kind <> 'numeric' THEN 'z' "
-    "WHEN n_ref <= 1000 AND kind <> 'numeric' THEN 'chi2' WHEN n_ref <= 1000 THEN 'ks' "
-    "WHEN kind = 'numeric' AND n_distinct > 5 THEN 'wasserstein_normed' "
-    "WHEN kind = 'numeric' THEN 'js_divergence' ELSE 'js_distance' END"
-)
-_AUTO_SCORE = (
-    f"CASE {_AUTO_TEST} WHEN 'ks' THEN ks_pvalue WHEN 'z' THEN z_pvalue WHEN 'chi2' THEN chi2_pvalue "
-    "WHEN 'wasserstein_normed' THEN wasserstein_normed WHEN 'js_divergence' THEN sqrt(js_divergence) "
-    "ELSE js_distance END"
-)
-AUTO = (
-    _AUTO_SCORE,
-    f"CASE WHEN {_AUTO_TEST} IN ('ks', 'z', 'chi2') THEN {_AUTO_SCORE} < 0.05 ELSE {_AUTO_SCORE} >= 0.1 END",
-)
+_NAMED_TEST = "CASE WHEN kind = 'numeric' THEN 'wasserstein_normed' ELSE 'js_distance' END"
+_NAMED_SCORE = "CASE WHEN kind = 'numeric' THEN wasserstein_normed ELSE js_distance END"
+NAMED = (_NAMED_SCORE, f"{_NAMED_SCORE} >= 0.1")
 
 
 @query(
@@ -270,15 +240,15 @@ def drift_columns_ks_chi2(spark, sf):
 
 
 @query(
-    "drift_columns_auto",
-    f"{LI}, {summary_ctes(*AUTO)} SELECT feature, {_AUTO_TEST} AS stattest, "
+    "drift_columns_named",
+    f"{LI}, {summary_ctes(*NAMED)} SELECT feature, {_NAMED_TEST} AS stattest, "
     "round(drift_score, 6) AS drift_score, drifted FROM cd",
 )
-def drift_columns_auto(spark, sf):
+def drift_columns_named(spark, sf):
     t = D.feature_table(
         lineitem_sides(spark, sf), KINDS, metrics=("ks", "wasserstein", "js")
     )
-    t = C.column_drift(t, "auto")
+    t = C.column_drift(t, "wasserstein_normed", "js_distance")
     return rounded(t.select("feature", "stattest", "drift_score", "drifted"), ["drift_score"])
 
 
@@ -485,7 +455,8 @@ tt AS (SELECT is_ref, feature, kind, sum(n)::BIGINT AS rows, coalesce(sum(n) FIL
 rg AS (SELECT is_ref, feature, min(x) AS min, max(x) AS max FROM cells GROUP BY ALL)
 SELECT CASE WHEN is_ref THEN 'reference' ELSE 'current' END AS side, feature, kind, rows, missing,
   round(missing * 100.0::DOUBLE / rows, 6) AS missing_pct, n_distinct, n_distinct <= 1 AS is_constant,
-  round(top_n * 100.0::DOUBLE / rows, 6) AS top_pct, min, max FROM tt JOIN rg USING (is_ref, feature)""",
+  round(top_n * 100.0::DOUBLE / rows, 6) AS top_pct, min, max, top_value FROM tt JOIN rg USING (is_ref, feature)
+  LEFT JOIN (SELECT is_ref, feature, arg_min(value, (-n, value)) AS top_value FROM (SELECT is_ref, feature, value, n FROM fr WHERE value IS NOT NULL) GROUP BY ALL) USING (is_ref, feature)""",
 )
 def quality_profile_query(spark, sf):
     events = with_batch(table(spark, sf, "events"))
@@ -495,7 +466,7 @@ def quality_profile_query(spark, sf):
         ),
         F.col("batch_number") == 0,
     ).drop("batch_number")
-    return rounded(quality_profile(sided).drop("top_value"), ["missing_pct", "top_pct"])
+    return rounded(quality_profile(sided), ["missing_pct", "top_pct"])
 
 
 @query(

@@ -83,7 +83,7 @@ def auc_lineitem(spark, sf):
     rows = table(spark, sf, "lineitem").select(
         (F.col("l_returnflag") == "R").cast("int").alias("label"), "l_extendedprice"
     )
-    return rounded(E.auc(rows, "label", "l_extendedprice", lanes=True), ["auc"])
+    return rounded(E.auc(rows, "label", "l_extendedprice"), ["auc"])
 
 
 _ROC = f"""WITH s AS ({TWO_MODELS_SQL}), d AS (SELECT model, score, count(*) FILTER (label = 1) AS p, count(*) FILTER (label = 0) AS n

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 
 from pyspark.sql import functions as F
@@ -123,47 +124,67 @@ def _frac(seed: str, key: str) -> str:
     return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::UBIGINT / 4294967296.0::DOUBLE)"
 
 
+_FOUR = ["value", "event_type", "user_id", "ts"]
+_HIT = sorted(_FOUR, key=lambda c: hashlib.md5(f"42:{c}".encode()).hexdigest())[:3]
+
+
 @query(
     "inject_nulls",
-    f"""SELECT event_id, CASE WHEN {_frac('42-row', 'event_id')} < 0.1 AND {_frac('42-value', 'event_id')} < 0.4 THEN NULL ELSE value END AS value,
-  CASE WHEN {_frac('42-row', 'event_id')} < 0.1 AND {_frac('42-event_type', 'event_id')} < 0.4 THEN NULL ELSE event_type END AS event_type
-FROM events""",
+    "SELECT event_id, " + ", ".join(
+        f"CASE WHEN {_frac('42-row', 'event_id')} < 0.1 AND {_frac('42-' + c, 'event_id')} < 0.4 THEN NULL ELSE {c} END AS {c}"
+        if c in _HIT else c
+        for c in _FOUR
+    ) + " FROM events",
 )
 def inject_nulls(spark, sf):
-    df = table(spark, sf, "events").select("event_id", "value", "event_type")
-    return G.inject_nulls(df, ["event_id"], ["value", "event_type"], 0.1)
+    """Three of four columns are hit, whichever the seed chooses."""
+    return G.inject_nulls(table(spark, sf, "events").select("event_id", *_FOUR), ["event_id"], _FOUR, 0.1)
+
+
+def _struck(column: int, of: int, seed: str, share: float, drawn: str) -> str:
+    """Rows that are hit, in the column with this position among ``of``."""
+    return f"({_frac(seed, 'event_id')} < {share} AND floor({_frac(drawn, 'event_id')} * {of}) = {column})"
+
+
+def _corrupted(c: str, where: str) -> str:
+    p = f"(floor({_frac('42-pos', 'event_id')} * length({c}))::INTEGER + 1)"
+    return (
+        f"CASE WHEN {where} AND length({c}) > 1 THEN substr({c}, 1, {p} - 1) || 'X' || substr({c}, {p} + 1) ELSE {c} END"
+    )
 
 
 @query(
     "corrupt_strings",
-    f"""SELECT event_id, CASE WHEN {_frac('42-hit-event_type', 'event_id')} < 0.2 AND length(event_type) > 1
-  THEN substr(event_type, 1, p - 1) || 'X' || substr(event_type, p + 1) ELSE event_type END AS event_type
-FROM (SELECT *, floor({_frac('42-pos-event_type', 'event_id')} * length(event_type))::INTEGER + 1 AS p FROM events)""",
+    "SELECT event_id, " + ", ".join(
+        f"{_corrupted(c, _struck(i, 2, '42-hit', 0.2, '42-column'))} AS {c}"
+        for i, c in enumerate(["event_type", "visitor"])
+    ) + " FROM (SELECT event_id, event_type, 'user ' || user_id AS visitor FROM events)",
 )
 def corrupt_strings(spark, sf):
-    df = table(spark, sf, "events").select("event_id", "event_type")
-    return G.corrupt_strings(df, ["event_id"], ["event_type"], 0.2)
+    """One of two text columns per row, so that the share of rows stays as asked."""
+    df = table(spark, sf, "events").select(
+        "event_id", "event_type", F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("visitor")
+    )
+    return G.corrupt_strings(df, ["event_id"], ["event_type", "visitor"], 0.2)
 
 
 @query(
     "inject_outliers",
-    f"SELECT event_id, CASE WHEN {_frac('42-out-value', 'event_id')} < 0.05 THEN 999999.0 ELSE value END::DOUBLE AS value FROM events",
+    f"SELECT event_id, CASE WHEN {_struck(0, 2, '42-out', 0.05, '42-out-column')} THEN 999999.0 ELSE value END::DOUBLE AS value, "
+    f"CASE WHEN {_struck(1, 2, '42-out', 0.05, '42-out-column')} THEN 999999 ELSE user_id END::BIGINT AS user_id FROM events",
 )
 def inject_outliers(spark, sf):
-    return G.inject_outliers(
-        table(spark, sf, "events").select("event_id", "value"), ["event_id"], ["value"], 0.05
-    )
+    df = table(spark, sf, "events").select("event_id", "value", F.col("user_id").cast("bigint").alias("user_id"))
+    return G.inject_outliers(df, ["event_id"], ["value", "user_id"], 0.05)
 
 
 @query(
     "multiple_issues",
-    f"""WITH a AS (SELECT event_id, user_id,
+    f"""WITH a AS (SELECT event_id,
   CASE WHEN {_frac('42-row', 'event_id')} < 0.3 AND {_frac('42-event_type', 'event_id')} < 0.4 THEN NULL ELSE event_type END AS event_type,
-  CASE WHEN {_frac('42-row', 'event_id')} < 0.3 AND {_frac('42-value', 'event_id')} < 0.4 THEN NULL ELSE value END AS value FROM events),
-b AS (SELECT *, floor({_frac('42-pos-event_type', 'event_id')} * length(event_type))::INTEGER + 1 AS p FROM a)
-SELECT event_id, CASE WHEN {_frac('42-hit-event_type', 'event_id')} < 0.03 AND length(event_type) > 1
-  THEN substr(event_type, 1, p - 1) || 'X' || substr(event_type, p + 1) ELSE event_type END AS event_type,
-  CASE WHEN {_frac('42-out-value', 'event_id')} < 0.01 THEN 999999.0 ELSE value END::DOUBLE AS value FROM b""",
+  CASE WHEN {_frac('42-row', 'event_id')} < 0.3 AND {_frac('42-value', 'event_id')} < 0.4 THEN NULL ELSE value END AS value FROM events)
+SELECT event_id, {_corrupted('event_type', _struck(0, 1, '42-hit', 0.03, '42-column'))} AS event_type,
+  CASE WHEN {_struck(0, 1, '42-out', 0.01, '42-out-column')} THEN 999999.0 ELSE value END::DOUBLE AS value FROM a""",
 )
 def multiple_issues(spark, sf):
     df = table(spark, sf, "events").select("event_id", "event_type", "value")

@@ -38,7 +38,7 @@ def profile_numeric(spark, sf):
 def quantiles_by_group(spark, sf):
     t = P.quantile_table(
         table(spark, sf, "events"), ["value"], {"p10": 0.1, "p90": 0.9, "p99": 0.99},
-        by=["event_type"], lanes=True,
+        by=["event_type"],
     )
     return rounded(t, ["p10", "p90", "p99"])
 

@@ -132,7 +132,7 @@ def hpo_runs(spark, sf):
 @query(
     "runlog_search",
     f"SELECT run_id, start_time, round(val_f1_score, 6) AS val_f1_score FROM ({_HPO}) WHERE model_name = 'GBT' AND best_hpo_model = 'True' "
-    "ORDER BY start_time DESC, run_id LIMIT 200",
+    "ORDER BY start_time DESC, run_id",
 )
 def runlog_search(spark, sf):
     tags = F.col("tags")
@@ -345,7 +345,7 @@ def _recent(spark, sf):
     "error_report",
     f"""{_RECENT} SELECT 'severity' AS dimension, severity AS key, count(*) AS n FROM rc GROUP BY 2 UNION ALL
 SELECT 'category', category, count(*) FROM rc GROUP BY 2 UNION ALL SELECT 'component', component, count(*) FROM rc GROUP BY 2 UNION ALL
-SELECT 'message', left(message, 100), count(*) FROM rc GROUP BY 2 UNION ALL SELECT 'total', 'all', count(*) FROM rc""",
+SELECT 'message', message, count(*) FROM rc GROUP BY 2 UNION ALL SELECT 'total', 'all', count(*) FROM rc""",
 )
 def error_report(spark, sf):
     return X.error_report(_recent(spark, sf))
@@ -356,7 +356,7 @@ def error_report(spark, sf):
     f"{_RECENT} SELECT error_id, ts, severity, message FROM rc WHERE severity IN ('high', 'critical') ORDER BY ts, error_id LIMIT 10",
 )
 def severe_errors(spark, sf):
-    return X.first_severe(_recent(spark, sf)).select("error_id", "ts", "severity", "message")
+    return X.first_severe(_recent(spark, sf), 10).select("error_id", "ts", "severity", "message")
 
 
 _CHECKS = """SELECT 'service_' || (user_id % 5) AS component, ts,
@@ -429,4 +429,4 @@ def retention(spark, sf):
 
 @query("oldest_batches", f"SELECT batch_id, modified, size_bytes FROM ({_MAN}) ORDER BY modified, batch_id LIMIT 3")
 def oldest_batches(spark, sf):
-    return BT.oldest_first(_manifest(spark, sf)).select("batch_id", "modified", "size_bytes")
+    return BT.oldest_first(_manifest(spark, sf), 3).select("batch_id", "modified", "size_bytes")

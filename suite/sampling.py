@@ -51,7 +51,7 @@ def sample_per_stratum_deep(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     marked = hash_split(
         df, ["o_orderkey"], 42, {"in": lambda n: F.floor(n * F.lit(0.25))}, ["in"], None, "side",
-        ["o_orderstatus"], deep=True,
+        ["o_orderstatus"],
     )
     return marked.where("side = 'in'").drop("side")
 
@@ -68,7 +68,7 @@ def split_plain(spark, sf):
 @query("sample_cap", f"SELECT o_orderkey, o_custkey FROM ({_O}) ORDER BY h LIMIT 5000")
 def sample_cap(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    return W.cap_rows(df, ["o_orderkey"], 5000)
+    return W.sample_rows(df, ["o_orderkey"], 5000)
 
 
 @query(

@@ -74,13 +74,20 @@ def test_set_get_or_create(spark, sf):
     ).select("event_id", "event_type", "batch_number")
 
 
-@query("batch_discovery")
+@query(
+    "batch_discovery",
+    f"SELECT {BATCH_SQL}::BIGINT AS batch_number, 1::BIGINT AS files, TRUE AS has_bytes FROM events GROUP BY 1",
+)
 def batch_discovery(spark, sf):
+    """Discovered files per batch directory, as a scheduler would count them."""
     path = shared_dir(spark, "arrivals")
     rows = with_batch(table(spark, sf, "events")).select("event_id", "value", "batch_number")
-    S.write_splits(rows, path, "batch_number", fmt="csv")
+    S.write_splits(rows.repartition("batch_number"), path, "batch_number", fmt="csv")
     found = BT.list_batches(spark, path, "part-*.csv")
-    return BT.oldest_first(found).select("batch_id", "size_bytes", "modified")
+    number = F.regexp_extract("path", r"batch_number=(-?\d+)", 1).cast("bigint")
+    return found.groupBy(number.alias("batch_number")).agg(
+        F.count(F.lit(1)).alias("files"), (F.sum("size_bytes") > 0).alias("has_bytes")
+    )
 
 
 @query(

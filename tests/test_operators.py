@@ -185,6 +185,36 @@ def test_quality_issues(spark):
     assert 60 < G.inject_outliers(df, ["id"], ["v"], 0.05).where("v = 999999").count() < 140
 
 
+def test_nulls_hit_the_drawn_columns_only(spark):
+    columns = ["a", "b", "c", "d", "e"]
+    df = spark.range(3000).select("id", *[F.lit(1.0).alias(c) for c in columns])
+    rates = {c: G.inject_nulls(df, ["id"], columns, 0.5, 0.5, seed=s).where(F.col(c).isNull()).count() for s in (1,) for c in columns}
+    assert sum(n > 0 for n in rates.values()) == 3
+    assert all(650 < n < 850 for n in rates.values() if n)
+
+
+def test_one_issue_per_row_whatever_the_number_of_columns(spark):
+    columns = ["a", "b", "c", "d", "e"]
+    df = spark.range(4000).select("id", *[F.lit("abc").alias(c) for c in columns])
+    bad = G.corrupt_strings(df, ["id"], columns, 0.3)
+    per_row = sum((F.col(c) != "abc").cast("int") for c in columns)
+    counts = {r.n: r["count"] for r in bad.groupBy(per_row.alias("n")).count().collect()}
+    assert set(counts) == {0, 1} and 1080 < counts[1] < 1320
+    numbers = spark.range(4000).select("id", *[F.lit(1.0).alias(c) for c in columns])
+    out = G.inject_outliers(numbers, ["id"], columns, 0.1)
+    hit = [out.where(F.col(c) == 999999).count() for c in columns]
+    assert 320 < sum(hit) < 480 and all(40 < h for h in hit)
+
+
+def test_nan_is_missing(spark):
+    from tidemark.operators import cleaning as K
+
+    df = spark.createDataFrame([(float("nan"), "a"), (1.0, None), (None, "b")], "x double, s string")
+    assert {r.column: r.missing for r in K.missing_rates(df).collect()} == {"x": 2, "s": 1}
+    assert K.drop_sparse(df, 0.5).columns == ["s"]
+    assert K.low_cardinality_columns(df, 3) == ["s"]
+
+
 # ------------------------------------------------------------------ evaluation
 @pytest.fixture(scope="module")
 def scored(spark):
@@ -193,10 +223,9 @@ def scored(spark):
     )
 
 
-@pytest.mark.parametrize("lanes", [False, True])
-def test_classifier_fixture(scored, lanes):
-    assert E.auc(scored, "label", "score", lanes=lanes).first().auc == pytest.approx(7 / 9)
-    points = E.roc_points(scored, "label", "score", lanes=lanes).orderBy(F.desc("threshold")).collect()
+def test_classifier_fixture(scored):
+    assert E.auc(scored, "label", "score").first().auc == pytest.approx(7 / 9)
+    points = E.roc_points(scored, "label", "score").orderBy(F.desc("threshold")).collect()
     assert [(p.threshold, p.fpr, p.tpr) for p in points] == [
         (float("inf"), 0.0, 0.0), (0.9, 0.0, pytest.approx(1 / 3)), (0.4, pytest.approx(2 / 3), 1.0), (0.1, 1.0, 1.0),
     ]
@@ -325,3 +354,22 @@ def test_registry_promotion_archives(spark):
         "AS t(model, version, run_id, stage, ts)"
     )
     assert {r.version: r.stage for r in B.registry_view(events).collect()} == {1: "Archived", 2: "Production"}
+
+
+def test_auc_needs_probabilities_on_its_side(spark):
+    """Hard scores on one side leave out what the rule leaves out."""
+    soft = [(i % 2, i / 10) for i in range(10)]
+    hard = [(i % 2, float(i % 3 == 0)) for i in range(10)]
+
+    def sides(ref, new):
+        rows = [(True, *r) for r in ref] + [(False, *r) for r in new]
+        return E.performance_drift(spark.createDataFrame(rows, "is_ref boolean, label int, score double"), "label", "score").first()
+
+    one = sides(soft, hard)
+    assert one.new_data_auc is None and one.auc_drift is None and one.ref_data_auc is None
+    two = sides(hard, soft)
+    assert two.new_data_auc is not None and two.ref_data_auc is None and two.auc_drift is None
+    both = sides(soft, soft)
+    assert both.auc_drift == 0 and both.ref_data_auc == both.new_data_auc
+    single = sides(soft, [(1, s) for _, s in soft])
+    assert single.new_data_auc is None

@@ -1,10 +1,9 @@
-import itertools
 import math
 
 import pytest
 
 from tidemark.functions.tails import (
-    chi2_tail, erfc, exact_kolmogorov, exact_kolmogorov_tail, kolmogorov_tail, normal_two_sided,
+    chi2_tail, erfc, kolmogorov_tail, normal_two_sided,
 )
 
 
@@ -53,24 +52,18 @@ def test_kolmogorov_tail_limits(spark):
     assert one == pytest.approx(0.0, abs=1e-12)
 
 
-@pytest.mark.parametrize(("n", "m"), [(1, 1), (3, 2), (4, 4), (5, 3), (6, 5)])
-def test_exact_kolmogorov_counts_interleavings(n, m):
-    def distance(first):
-        i = j = 0
-        worst = 0.0
-        for k in range(n + m):
-            i, j = (i + 1, j) if k in first else (i, j + 1)
-            worst = max(worst, abs(i / n - j / m))
-        return worst
-
-    all_distances = [distance(set(c)) for c in itertools.combinations(range(n + m), n)]
-    for d in sorted(set(all_distances)):
-        expected = sum(x >= d - 1e-12 for x in all_distances) / len(all_distances)
-        assert exact_kolmogorov(d, n, m) == pytest.approx(expected)
-
-
-def test_exact_tail_only_below_the_limit(spark):
-    df = spark.createDataFrame([(0.5, 10, 10), (0.5, 10, 2000), (None, 5, 5)], "d double, n long, m long")
-    got = [r.p for r in df.select("m", exact_kolmogorov_tail("d", "n", "m", 100).alias("p")).orderBy("m").collect()]
-    assert got[0] is None and got[2] is None
-    assert got[1] == pytest.approx(exact_kolmogorov(0.5, 10, 10))
+@pytest.mark.parametrize("dof", [1, 2, 3, 7, 50, 1001, 200_000])
+def test_chi2_tail_at_any_dof(spark, dof):
+    """Against the normal limit of Wilson and Hilferty, and its own complement at the edges."""
+    root = math.sqrt(2 / (9 * dof))
+    stats = [dof * max(1 - 2 / (9 * dof) + z * root, 0.0) ** 3 for z in (-2.0, -0.5, 0.0, 1.0, 2.5)]
+    df = spark.createDataFrame([(s, dof) for s in stats], "s double, d long")
+    got = [r.p for r in df.select(chi2_tail("s", "d").alias("p")).collect()]
+    limit = [0.5 * math.erfc(z / math.sqrt(2)) for z in (-2.0, -0.5, 0.0, 1.0, 2.5)]
+    if dof >= 50:
+        assert got == pytest.approx(limit, abs=2e-4)
+    assert all(a > b for a, b in zip(got, got[1:]))
+    if dof == 2:
+        assert got == pytest.approx([math.exp(-s / 2) for s in stats], abs=1e-12)
+    if dof == 1:
+        assert got == pytest.approx([math.erfc(math.sqrt(s / 2)) for s in stats], abs=1e-12)

@@ -10,8 +10,6 @@ from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,29 +46,44 @@ def normal_two_sided(z: str) -> Column:
 
 
 def chi2_tail(stat: str, dof: str) -> Column:
-    """``P(X >= stat)`` for a chi-squared variable with integer ``dof``.
+    """``P(X >= stat)`` for a chi-squared variable with any positive ``dof``.
 
-    Uses the finite sums for integer degrees of freedom, in logarithms so that
-    large statistics underflow to 0 instead of overflowing.
+    The regularised incomplete gamma function with shape ``a = dof / 2`` at
+    ``y = stat / 2``: its power series below ``a + 1``, its continued fraction
+    above.  Either settles within a number of terms that grows with the root of
+    ``a``; only the terms near the mode of a large shape count.
     """
-    half = f"({stat} / 2D)"
-    even = f"({dof} % 2 = 0)"
-    # leading term: e^-y for even dof, e^-y * sqrt(y) / Gamma(3/2) for odd dof
-    first = f"IF({even}, -{half}, 0.5D * ln({half}) - {half} - ln({_ROOT_PI} / 2))"
-    extra = f"CAST(floor({dof} / 2) - 1 AS INT)"
-    step = f"acc.log + ln({half}) - ln(k + IF({even}, 0D, 0.5D))"
-    terms = (
-        f"aggregate(IF({extra} > 0, sequence(1, {extra}), CAST(array() AS ARRAY<INT>)), "
-        f"named_struct('log', {first}, 'total', exp({first})), "
-        f"(acc, k) -> named_struct('log', {step}, 'total', acc.total + exp({step}))).total"
+    a, y = f"({dof} / 2D)", f"({stat} / 2D)"
+    steps = f"sequence(1, CAST(60 + 12 * sqrt({a}) AS INT))"
+    # ln Gamma by Stirling's series, after moving small arguments up by the recurrence
+    up = "aggregate(sequence(0, 11), 0D, (s, i) -> s + ln(a + i))"
+    w = "(a + 12)"
+    stirling = (
+        f"(({w} - 0.5D) * ln({w}) - {w} + {0.5 * math.log(2 * math.pi)!r}D + 1 / (12 * {w}) "
+        f"- 1 / (360 * {w} * {w} * {w}) + 1 / (1260 * pow({w}, 5)) - 1 / (1680 * pow({w}, 7)) + 1 / (1188 * pow({w}, 9)))"
+    )
+    scale = f"exp(a * ln(y) - y - ({stirling} - {up}))"
+    series = (
+        f"aggregate({steps}, named_struct('term', 1 / a, 'total', 1 / a), (s, k) -> named_struct("
+        "'term', s.term * y / (a + k), 'total', s.total + s.term * y / (a + k))).total"
+    )
+    # Lentz's form of the continued fraction
+    lentz = (
+        f"aggregate({steps}, named_struct('b', y + 1 - a, 'c', 1e300D, 'd', 1 / (y + 1 - a), "
+        "'h', 1 / (y + 1 - a)), (s, k) -> transform(array(named_struct("
+        "'b', s.b + 2, 'd', 1 / (-k * (k - a) * s.d + s.b + 2), "
+        "'c', s.b + 2 - k * (k - a) / s.c, 'h', s.h)), "
+        "n -> named_struct('b', n.b, 'c', n.c, 'd', n.d, 'h', n.h * n.c * n.d))[0]).h"
+    )
+    tail = (
+        f"transform(array(named_struct('a', CAST({a} AS DOUBLE), 'y', CAST({y} AS DOUBLE))), "
+        f"v -> transform(array(v.a), a -> transform(array(v.y), y -> "
+        f"IF(y < a + 1, 1 - {scale} * {series}, {scale} * {lentz}))[0])[0])[0]"
     )
-    root = _erfc_sql(f"sqrt({half})")
     return F.expr(
         f"CASE WHEN {stat} IS NULL OR {dof} IS NULL OR {dof} < 1 THEN CAST(NULL AS DOUBLE) "
-        f"WHEN {stat} <= 0 THEN 1D "
-        f"WHEN {stat} = double('infinity') THEN 0D "
-        f"ELSE least(greatest(CASE WHEN {even} THEN {terms} WHEN {dof} = 1 THEN {root} "
-        f"ELSE {root} + {terms} END, 0D), 1D) END"
+        f"WHEN {stat} <= 0 THEN 1D WHEN {stat} = double('infinity') THEN 0D "
+        f"ELSE least(greatest({tail}, 0D), 1D) END"
     )
 
 
@@ -91,44 +104,3 @@ def kolmogorov_tail(statistic: str, n: str, m: str, corrected: bool = True) -> C
         f"transform(array({factor} * {statistic}), lam -> CASE WHEN lam IS NULL THEN NULL "
         f"WHEN lam < 0.2 THEN 1D ELSE least(greatest(2 * {series}, 0D), 1D) END)[0]"
     )
-
-
-def exact_kolmogorov(statistic: float, n: int, m: int) -> float:
-    """Exact two-sided p-value of a two-sample Kolmogorov-Smirnov distance.
-
-    Under the null hypothesis every interleaving of the samples is equally
-    likely.  The probability of those whose distance stays below the observed
-    one is carried row by row over the lattice; within a row the admissible
-    cells are one interval, so a row is one cumulative sum.
-    """
-    if not 0 < statistic <= 1:
-        return 1.0 if statistic <= 0 else float("nan")
-    limit = (math.floor(statistic * n * m - 1e-7) + 0.5) / (n * m)
-    share = np.arange(m + 1) / m
-    inside = np.where(share <= limit, 1.0, 0.0)
-    for i in range(1, n + 1):
-        allowed = np.abs(i / n - share) <= limit
-        inside = np.cumsum(np.where(allowed, inside * (i / (i + m)), 0.0))
-        inside[~allowed] = 0.0
-    return float(min(max(1.0 - inside[m], 0.0), 1.0))
-
-
-def exact_kolmogorov_tail(statistic: str, n: str, m: str, limit: int) -> Column:
-    """Exact p-values where both samples have at most ``limit`` rows, else NULL.
-
-    Runs in Python on one row per feature; the work per row grows with ``n * m``.
-    """
-
-    @F.pandas_udf("double")
-    def tail(d: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(
-            [
-                exact_kolmogorov(float(s), int(x), int(y))
-                if pd.notna(s) and max(x, y) <= limit
-                else None
-                for s, x, y in zip(d, a, b)
-            ],
-            dtype="float64",
-        )
-
-    return F.nanvl(tail(F.col(statistic), F.col(n), F.col(m)), F.lit(None).cast("double"))

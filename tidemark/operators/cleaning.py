@@ -8,13 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.scalar import lookup, to_number
-from .sides import CATEGORICAL, NUMERIC, feature_kinds
+from .sides import CATEGORICAL, NUMERIC, _melt, feature_kinds
 
 
 def markers_to_null(df: DataFrame, markers: Sequence[str] = (S.MISSING_MARKER,)) -> DataFrame:
@@ -46,12 +46,20 @@ def exclude_values(df: DataFrame, column: str, values: Sequence[object]) -> Data
     return df.where(~F.coalesce(F.col(column).isin(*values), F.lit(False)))
 
 
+def is_missing(df: DataFrame, column: str) -> Column:
+    """NULL, or NaN in a floating-point column."""
+    cell = F.col(f"`{column}`")
+    if isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType)):
+        return cell.isNull() | F.isnan(cell)
+    return cell.isNull()
+
+
 def missing_rates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column, missing, missing_pct)`` for every column, in one pass."""
     columns = list(columns or df.columns)
     counts = df.select(
         F.count(F.lit(1)).alias("_rows"),
-        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"m{i}") for i, c in enumerate(columns)],
+        *[F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(columns)],
     )
     entries = F.array(
         *[
@@ -73,19 +81,27 @@ def drop_sparse(df: DataFrame, max_missing: float) -> DataFrame:
     Choosing columns needs the data: one aggregation returns a single row.
     """
     rates = df.select(
-        *[F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in df.columns]
+        *[F.avg(is_missing(df, c).cast("double")).alias(c) for c in df.columns]
     ).first()
     return df.drop(*[c for c in df.columns if (rates[c] or 0.0) > max_missing])
 
 
-def low_cardinality_columns(df: DataFrame, limit: int = 25, exact: bool = True) -> list[str]:
-    """String columns with fewer than ``limit`` distinct values."""
+def low_cardinality_columns(df: DataFrame, limit: int = 25) -> list[str]:
+    """String columns with fewer than ``limit`` distinct values.
+
+    Cells are counted in two levels, value and column, with one row per column
+    coming back.
+    """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     if not names:
         return []
-    measure = F.count_distinct if exact else F.approx_count_distinct
-    row = df.select(*[measure(c).alias(c) for c in names]).first()
-    return [c for c in names if row[c] < limit]
+    cells = _melt(df, [], names, "string").where("value IS NOT NULL")
+    few = (
+        cells.groupBy("feature", "value").agg(F.lit(1).alias("one"))
+        .groupBy("feature").agg(F.count("one").alias("n"))
+    )
+    counts = {r["feature"]: r["n"] for r in few.collect()}
+    return [c for c in names if counts.get(c, 0) < limit]
 
 
 def derive_target(
@@ -193,8 +209,9 @@ def categorical_only(df: DataFrame) -> DataFrame:
     return df.select(*[c for c, k in kinds.items() if k == CATEGORICAL])
 
 
-def first_features(df: DataFrame, count: int = 20) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in df.columns[:count]])
+def select_features(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named features, in the given order."""
+    return df.select(*[F.col(f"`{c}`") for c in names])
 
 
 def coerce_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:

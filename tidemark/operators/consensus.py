@@ -10,11 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import flag_list, ratio
 from ..session import join_small
 
-# Fixed thresholds of the published test selection: with at most 1000 reference
-# rows p-value tests at 0.05, above that distances at 0.1; numeric features with
-# at most 5 distinct values are treated like categories.
-SMALL_REFERENCE = 1000
-FEW_VALUES = 5
+# Fixed limits of the published tests: p-values at 0.05, distances at 0.1.
 P_LIMIT = 0.05
 DISTANCE_LIMIT = 0.1
 
@@ -27,29 +23,20 @@ KS_LIMIT = 0.3
 JS_LIMIT = 0.1
 
 
-def column_drift(table: DataFrame, stattest: str = "ks_chi2") -> DataFrame:
-    """Which test decides for each column, its score, and whether it drifted.
+NUMERIC_TESTS = ("ks", "wasserstein_normed", "js_divergence")
+CATEGORY_TESTS = ("chi2", "z", "js_distance")
 
-    ``'ks_chi2'``: KS for numeric and chi-squared for categorical columns.
-    ``'auto'``: chosen by reference size and number of distinct values; it needs
-    a feature table with the KS and Wasserstein metrics.
+
+def column_drift(table: DataFrame, numeric: str = "ks", categorical: str = "chi2") -> DataFrame:
+    """Score each column by the test named for its kind, and whether it drifted.
+
+    The feature table must hold the metric of the chosen test.
     """
-    numeric = F.col("kind") == "numeric"
-    if stattest == "ks_chi2":
-        test = F.when(numeric, F.lit("ks")).otherwise(F.lit("chi2"))
-    elif stattest == "auto":
-        test = (
-            F.when((F.col("n_ref") <= SMALL_REFERENCE) & numeric & (F.col("n_distinct") > FEW_VALUES), "ks")
-            .when((F.col("n_ref") <= SMALL_REFERENCE) & (F.col("n_distinct") == 2) & ~numeric, "z")
-            .when((F.col("n_ref") <= SMALL_REFERENCE) & ~numeric, "chi2")
-            .when(F.col("n_ref") <= SMALL_REFERENCE, "ks")
-            .when(numeric & (F.col("n_distinct") > FEW_VALUES), "wasserstein_normed")
-            .when(numeric, "js_divergence")
-            .otherwise("js_distance")
-        )
-    else:
-        raise ValueError(f"unknown stattest {stattest!r}")
-    named = table.withColumn("stattest", test)
+    if numeric not in NUMERIC_TESTS or categorical not in CATEGORY_TESTS:
+        raise ValueError(f"unknown tests {numeric!r}, {categorical!r}")
+    named = table.withColumn(
+        "stattest", F.when(F.col("kind") == "numeric", F.lit(numeric)).otherwise(F.lit(categorical))
+    )
     score = (
         F.when(F.col("stattest") == "ks", F.col("ks_pvalue"))
         .when(F.col("stattest") == "chi2", F.col("chi2_pvalue"))

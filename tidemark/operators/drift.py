@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.tails import (
-    chi2_tail, exact_kolmogorov_tail, kolmogorov_tail, normal_two_sided,
+    chi2_tail, kolmogorov_tail, normal_two_sided,
 )
-from ..session import at_most, join_small
+from ..session import join_small
 from .histogram import bin_sql
-from .prefix import collapse, needs_lanes, running_totals
+from .prefix import ROWS_PER_LANE, collapse, running_totals
 from .sides import CATEGORICAL, IS_REF, NUMERIC, WEIGHTS, feature_kinds, long_form, split_kinds
 
 PSI_BINS = 10
@@ -30,7 +30,6 @@ JS_BINS = 19
 JS_FLOOR = 1e-10
 P_LIMIT = 0.05
 STD_FLOOR = 0.001
-MAX_GROUPS = 1_000_000
 
 
 def _quoted(name: str) -> str:
@@ -186,19 +185,14 @@ def _bin(prefix: str, bins: int) -> Column:
     return F.expr(f"coalesce({bin_sql('value', lo, hi, width, bins)}, -1) AS {prefix}_bin")
 
 
-def _attach(rows: DataFrame, small: DataFrame, by: Sequence[str], shuffled: bool) -> DataFrame:
+def _attach(rows: DataFrame, small: DataFrame, by: Sequence[str]) -> DataFrame:
     """Attach a table with one row per ``(by..., feature)``.
 
     Without groups its size is the number of features.  With groups it grows
-    with their number: rows that are to be shuffled on these keys anyway are
-    joined without a hint, raw rows only against a table of checked size.
+    with their number, and adaptive execution chooses the join.
     """
     keys = [*by, "feature"]
-    if not by:
-        return join_small(rows, small, keys)
-    if shuffled:
-        return rows.join(small, keys)
-    return join_small(rows, at_most(small, MAX_GROUPS, "groups and features"), keys)
+    return rows.join(small, keys) if by else join_small(rows, small, keys)
 
 
 def _over_bins(cells: str, bin_field: str, bins: int, term: str) -> Column:
@@ -251,7 +245,7 @@ def _binned(
     name = f"{prefix}_bin"
     edges = with_edges(pairs, bins, bins).select(*keys, *_EDGES)
     cells = (
-        _attach(weighted, edges, by, shuffled=False)
+        _attach(weighted, edges, by)
         .select(*keys, *WEIGHTS, _bin(prefix, bins))
         .groupBy(*keys, name)
         .agg(*[F.sum(w).alias(w) for w in WEIGHTS])
@@ -319,7 +313,7 @@ def category_statistics(
         raise ValueError(f"expected must be 'scaled' or 'raw', not {expected!r}")
     keys = [*by, "feature"]
     totals = counts.groupBy(*keys).agg(F.sum("n_ref").alias("_ref"), F.sum("n_cur").alias("_cur"))
-    joined = _attach(counts, totals, by, shuffled=True).where("_ref > 0 AND _cur > 0")
+    joined = _attach(counts, totals, by).where("_ref > 0 AND _cur > 0")
     e = "CAST(n_ref AS DOUBLE)"
     if expected == "scaled":
         e = f"({e} * _cur / _ref)"
@@ -372,8 +366,7 @@ def numeric_table(
     by: Sequence[str] = (),
     metrics: Sequence[str] = NUMERIC_METRICS,
     corrected: bool = True,
-    lanes: bool | str = "auto",
-    exact_ks_rows: int = 0,
+    rows_per_lane: int = ROWS_PER_LANE,
 ) -> DataFrame:
     """All numeric metrics per feature in one chain.
 
@@ -391,19 +384,18 @@ def numeric_table(
     pairs = paired_moments(sided, features, by, coded=True)
     cells = long_form(sided, features, NUMERIC, by, coded=True)
     if ranked:
-        use_lanes = needs_lanes(sided) if lanes == "auto" else bool(lanes)
         cells = distinct_values(cells, by)
     # bins are a function of (feature, value): found before the ordered window,
     # where the distinct values are still spread over all tasks
     edges = with_edges(pairs).select(*keys, "ref_n", "cur_n", "ref_lo", *_EDGES)
-    placed = _attach(cells, edges, by, shuffled=ranked).select(
+    placed = _attach(cells, edges, by).select(
         *keys, "value", *WEIGHTS, "ref_n", "cur_n", "ref_lo",
         _bin("psi", PSI_BINS) if "psi" in metrics else F.expr("0 AS psi_bin"),
         _bin("js", JS_BINS) if "js" in metrics else F.expr("0 AS js_bin"),
     )
     if ranked:
         placed = running_totals(
-            placed, keys, "value", WEIGHTS, lanes=use_lanes, totals=False
+            placed, keys, "value", WEIGHTS, totals=False, rows_per_lane=rows_per_lane
         )
         sums = _rank_sums("ref_n", "cur_n", "ref_lo")
     else:
@@ -418,13 +410,9 @@ def numeric_table(
         F.expr("sum(n_values) AS n_distinct"),
         F.expr("collect_list(struct(psi_bin, js_bin, n_ref, n_cur)) AS _cells"),
     )
-    table = _attach(table, pairs, by, shuffled=True)
+    table = _attach(table, pairs, by)
 
     p_value = kolmogorov_tail("ks", "ref_n", "cur_n", corrected)
-    if exact_ks_rows and "ks" in metrics:
-        exact = exact_kolmogorov_tail("ks", "ref_n", "cur_n", exact_ks_rows)
-        table = table.withColumn("_exact", exact)
-        p_value = F.coalesce(F.col("_exact"), p_value)
 
     def shown(metric: str, column: Column | str, name: str) -> Column:
         if metric not in metrics:
@@ -462,22 +450,17 @@ def feature_table(
     features: Mapping[str, str] | None = None,
     by: Sequence[str] = (),
     metrics: Sequence[str] = NUMERIC_METRICS,
-    max_features: int | None = None,
     expected: str = "scaled",
     corrected: bool = True,
-    lanes: bool | str = "auto",
-    exact_ks_rows: int = 0,
+    rows_per_lane: int = ROWS_PER_LANE,
 ) -> DataFrame:
     """One row per feature with every drift metric and the per-test flags.
 
-    ``metrics`` and ``max_features`` give the light variant.  A metric that was
-    not asked for, or does not apply to the kind, is NULL.  KS p-values are
-    asymptotic; features whose sides both have at most ``exact_ks_rows`` rows get
-    the exact one.
+    Fewer ``metrics`` give the light variant, ``features`` names the columns.  A
+    metric that was not asked for, or does not apply to the kind, is NULL.  KS
+    p-values are asymptotic at every size.
     """
     kinds = dict(features) if features is not None else feature_kinds(sided, exclude=list(by))
-    if max_features is not None:
-        kinds = dict(list(kinds.items())[:max_features])
     numeric, categorical = split_kinds(kinds)
     if not numeric and not categorical:
         raise ValueError("no usable feature")
@@ -486,7 +469,7 @@ def feature_table(
     if numeric:
         parts.append(
             numeric_table(
-                sided, numeric, by, metrics, corrected, lanes, exact_ks_rows
+                sided, numeric, by, metrics, corrected, rows_per_lane
             ).selectExpr(
                 *keys, f"'{NUMERIC}' AS kind", "n_ref", "n_cur", "n_distinct", *_NUMERIC_OUT,
                 *[f"CAST(NULL AS DOUBLE) AS {c}" for c in _CATEGORICAL_OUT],

@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (
+    FeatureHasher, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ from .. import schema as S
 from .sides import CATEGORICAL, NUMERIC, feature_kinds
 
 NULL_CATEGORY = "__null__"
-MAX_CATEGORIES = 10_000
 
 
 def default_features(df: DataFrame, target: str = S.TARGET) -> tuple[list[str], list[str]]:
@@ -25,7 +26,7 @@ def default_features(df: DataFrame, target: str = S.TARGET) -> tuple[list[str],
 
 def fit_encoder(
     df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
-    output: str = "features", max_categories: int = MAX_CATEGORIES,
+    output: str = "features", hashed: int | None = None,
 ) -> PipelineModel:
     """Fit the preprocessing pipeline.
 
@@ -34,19 +35,16 @@ def fit_encoder(
     aggregation and applying it stays in generated code.  Categories are indexed
     in text order with NULL as its own category; unknown ones encode to zeros.
 
-    Category lists travel through the driver, so a column with more than
-    ``max_categories`` values is refused rather than encoded.
+    Category lists travel through the driver.  For columns with very many values
+    ``hashed`` gives the number of slots that all categories are hashed into
+    instead, which needs no list.
     """
     numeric, categorical = list(numeric), list(categorical)
     row = df.agg(
         *[F.avg(F.col(f"`{c}`").cast("double")).alias(f"m{i}") for i, c in enumerate(numeric)],
         *[F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s{i}") for i, c in enumerate(numeric)],
-        *[F.approx_count_distinct(f"`{c}`").alias(f"d{i}") for i, c in enumerate(categorical)],
         F.count(F.lit(1)).alias("_rows"),
     ).first()
-    for i, c in enumerate(categorical):
-        if row[f"d{i}"] > max_categories:
-            raise ValueError(f"{c} has about {row[f'd{i}']} categories, more than {max_categories}")
 
     parts = ["*"]
     for i, c in enumerate(numeric):
@@ -56,7 +54,14 @@ def fit_encoder(
         parts.append(f"coalesce(CAST(`{c}` AS STRING), '{NULL_CATEGORY}') AS `{c}__text`")
     prepare = SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
     stages = [prepare]
-    if categorical:
+    if categorical and hashed:
+        stages.append(
+            FeatureHasher(
+                inputCols=[f"{c}__text" for c in categorical], outputCol="hashed__onehot",
+                numFeatures=hashed,
+            )
+        )
+    elif categorical:
         stages += [
             StringIndexer(
                 inputCols=[f"{c}__text" for c in categorical],
@@ -71,7 +76,8 @@ def fit_encoder(
         ]
     stages.append(
         VectorAssembler(
-            inputCols=[f"{c}__scaled" for c in numeric] + [f"{c}__onehot" for c in categorical],
+            inputCols=[f"{c}__scaled" for c in numeric]
+            + (["hashed__onehot"] if hashed and categorical else [f"{c}__onehot" for c in categorical]),
             outputCol=output, handleInvalid="keep",
         )
     )
@@ -83,7 +89,7 @@ def encoded_names(model: PipelineModel) -> list[str]:
     assembler = model.stages[-1]
     numeric = [c.removesuffix("__scaled") for c in assembler.getInputCols() if c.endswith("__scaled")]
     names = [f"num__{c}" for c in numeric]
-    if len(model.stages) > 2:
+    if len(model.stages) > 3:
         indexer = model.stages[1]
         for col_name, labels in zip(indexer.getInputCols(), indexer.labelsArray):
             names += [f"cat__{col_name.removesuffix('__text')}_{v}" for v in labels]
@@ -126,26 +132,19 @@ def scaled_long(df: DataFrame, key: Sequence[str], numeric: Sequence[str]) -> Da
     return ready.select(*key, *scaled).unpivot(list(key), list(numeric), "feature", "value")
 
 
-def dummies(
-    df: DataFrame, columns: Sequence[str], drop_first: bool = True,
-    max_categories: int = MAX_CATEGORIES,
-) -> DataFrame:
+def dummies(df: DataFrame, columns: Sequence[str], drop_first: bool = True) -> DataFrame:
     """0/1 columns ``col_value`` per category in text order, the first left out.
 
-    The category lists become column names, so they are collected; the size of
-    each list is limited.
+    The category lists become column names, so they are collected.
     """
     found: dict[str, list[str]] = {c: [] for c in columns}
     pairs = (
         df.select(F.explode(F.array(*[
             F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns
         ])).alias("e"))
-        .select("e.*").where("v IS NOT NULL").distinct().limit(max_categories + 1)
+        .select("e.*").where("v IS NOT NULL").distinct()
     )
-    rows = pairs.collect()
-    if len(rows) > max_categories:
-        raise ValueError(f"more than {max_categories} categories")
-    for r in rows:
+    for r in pairs.collect():
         found[r["c"]].append(r["v"])
     made = []
     for c in columns:

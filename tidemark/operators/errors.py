@@ -92,16 +92,16 @@ def recent(errors: DataFrame, until: Column, hours: int = 24, ts: str = "ts") ->
 
 
 def error_report(classified: DataFrame, message: str = "message") -> DataFrame:
-    """Counts by severity, category, component and message head, plus the total.
+    """Counts by severity, category, component and message, plus the total.
 
     One pass with grouping sets: ``(dimension, key, n)``.
     """
     ready = classified.select(
-        "severity", "category", "component", F.substring(message, 1, 100).alias("head")
+        "severity", "category", "component", F.col(message).alias("message")
     )
     grouped = ready.groupingSets(
-        [["severity"], ["category"], ["component"], ["head"], []],
-        "severity", "category", "component", "head",
+        [["severity"], ["category"], ["component"], ["message"], []],
+        "severity", "category", "component", "message",
     ).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().alias("_set"))
     dimension = lookup(
         F.col("_set").cast("int"),
@@ -109,12 +109,12 @@ def error_report(classified: DataFrame, message: str = "message") -> DataFrame:
     )
     return grouped.select(
         dimension.alias("dimension"),
-        F.coalesce("severity", "category", "component", "head", F.lit("all")).alias("key"),
+        F.coalesce("severity", "category", "component", "message", F.lit("all")).alias("key"),
         "n",
     )
 
 
-def first_severe(classified: DataFrame, limit: int = 10, ts: str = "ts", key: str = "error_id"):
+def first_severe(classified: DataFrame, limit: int, ts: str = "ts", key: str = "error_id"):
     """The first HIGH/CRITICAL errors in time order."""
     return (
         classified.where(F.col("severity").isin("high", "critical")).orderBy(ts, key).limit(limit)

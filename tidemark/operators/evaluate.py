@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.scalar import flag_list, positive_ratio, ratio
 from ..session import join_small
 from .drift import P_LIMIT, distinct_values, long_form, rank_statistics, side_moments
-from .prefix import collapse, needs_lanes, running_totals
+from .prefix import collapse, running_totals
 from .sides import IS_REF, NUMERIC
 
 
@@ -85,25 +85,23 @@ def classification_report(
 
 def _score_totals(
     df: DataFrame, label: str, order: Column, by: Sequence[str], following: Sequence[str] = (),
-    lanes: bool | str = "auto",
 ) -> DataFrame:
-    use_lanes = needs_lanes(df) if lanes == "auto" else bool(lanes)
     y = F.col(label).cast("bigint")
     weighted = df.where(F.col(label).isNotNull()).select(
         *by, order.cast("double").alias("_order"), y.alias("pos"), (F.lit(1) - y).alias("neg")
     )
     distinct = collapse(weighted, by, "_order", ["pos", "neg"])
-    return running_totals(distinct, by, "_order", ["pos", "neg"], following, lanes=use_lanes)
+    return running_totals(distinct, by, "_order", ["pos", "neg"], following)
 
 
 def auc(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), lanes: bool | str = "auto"
+    df: DataFrame, label: str, score: str, by: Sequence[str] = ()
 ) -> DataFrame:
     """Area under the ROC curve as a rank statistic, ties counted half.
 
     With a single class the area is 0.
     """
-    run = _score_totals(df, label, F.col(score), by, lanes=lanes)
+    run = _score_totals(df, label, F.col(score), by)
     below = F.col("cum_neg") - F.col("neg")
     return run.groupBy(*by).agg(
         ratio(
@@ -118,14 +116,13 @@ def auc(
 
 def roc_points(
     df: DataFrame, label: str, score: str, by: Sequence[str] = (), thin: bool = True,
-    lanes: bool | str = "auto",
 ) -> DataFrame:
     """``(threshold, fpr, tpr)`` by descending score, from ``(inf, 0, 0)`` on.
 
     ``thin`` leaves out points on a straight segment: a point whose step equals
     the following step.  The first and last real points always stay.
     """
-    run = _score_totals(df, label, -F.col(score), by, ["pos", "neg"], lanes)
+    run = _score_totals(df, label, -F.col(score), by, ["pos", "neg"])
     first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
     keep = (
         first
@@ -188,7 +185,7 @@ def prediction_drift(sided: DataFrame, score: str) -> DataFrame:
         ]
     )
     ranks = rank_statistics(
-        distinct_values(long_form(sided, [score], NUMERIC)), lanes=needs_lanes(sided)
+        distinct_values(long_form(sided, [score], NUMERIC))
     ).select(
         F.col("ks_statistic").alias("prediction_ks_statistic"),
         F.col("ks_pvalue").alias("prediction_ks_pvalue"),
@@ -208,42 +205,43 @@ def performance_drift(sided: DataFrame, label: str, score: str, limit: float = 0
     """Change of accuracy, F1 and AUC between the sides.
 
     Scores with more than two distinct reference values are probabilities and
-    are cut at 0.5; otherwise they are taken as predictions.  AUC is reported
-    for probabilities only.
+    are cut at 0.5; otherwise they are taken as predictions.  The new AUC needs
+    more than two distinct new scores, the reference AUC and the difference need
+    that on both sides; a side with one class has no AUC.
     """
     # two distinct values are told by min, max and anything strictly between
-    span = sided.agg(
-        F.min(F.when(F.col(IS_REF), F.col(score))).alias("_lo"),
-        F.max(F.when(F.col(IS_REF), F.col(score))).alias("_hi"),
-    )
-    between = (F.col(score) > F.col("_lo")) & (F.col(score) < F.col("_hi")) & F.col(IS_REF)
-    kind = join_small(sided, span, []).agg(
-        (F.count_if(between) > 0).alias("_probabilities")
+    span = sided.groupBy(IS_REF).agg(F.min(score).alias("_lo"), F.max(score).alias("_hi"))
+    inner = join_small(sided.select(IS_REF, score), span, [IS_REF])
+    inner = inner.where((F.col(score) > F.col("_lo")) & (F.col(score) < F.col("_hi")))
+    kind = inner.agg(
+        F.coalesce(F.bool_or(IS_REF), F.lit(False)).alias("_ref"),
+        F.coalesce(F.bool_or(~F.col(IS_REF)), F.lit(False)).alias("_new"),
     )
     marked = join_small(sided, kind, []).withColumn(
-        "_pred",
-        F.when(F.col("_probabilities"), predicted(score)).otherwise(F.col(score).cast("int")),
+        "_pred", F.when(F.col("_ref"), predicted(score)).otherwise(F.col(score).cast("int"))
     )
     metrics = binary_metrics(marked, label, "_pred", [IS_REF])
-    areas = auc(sided, label, score, [IS_REF]).select(IS_REF, "auc")
+    areas = auc(sided, label, score, [IS_REF]).join(
+        sided.groupBy(IS_REF).agg(F.count_distinct(label).alias("_classes")), IS_REF
+    ).select(IS_REF, F.when(F.col("_classes") > 1, F.col("auc")).alias("auc"))
     both = join_small(join_small(metrics, areas, [IS_REF]), kind, [])
     picks = [
         F.max(F.when(F.col(IS_REF) == F.lit(is_ref), F.col(m))).alias(f"{side}_data_{m}")
         for side, is_ref in (("ref", True), ("new", False))
         for m in ("accuracy", "f1", "auc")
     ]
-    wide = both.agg(F.max("_probabilities").alias("_probabilities"), *picks)
+    wide = both.agg(F.max("_ref").alias("_ref"), F.max("_new").alias("_new"), *picks)
     acc = F.abs(F.col("new_data_accuracy") - F.col("ref_data_accuracy"))
     f1 = F.abs(F.col("new_data_f1") - F.col("ref_data_f1"))
     area = F.abs(F.col("new_data_auc") - F.col("ref_data_auc"))
-    show = F.col("_probabilities")
+    shown = F.col("_ref") & F.col("_new")
     return wide.select(
         "ref_data_accuracy", "new_data_accuracy", "ref_data_f1", "new_data_f1",
-        F.when(show, F.col("ref_data_auc")).alias("ref_data_auc"),
-        F.when(show, F.col("new_data_auc")).alias("new_data_auc"),
+        F.when(shown, F.col("ref_data_auc")).alias("ref_data_auc"),
+        F.when(F.col("_new"), F.col("new_data_auc")).alias("new_data_auc"),
         acc.alias("accuracy_drift"),
         f1.alias("f1_drift"),
-        F.when(show, area).alias("auc_drift"),
+        F.when(shown, area).alias("auc_drift"),
         (F.col("ref_data_accuracy") - F.col("new_data_accuracy")).alias("performance_degradation"),
         ((acc > limit) | (f1 > limit)).alias("performance_concept_drift"),
     )

@@ -6,6 +6,7 @@ function of its input.
 
 from __future__ import annotations
 
+import hashlib
 import random
 from collections.abc import Mapping, Sequence
 
@@ -108,11 +109,11 @@ def shift_all_numeric(
 
 def mixed_drift(
     df: DataFrame, intensity: float, ordinal: str = "age_ordinal", drift_type: str = "mixed",
-    seed: int = 42,
+    seed: int = 42, columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Covariate part (weight 0.6) and concept part (0.4), or one of them alone.
 
-    The covariate part shifts each of the first five numeric columns with
+    The covariate part shifts each of ``columns`` (default: all numeric ones) with
     probability 0.7; the concept part moves the ordinal column.
     """
     weights = {
@@ -121,8 +122,8 @@ def mixed_drift(
     covariate, concept = weights[drift_type]
     if covariate:
         rng = random.Random(seed)
-        numeric = [f for f, k in feature_kinds(df).items() if k == NUMERIC][:5]
-        chosen = [f for f in numeric if rng.random() < 0.7]
+        numeric = [f for f, k in feature_kinds(df).items() if k == NUMERIC]
+        chosen = [f for f in (columns if columns is not None else numeric) if rng.random() < 0.7]
         df = covariate_drift(df, chosen, intensity * covariate)
     if concept and ordinal in df.columns:
         df = df.withColumn(ordinal, F.col(ordinal) + F.lit(intensity * concept * 10))
@@ -184,40 +185,54 @@ def concept_drift_batch(
 # --------------------------------------------------------------- quality issues
 def inject_nulls(
     df: DataFrame, key: Sequence[str], columns: Sequence[str], row_fraction: float,
-    cell_probability: float = 0.4, seed: int = 42,
+    cell_probability: float = 0.4, seed: int = 42, affected: int = 3,
 ) -> DataFrame:
-    """Blank cells of up to three columns in a fraction of the rows."""
+    """Blank cells in a fraction of the rows.
+
+    ``affected`` of the ``columns`` are hit, those with the smallest hashes of
+    seed and name; if there are fewer, all are.
+    """
+    hit = sorted(columns, key=lambda c: hashlib.md5(f"{seed}:{c}".encode()).hexdigest())[:affected]
     chosen = hash_fraction(f"{seed}-row", *key) < row_fraction
     return df.withColumns(
         {
             c: F.when(~(chosen & (hash_fraction(f"{seed}-{c}", *key) < cell_probability)), F.col(c))
-            for c in list(columns)[:3]
+            for c in hit
         }
     )
 
 
+def _one_of(columns: Sequence[str], key: Sequence[str], seed: int | str) -> Column:
+    """The position of the column that is hit in a row, drawn by hash."""
+    return F.floor(hash_fraction(f"{seed}-column", *key) * len(columns))
+
+
 def corrupt_strings(
     df: DataFrame, key: Sequence[str], columns: Sequence[str], fraction: float, seed: int = 42
 ) -> DataFrame:
-    """Overwrite one character of longer strings with ``X``."""
+    """Overwrite one character with ``X`` in a fraction of the rows, in one column of each."""
+    column = _one_of(columns, key, seed)
+    struck = hash_fraction(f"{seed}-hit", *key) < fraction
     changed = {}
-    for c in columns:
-        hit = (hash_fraction(f"{seed}-hit-{c}", *key) < fraction) & (F.length(c) > 1)
-        spot = F.floor(hash_fraction(f"{seed}-pos-{c}", *key) * F.length(c)) + 1
-        changed[c] = F.when(hit, F.overlay(F.col(c), F.lit("X"), spot.cast("int"))).otherwise(
-            F.col(c)
-        )
+    for i, c in enumerate(columns):
+        spot = F.floor(hash_fraction(f"{seed}-pos", *key) * F.length(c)) + 1
+        changed[c] = F.when(
+            struck & (column == i) & (F.length(c) > 1),
+            F.overlay(F.col(c), F.lit("X"), spot.cast("int")),
+        ).otherwise(F.col(c))
     return df.withColumns(changed)
 
 
 def inject_outliers(
     df: DataFrame, key: Sequence[str], columns: Sequence[str], fraction: float, seed: int = 42
 ) -> DataFrame:
+    """An outlier in a fraction of the rows, in one column of each."""
+    column = _one_of(columns, key, f"{seed}-out")
+    struck = hash_fraction(f"{seed}-out", *key) < fraction
     return df.withColumns(
         {
-            c: F.when(hash_fraction(f"{seed}-out-{c}", *key) < fraction, F.lit(OUTLIER))
-            .otherwise(F.col(c)).cast(df.schema[c].dataType)
-            for c in columns
+            c: F.when(struck & (column == i), F.lit(OUTLIER)).otherwise(F.col(c)).cast(df.schema[c].dataType)
+            for i, c in enumerate(columns)
         }
     )
 

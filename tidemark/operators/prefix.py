@@ -26,20 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.keys import value_fraction
-from ..session import at_most, join_small
+from ..session import join_keyed, join_small
 
 ROWS_PER_LANE = 4_000_000
-MAX_LANES = 4096
 SAMPLES_PER_LANE = 64
-MAX_KEYS = 1_000_000
-
-
-def needs_lanes(df: DataFrame, rows_per_lane: int = ROWS_PER_LANE) -> bool:
-    """Whether a feature of ``df`` can have more distinct values than fit one lane.
-
-    Row count bounds the number of distinct values; counting reads no column.
-    """
-    return df.count() > rows_per_lane
+#: Jumps of the binary search over lane bounds; 2 ** 24 lanes hold any table.
+_JUMPS = 24
+#: Keys whose number of values is fixed by the table's columns.
+_FEW = {"feature", "_one"}
 
 
 def collapse(df: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str]) -> DataFrame:
@@ -57,15 +51,13 @@ def collapse(df: DataFrame, keys: Sequence[str], value: str, sums: Sequence[str]
     return grouped.where(alive > 0)
 
 
-def count_below(bounds: Column, value: Column, max_bounds: int = MAX_LANES) -> Column:
+def count_below(bounds: Column, value: Column) -> Column:
     """How many entries of a sorted array are below ``value`` (binary search)."""
-    steps = []
-    step = 1
-    while step <= max_bounds:
-        steps.insert(0, F.lit(step))
-        step *= 2
+    jumps = F.filter(
+        F.array(*[F.lit(1 << i) for i in reversed(range(_JUMPS))]), lambda j: j <= F.size(bounds)
+    )
     search = F.aggregate(
-        F.array(*steps),
+        jumps,
         F.lit(0),
         lambda pos, jump: F.when(
             (pos + jump <= F.size(bounds)) & (F.get(bounds, pos + jump - 1) < value), pos + jump
@@ -80,24 +72,22 @@ def running_totals(
     value: str,
     sums: Sequence[str],
     following: Sequence[str] = (),
-    lanes: bool = False,
+    lanes: bool = True,
     totals: bool = True,
     rows_per_lane: int = ROWS_PER_LANE,
-    max_lanes: int = MAX_LANES,
 ) -> DataFrame:
     """Add ``cum_<s>`` (inclusive), ``total_<s>`` and, on request, ``next_<c>``.
 
     ``collapsed`` holds one row per ``(keys, value)``.  ``following`` names
-    columns whose value in the next row of the same key is wanted.  Without
-    ``lanes`` one plain window is used, which suits tables whose number of values
-    per key is known to be small (histogram bins, hash digits, classes, or any
-    table for which :func:`needs_lanes` is false).  ``totals=False`` leaves the
-    totals out where the caller has them already.
+    columns whose value in the next row of the same key is wanted.  The number
+    of lanes follows the data inside the plan; a key with few values has one.
+    ``lanes=False`` is for values of a fixed small domain (histogram bins, hash
+    digits).  ``totals=False`` leaves the totals out where the caller has them.
     """
     if not keys:
         out = running_totals(
             collapsed.withColumn("_one", F.lit(0)),
-            ["_one"], value, sums, following, lanes, totals, rows_per_lane, max_lanes,
+            ["_one"], value, sums, following, lanes, totals, rows_per_lane,
         )
         return out.drop("_one")
 
@@ -112,23 +102,20 @@ def running_totals(
             *[F.lead(c).over(ordered).alias(f"next_{c}") for c in following],
         )
 
-    per_key = at_most(
+    # one row per feature is broadcast; keys that grow with the data are joined without a hint
+    attach = join_small if set(keys) <= _FEW else join_keyed
+    per_key = (
         collapsed.groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("_distinct"),
             *[F.sum(s).alias(f"total_{s}") for s in sums],
         )
         .withColumn(
-            "_lanes",
-            F.least(
-                F.lit(max_lanes), F.ceil(F.col("_distinct") / F.lit(float(rows_per_lane)))
-            ).cast("int"),
-        ),
-        MAX_KEYS,
-        "keys of a running total",
+            "_lanes", F.ceil(F.col("_distinct") / F.lit(float(rows_per_lane))).cast("int")
+        )
     )
     many = per_key.where("_lanes > 1").select(*keys, "_lanes", "_distinct")
-    sample = join_small(collapsed, many, keys, null_safe=True).where(
+    sample = attach(collapsed, many, keys, null_safe=True).where(
         value_fraction(F.col(value))
         < F.lit(float(SAMPLES_PER_LANE)) * F.col("_lanes") / F.col("_distinct")
     )
@@ -147,7 +134,7 @@ def running_totals(
         )
     )
     value_type = collapsed.schema[value].dataType
-    shape = join_small(per_key, bounds, keys, "left", null_safe=True).select(
+    shape = attach(per_key, bounds, keys, "left", null_safe=True).select(
         *keys,
         *[f"total_{s}" for s in sums],
         F.coalesce("_bounds", F.array().cast(f"array<{value_type.simpleString()}>")).alias(
@@ -155,8 +142,8 @@ def running_totals(
         ),
     )
     laned = (
-        join_small(collapsed, shape, keys, null_safe=True)
-        .withColumn("_lane", count_below(F.col("_bounds"), F.col(value), max_lanes))
+        attach(collapsed, shape, keys, null_safe=True)
+        .withColumn("_lane", count_below(F.col("_bounds"), F.col(value)))
         .drop("_bounds")
     )
 
@@ -177,7 +164,7 @@ def running_totals(
     )
     inside = Window.partitionBy(*lane_keys).orderBy(value)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = join_small(laned, offsets, lane_keys, null_safe=True)
+    placed = join_keyed(laned, offsets, lane_keys)
     out = placed.select(
         *collapsed.columns,
         *[(F.sum(s).over(upto) + F.col(f"_off_{s}")).alias(f"cum_{s}") for s in sums],

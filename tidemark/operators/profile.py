@@ -8,12 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ratio
-from ..session import at_most, join_small
-from .cleaning import missing_rates
-from .prefix import collapse, exact_quantiles, needs_lanes, running_totals
+from ..session import join_keyed, join_small
+from .cleaning import is_missing, missing_rates
+from .prefix import collapse, exact_quantiles, running_totals
 from .sides import CATEGORICAL, IS_REF, NUMERIC, _melt, feature_kinds, split_kinds
 
-MAX_GROUPS = 1_000_000
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -23,13 +22,12 @@ def _numeric_cells(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()
 
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probs: dict[str, float] = QUARTILES,
-    by: Sequence[str] = (), lanes: bool | str = "auto",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Exact linear-interpolated quantiles per column."""
-    use_lanes = needs_lanes(df) if lanes == "auto" else bool(lanes)
     keys = [*by, "feature"]
     distinct = collapse(_numeric_cells(df, columns, by), keys, "value", ["n"])
-    run = running_totals(distinct, keys, "value", ["n"], lanes=use_lanes)
+    run = running_totals(distinct, keys, "value", ["n"])
     return exact_quantiles(run, keys, "value", "n", probs)
 
 
@@ -105,9 +103,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     )
     cells = _numeric_cells(df, columns, by).where(F.col("value").isNotNull())
     inside = (F.col("value") >= F.col("_low")) & (F.col("value") <= F.col("_high"))
-    if by:
-        fences = at_most(fences, MAX_GROUPS, "groups and features")
-    return join_small(cells, fences, keys).groupBy(*keys, "q1", "median", "q3").agg(
+    attach = join_keyed if by else join_small
+    return attach(cells, fences, keys).groupBy(*keys, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
         F.count_if(~inside).alias("outliers"),
@@ -150,8 +147,12 @@ def quality_profile(sided: DataFrame) -> DataFrame:
     kinds = feature_kinds(sided)
     numeric, categorical = split_kinds(kinds)
     features = numeric + categorical
+    # NaN counts as missing
+    cells = sided.select(
+        IS_REF, *[F.when(~is_missing(sided, c), F.col(f"`{c}`")).alias(c) for c in features]
+    )
     freq = (
-        category_frequencies(sided, features, [IS_REF])
+        category_frequencies(cells, features, [IS_REF])
         .groupBy(IS_REF, "feature")
         .agg(
             F.sum("n").alias("rows"),

@@ -18,10 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import row_key
-from ..session import at_most, join_small
-from .prefix import needs_lanes, running_totals
-
-MAX_STRATA = 10_000
+from ..session import join_keyed, join_small
+from .prefix import running_totals
 
 CutSpec = Mapping[str, Callable[[Column], Column]]
 
@@ -32,7 +30,6 @@ def cut_tuples(
     cuts: CutSpec | DataFrame,
     strata: Sequence[str] = (),
     bounded: Sequence[str] = (),
-    lanes: bool | str = "auto",
 ) -> DataFrame:
     """Locate the k-th row for each named cut.
 
@@ -44,8 +41,7 @@ def cut_tuples(
 
     Returns ``(strata..., cut, <order_by columns at the cut>)``.
     """
-    if lanes == "auto":
-        lanes = any(c not in bounded for c in order_by) and needs_lanes(df)
+    attach = join_keyed if strata else join_small
     found: list[str] = []
     level = None
     for depth, key in enumerate(order_by):
@@ -64,12 +60,13 @@ def cut_tuples(
                 same = same & df[c].eqNullSafe(F.col(f"_s_{c}"))
             for c in found:
                 same = same & (df[c] == F.col(f"_at_{c}"))
+            # without strata there is one row per cut
             counted = (
-                df.join(F.broadcast(at_most(renamed, MAX_STRATA, "cuts")), same)
+                df.join(renamed if strata else F.broadcast(renamed), same)
                 .groupBy(*group, key)
                 .agg(F.count(F.lit(1)).alias("_n"))
             )
-        run = running_totals(counted, group, key, ["_n"], lanes=lanes and key not in bounded)
+        run = running_totals(counted, group, key, ["_n"], lanes=key not in bounded)
         first = F.col("cum__n") - F.col("_n")
         if depth == 0 and not isinstance(cuts, DataFrame):
             options = F.array(
@@ -88,8 +85,8 @@ def cut_tuples(
             )
         else:
             if depth == 0:
-                wanted = at_most(cuts, MAX_STRATA, "cut table").withColumnRenamed("k", "_k")
-                run = join_small(run, wanted, strata, null_safe=True).withColumn(
+                wanted = cuts.withColumnRenamed("k", "_k")
+                run = attach(run, wanted, strata, null_safe=True).withColumn(
                     "_k", F.least("_k", "total__n")
                 )
             level = run.where((F.col("_k") > first) & (F.col("_k") <= F.col("cum__n"))).select(
@@ -121,8 +118,8 @@ def side_of_cuts(
     wide = cuts.groupBy(*strata).agg(
         *[F.max(F.when(F.col("cut") == n, at_cut)).alias(f"_cut_{n}") for n in names]
     )
-    wide = at_most(wide, MAX_STRATA, "strata")
-    placed = join_small(df, wide, strata, "left", null_safe=True)
+    attach = join_keyed if strata else join_small
+    placed = attach(df, wide, strata, "left", null_safe=True)
     label = F.lit(rest).cast("string")
     for n in reversed(list(names)):
         covered = F.col(f"_cut_{n}").isNotNull() & (F.struct(*order_by) <= F.col(f"_cut_{n}"))
@@ -134,20 +131,15 @@ HASH_PARTS = ["_h1", "_h2", "_h3"]
 
 
 def with_hash_order(
-    df: DataFrame, seed: int | str, key: Sequence[str], deep: bool | str = "auto"
+    df: DataFrame, seed: int | str, key: Sequence[str]
 ) -> tuple[DataFrame, list[str]]:
     """Add the MD5 order of ``key`` and name the columns that hold it.
 
-    A large table gets three columns, two of 4096 values each and the tail: the
-    first two passes of a selection then count at most 4096 values each and the
-    third sees one row in sixteen million.  A table that fits one lane is
-    ordered by the whole digest in one pass.
+    There are three columns, two of 4096 values each and the tail: the first two
+    passes of a selection count at most 4096 values each and the third sees one
+    row in sixteen million.
     """
     digest = row_key(seed, *key)
-    if deep == "auto":
-        deep = needs_lanes(df)
-    if not deep:
-        return df.withColumn("_h1", digest), ["_h1"]
     parts = df.withColumn("_h", digest).withColumns(
         {
             "_h1": F.substring("_h", 1, 3),
@@ -167,10 +159,9 @@ def hash_split(
     rest: str | None,
     column: str = "split",
     strata: Sequence[str] = (),
-    deep: bool | str = "auto",
 ) -> DataFrame:
     """Split rows at exact counts along the pseudo-random MD5 order of ``key``."""
-    hashed, order = with_hash_order(df, seed, key, deep)
+    hashed, order = with_hash_order(df, seed, key)
     found = cut_tuples(hashed, order, cuts, strata, bounded=order)
     return side_of_cuts(hashed, order, found, names, rest, column, strata).drop(*order)
 

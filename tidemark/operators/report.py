@@ -26,15 +26,16 @@ def metric_or_param(name: str, default: Column | None = None) -> Column:
 
 def search_runs(
     runs: DataFrame, where: Column | str | None = None, experiment: str | None = None,
-    limit: int = 200,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Most recent runs first, with an optional filter."""
+    """Most recent runs first, with an optional filter; all of them unless ``limit`` is given."""
     found = runs
     if experiment is not None:
         found = found.where(F.col("experiment") == experiment)
     if where is not None:
         found = found.where(where)
-    return found.orderBy(F.desc("start_time"), "run_id").limit(limit)
+    found = found.orderBy(F.desc("start_time"), "run_id")
+    return found if limit is None else found.limit(limit)
 
 
 def latest_per_batch(runs: DataFrame) -> DataFrame:

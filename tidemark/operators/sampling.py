@@ -11,13 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..functions.keys import row_key
-from ..session import at_most, join_small
-from .ranks import (
-    MAX_STRATA, cut_tuples, first_rows, hash_split, side_of_cuts, with_hash_order,
-)
+from ..session import join_small
+from .ranks import cut_tuples, first_rows, hash_split, side_of_cuts, with_hash_order
 
 
 def chronological_split(
@@ -72,22 +68,29 @@ def stratified_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
 
     The test part has ``ceil(n * test_size)`` rows in total.
     """
-    per_class = at_most(
-        df.groupBy(label).agg(F.count(F.lit(1)).alias("_c")), MAX_STRATA, "classes"
+    per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
+    total = per_class.agg(F.sum("_c").alias("_total"))
+    draw = F.col("_total") - F.ceil(F.col("_total") * F.lit(test_size))
+    # classes in the order of their remainders; a NULL class sorts by its mark
+    shares = join_small(per_class, total, []).select(
+        label,
+        F.floor(F.col("_c") / F.col("_total") * draw).alias("_floor"),
+        (F.floor(F.col("_c") / F.col("_total") * draw) - F.col("_c") / F.col("_total") * draw)
+        .alias("_behind"),
+        F.col(label).isNull().alias("_none"),
+        F.coalesce(F.col(label).cast("string"), F.lit("")).alias("_name"),
+        draw.alias("_draw"),
     )
-    everything = Window.partitionBy(F.lit(0))
-    total = F.sum("_c").over(everything)
-    draw = total - F.ceil(total * F.lit(test_size))
-    shares = per_class.withColumn("_draw", draw).withColumn(
-        "_share", F.col("_c") / total * F.col("_draw")
+    missing = shares.agg((F.max("_draw") - F.sum("_floor")).cast("bigint").alias("k")).select(
+        F.lit("more").alias("cut"), "k"
     )
-    floored = F.floor("_share")
-    missing = F.col("_draw") - F.sum(floored).over(everything)
-    by_remainder = everything.orderBy(F.desc(F.col("_share") - floored), F.col(label))
-    return shares.select(
+    order = ["_behind", "_none", "_name"]
+    # a remainder is a function of the class size, and sizes that differ are few
+    cuts = cut_tuples(shares, order, missing, bounded=["_behind", "_none"])
+    return side_of_cuts(shares, order, cuts, ["more"], None, "_side").select(
         label,
         F.lit("train").alias("cut"),
-        (floored + (F.row_number().over(by_remainder) <= missing).cast("bigint")).alias("k"),
+        (F.col("_floor") + F.coalesce(F.col("_side") == "more", F.lit(False)).cast("bigint")).alias("k"),
     )
 
 
@@ -122,17 +125,8 @@ def split_batch(
     )
 
 
-SORTED_LIMIT = 100_000
-
-
 def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, without replacement.
-
-    Small samples are a top-n over the hash key; large ones are cut by position,
-    which moves no rows.
-    """
-    if n <= SORTED_LIMIT:
-        return df.withColumn("_h", row_key(seed, *key)).orderBy("_h").limit(n).drop("_h")
+    """Exactly ``min(n, rows)`` rows, without replacement, cut by position along the hash order."""
     return (
         hash_split(df, key, seed, {"in": lambda total: F.lit(n)}, ["in"], None, "_side")
         .where("_side = 'in'")
@@ -140,13 +134,6 @@ def sample_rows(df: DataFrame, key: Sequence[str], n: int, seed: int = 42) -> Da
     )
 
 
-def cap_rows(
-    df: DataFrame, key: Sequence[str], limit: int = 5000, seed: int = 42
-) -> DataFrame:
-    """Bound a reference table to exactly ``limit`` sampled rows."""
-    return sample_rows(df, key, limit, seed)
-
-
 def sample_per_stratum(
     df: DataFrame, key: Sequence[str], strata: Sequence[str], n: int, seed: int = 42
 ) -> DataFrame:
@@ -267,7 +254,7 @@ def first_per_entity(df: DataFrame, entity: Sequence[str], order_by: Sequence[st
 
 
 __all__ = [
-    "cap_rows", "chronological_split", "first_per_entity", "first_rows", "oversample",
+    "chronological_split", "first_per_entity", "first_rows", "oversample",
     "priority_fill", "row_window", "sample_per_stratum", "sample_rows", "split_batch",
     "stratified_quotas", "stratified_split", "swap_rows",
 ]

@@ -14,11 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import at_most, join_small
 
 IS_REF = "is_ref"
 WEIGHTS = ["n_ref", "n_cur"]
-MAX_GROUPS = 10_000
 
 NUMERIC = "numeric"
 CATEGORICAL = "categorical"
@@ -108,14 +106,10 @@ def long_form(
     current = cells.where(f"NOT {IS_REF}").selectExpr(
         *by, "feature", "value", "0L AS n_ref", "1L AS n_cur"
     )
-    groups = at_most(
-        sided.where(~F.col(IS_REF)).select(*by).distinct(), MAX_GROUPS, "groups of one comparison"
-    )
+    groups = sided.where(~F.col(IS_REF)).select(*by).distinct()
     reference = (
-        join_small(
-            cells.where(IS_REF).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n_ref")),
-            groups, [],
-        )
+        cells.where(IS_REF).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n_ref"))
+        .crossJoin(groups)
         .selectExpr(*by, "feature", "value", "n_ref", "0L AS n_cur")
     )
     return current.unionByName(reference)

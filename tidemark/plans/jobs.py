@@ -23,7 +23,7 @@ TRAINING_EXPERIMENT = "training"
 
 def drift_run(
     reference: DataFrame, current: DataFrame, batch_number: int, log_path: str | None = None,
-    features: Mapping[str, str] | None = None, stattest: str = "ks_chi2",
+    features: Mapping[str, str] | None = None, tests: tuple[str, str] = ("ks", "chi2"),
     threshold: float = consensus.DATASET_SHARE, on_error: str = "raise",
 ) -> DataFrame:
     """Verdict for one batch against the reference, optionally logged.
@@ -37,7 +37,7 @@ def drift_run(
     kinds = dict(features or feature_kinds(reference))
     try:
         sided = stack_sides(reference, current)
-        columns = consensus.column_drift(feature_table(sided, kinds), stattest)
+        columns = consensus.column_drift(feature_table(sided, kinds), *tests)
         decided = consensus.consensus(consensus.drift_summary(columns, threshold=threshold))
         row = decided.select(
             "n_drifted_columns", "n_columns", "drift_share", "dataset_drift", "consensus_drift",

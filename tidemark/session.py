@@ -10,19 +10,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's ``spark.checkpoint.dir``.
 
-    Only when that setting is absent (tests on one machine) is a temporary
-    folder created and used.
+    Where the setting is absent a temporary folder serves a session on one
+    machine; on a cluster that is an error, as executors would not see it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
@@ -48,33 +49,26 @@ def join_small(
 ) -> DataFrame:
     """Broadcast join for a side whose row count is bounded by construction.
 
-    Callers pass tables with one row per feature or rule, or tables guarded by
-    :func:`at_most`.  With no key columns the small side is a single row and is
-    attached to all.  Sides that grow with the data are joined without a hint:
-    adaptive execution then checks their real size and falls back to a
-    sort-merge join.
+    Callers pass tables with one row per feature, side or rule.  With no key
+    columns the small side is a single row and is attached to all.  Sides that
+    grow with the data go through :func:`join_keyed`.
     """
     if not on:
         return big.crossJoin(F.broadcast(small))
-    if not null_safe:
-        return big.join(F.broadcast(small), list(on), how)
-    renamed = small.select(
-        *[F.col(c).alias(f"_j_{c}") for c in on], *[c for c in small.columns if c not in on]
-    )
-    cond = functools.reduce(operator.and_, [big[c].eqNullSafe(F.col(f"_j_{c}")) for c in on])
-    return big.join(F.broadcast(renamed), cond, how).drop(*[f"_j_{c}" for c in on])
+    return join_keyed(big, F.broadcast(small), on, how, null_safe)
 
 
-def at_most(df: DataFrame, rows: int, what: str) -> DataFrame:
-    """Pass a table through, failing the query if it has more than ``rows`` rows.
+def join_keyed(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", null_safe: bool = True
+) -> DataFrame:
+    """Equi-join without a hint of its own: adaptive execution sees the real sizes and decides.
 
-    Used on tables whose size depends on the data (class labels, groups) before
-    they are broadcast.  The check is part of the plan: it starts no job, and it
-    never moves more than ``rows + 1`` rows into one task.
+    ``null_safe`` lets NULL keys meet.
     """
-    everything = Window.partitionBy(F.lit(0))
-    fits = F.when(
-        F.count(F.lit(1)).over(everything) > rows,
-        F.raise_error(F.lit(f"{what}: more than {rows} rows, refusing to broadcast")),
-    ).otherwise(F.lit(True))
-    return df.limit(rows + 1).withColumn("_fits", fits).where("_fits").drop("_fits")
+    if not null_safe:
+        return left.join(right, list(on), how)
+    renamed = right.select(
+        *[F.col(c).alias(f"_j_{c}") for c in on], *[c for c in right.columns if c not in on]
+    )
+    cond = functools.reduce(operator.and_, [left[c].eqNullSafe(F.col(f"_j_{c}")) for c in on])
+    return left.join(renamed, cond, how).drop(*[f"_j_{c}" for c in on])

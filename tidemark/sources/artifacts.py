@@ -7,19 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import at_most
-
-MAX_POINTS = 1_000_000
 ROC_SCHEMA = "struct<fpr:array<double>,tpr:array<double>,thresholds:array<double>,auc:double>"
 
 
 def roc_arrays(points: DataFrame, areas: DataFrame, by: Sequence[str] = ("model",)) -> DataFrame:
     """Curve points gathered into parallel arrays, one row per model.
 
-    The artifact is one document, so its arrays have to fit in a row: more than
-    ``MAX_POINTS`` points are refused.  Keep such curves as point rows.
+    The artifact is one document, so a curve has to fit in a row.  A very long
+    one stays in point rows, or is thinned by the caller.
     """
-    points = at_most(points, MAX_POINTS, "points of a curve artifact")
     point = F.struct((-F.col("threshold")).alias("o"), "fpr", "tpr", "threshold")
     curve = points.groupBy(*by).agg(F.array_sort(F.collect_list(point)).alias("_p"))
     return curve.join(areas.select(*by, "auc"), list(by)).select(

@@ -24,7 +24,7 @@ def list_batches(spark: SparkSession, path: str, pattern: str = "batch_*.csv") -
     return files.select(name.alias("batch_id"), "path", "size_bytes", "modified")
 
 
-def oldest_first(manifest: DataFrame, limit: int = PARALLEL_LIMIT) -> DataFrame:
+def oldest_first(manifest: DataFrame, limit: int) -> DataFrame:
     """The batches to process next; sorted before the limit is applied."""
     return manifest.orderBy("modified", "batch_id").limit(limit)
 

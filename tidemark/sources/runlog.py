@@ -50,6 +50,6 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def search(
     spark: SparkSession, path: str, where: Column | str | None = None,
-    experiment: str | None = None, limit: int = 200,
+    experiment: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     return search_runs(read(spark, path), where, experiment, limit)

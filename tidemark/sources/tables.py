@@ -81,8 +81,10 @@ def stored_partition(spark: SparkSession, path: str, number: int) -> DataFrame |
     """A stored batch partition, or None when there is no such partition yet."""
     try:
         found = read_batch(spark, path, number)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     return found if found.take(1) else None
 
 
@@ -95,16 +97,10 @@ def get_or_create_test_set(
     stored = stored_partition(spark, path, number)
     if stored is None:
         held_out = stratified_split(batch, key, label, test_size, seed).where("split = 'test'")
+        # only this batch's directory is replaced, so a repeated attempt adds nothing
         held_out.drop("split", BATCH).withColumn(BATCH, F.lit(number)).write.mode(
-            "append"
-        ).partitionBy(BATCH).parquet(path)
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
         stored = read_batch(spark, path, number)
     return stored
 
-
-def union_schema(frames: Mapping[str, DataFrame]) -> list[str]:
-    """All column names over several tables, in order of first appearance."""
-    names: dict[str, None] = {}
-    for df in frames.values():
-        names.update(dict.fromkeys(df.columns))
-    return list(names)
