@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import join_small
 from .ranks import cut_tuples, first_rows, hash_split, side_of_cuts, with_hash_order
@@ -71,26 +72,29 @@ def stratified_quotas(df: DataFrame, label: str, test_size: float) -> DataFrame:
     per_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("_c"))
     total = per_class.agg(F.sum("_c").alias("_total"))
     draw = F.col("_total") - F.ceil(F.col("_total") * F.lit(test_size))
-    # classes in the order of their remainders; a NULL class sorts by its mark
+    share = F.col("_c") / F.col("_total") * draw
     shares = join_small(per_class, total, []).select(
-        label,
-        F.floor(F.col("_c") / F.col("_total") * draw).alias("_floor"),
-        (F.floor(F.col("_c") / F.col("_total") * draw) - F.col("_c") / F.col("_total") * draw)
-        .alias("_behind"),
-        F.col(label).isNull().alias("_none"),
-        F.coalesce(F.col(label).cast("string"), F.lit("")).alias("_name"),
+        label, F.floor(share).alias("_floor"), (F.floor(share) - share).alias("_behind"),
         draw.alias("_draw"),
     )
-    missing = shares.agg((F.max("_draw") - F.sum("_floor")).cast("bigint").alias("k")).select(
-        F.lit("more").alias("cut"), "k"
+    # A remainder is a function of the class size, so there are about as many as
+    # different sizes: the root of twice the row count at most.
+    everything = Window.partitionBy(F.lit(0))
+    earlier = everything.orderBy("_behind").rowsBetween(Window.unboundedPreceding, -1)
+    more = (
+        shares.groupBy("_behind")
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("_floor").alias("_floors"), F.max("_draw").alias("_draw"))
+        .select(
+            F.col("_behind").alias("_rest"),
+            (F.col("_draw") - F.sum("_floors").over(everything)
+             - F.coalesce(F.sum("_n").over(earlier), F.lit(0))).alias("_more"),
+        )
     )
-    order = ["_behind", "_none", "_name"]
-    # a remainder is a function of the class size, and sizes that differ are few
-    cuts = cut_tuples(shares, order, missing, bounded=["_behind", "_none"])
-    return side_of_cuts(shares, order, cuts, ["more"], None, "_side").select(
+    same = Window.partitionBy("_behind").orderBy(label)
+    return shares.join(more, F.col("_behind") == F.col("_rest")).select(
         label,
         F.lit("train").alias("cut"),
-        (F.col("_floor") + F.coalesce(F.col("_side") == "more", F.lit(False)).cast("bigint")).alias("k"),
+        (F.col("_floor") + (F.row_number().over(same) <= F.col("_more")).cast("bigint")).alias("k"),
     )
 
 
