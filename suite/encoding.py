@@ -95,8 +95,10 @@ def _training(spark, sf):
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     held = hash_fraction(42, "l_orderkey") < 0.3
     model = M.fit_encoder(rows.where(~held), NUMERIC, TEXT)
-    vectors = T.with_class_weights(model.transform(rows).select("l_orderkey", "label", "features"))
-    return T.spread_for_training(vectors.where(~held)), vectors.where(held)
+    vectors = model.transform(rows).select("l_orderkey", "label", "features")
+    # the weights know the training rows only
+    train = T.with_class_weights(vectors.where(~held))
+    return T.spread_for_training(train), vectors.where(held)
 
 
 @query("train_score_lr")

@@ -36,6 +36,58 @@ def drift_run(spark, sf):
     )
 
 
+_MOVED = (
+    "(SELECT abs(avg(l_quantity) FILTER (NOT is_ref) - avg(l_quantity) FILTER (is_ref)) / 50 AS shift, "
+    "avg(l_quantity) FILTER (is_ref) / 50 AS ref_mean, avg(l_quantity) FILTER (NOT is_ref) / 50 AS new_mean FROM "
+    "(SELECT l_quantity, l_shipdate < TIMESTAMP '1999-01-01' AS is_ref FROM lineitem))"
+)
+
+
+@query(
+    "drift_run_concept",
+    f"{LI}, {summary_ctes(*KS_CHI2)} SELECT 'drift_batch_2' AS run_id, round(shift, 6) AS prediction_mean_shift, "
+    "round(ks_statistic, 6) AS prediction_ks_statistic, "
+    "(ks_drift OR shift / greatest(abs(ref_mean), abs(new_mean), 0.1) > 0.1)::INT::DOUBLE AS concept_drift_detected, "
+    "ks_drift_count::DOUBLE AS ks_drift_count, psi_drift_count::DOUBLE AS psi_drift_count, "
+    "(ks_drift OR shift / greatest(abs(ref_mean), abs(new_mean), 0.1) > 0.1) AS concept_indicator "
+    f"FROM sm, {_MOVED}, (SELECT ks_statistic, ks_drift FROM fts WHERE feature = 'l_quantity')",
+)
+def drift_run_concept(spark, sf):
+    """The drift run with model scores on both sides: concept drift is the sixth indicator."""
+    sided = lineitem_sides(spark, sf).withColumn("score", F.col("l_quantity") / 50)
+    path = shared_dir(spark, "runs")
+    jobs.drift_run(
+        sided.where(IS_REF).drop(IS_REF), sided.where(f"NOT {IS_REF}").drop(IS_REF), 2, path, KINDS,
+        score="score",
+    )
+    m = F.col("metrics")
+    return runlog.read(spark, path).select(
+        "run_id", r(m["prediction_mean_shift"]).alias("prediction_mean_shift"),
+        r(m["prediction_ks_statistic"]).alias("prediction_ks_statistic"),
+        m["concept_drift_detected"].alias("concept_drift_detected"),
+        m["ks_drift_count"].alias("ks_drift_count"), m["psi_drift_count"].alias("psi_drift_count"),
+        F.col("tags")["indicators"].contains("concept_drift").alias("concept_indicator"),
+    )
+
+
+@query(
+    "drift_run_assumed",
+    "SELECT 6::BIGINT AS n_columns, 1.0::DOUBLE AS drift_share, TRUE AS dataset_drift, 'ERROR_ASSUMED_DRIFT' AS status, "
+    "count(*) FILTER (l_quantity IS NOT NULL) AS rows FROM lineitem",
+)
+def drift_run_assumed(spark, sf):
+    """A computation that fails on the rows themselves yields an assumed drift."""
+    sided = lineitem_sides(spark, sf)
+    broken = sided.where(f"NOT {IS_REF}").withColumn(
+        "l_tax", F.when(F.col("l_quantity").isNotNull(), F.raise_error(F.lit("unreadable")).cast("double"))
+    )
+    row = jobs.drift_run(
+        sided.where(IS_REF).drop(IS_REF), broken.drop(IS_REF), 3, None, KINDS, on_error="assume_drift"
+    )
+    rows = sided.agg(F.count("l_quantity").alias("rows"))
+    return row.select("n_columns", "drift_share", "dataset_drift", "status").crossJoin(rows)
+
+
 def _quota(source: str, share: str) -> str:
     """Training rows per class of ``source``: largest remainders, ``share`` held out."""
     return f"""(SELECT event_type, floor(s) + (row_number() OVER (ORDER BY s - floor(s) DESC, event_type) <= draw - sum(floor(s)) OVER ())::INT AS k

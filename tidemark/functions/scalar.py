@@ -92,13 +92,3 @@ def hours_between(later: Column, earlier: Column) -> Column:
 def flag_list(pairs: Sequence[tuple[str, Column]]) -> Column:
     """Array of the names whose condition holds, in the given order."""
     return F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in pairs]))
-
-
-def parse_bracket(c: Column) -> Column:
-    """Lower bound of an interval label such as ``[70-80)``, as an integer."""
-    return F.regexp_extract(c, r"^\[(\d+)-\d+\)$", 1).try_cast("int")
-
-
-def kl_term(p: Column, m: Column) -> Column:
-    """One term of a relative entropy in natural logarithms; 0 where ``p`` is 0."""
-    return F.when(p > 0, p * F.ln(p / m)).otherwise(F.lit(0.0))

@@ -35,14 +35,14 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def spread_for_training(df: DataFrame) -> DataFrame:
-    """Keep the training rows for the many passes of a fit, on all cores.
+    """Keep the training rows for the many passes of a fit, spread over tasks.
 
-    Adaptive execution coalesces by size, which leaves a small but compute-heavy
-    table in a few tasks.  Tables with enough partitions are left as they are.
+    Adaptive execution coalesces by size, which would leave a small but
+    compute-heavy table in a few tasks; the shuffle keeps the session's number
+    of partitions.  The caller releases the rows with ``unpersist`` after the fit.
     """
-    kept = df.persist()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return kept if kept.rdd.getNumPartitions() >= cores else kept.repartition(cores).persist()
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions).persist()
 
 
 def logistic_regression(rows: int, inverse_penalty: float = 1.0, **params) -> LogisticRegression:

@@ -12,22 +12,40 @@ from .. import schema as S
 from ..operators import cleaning, combine, consensus, decide, report, sampling
 from ..operators.contract import encounter_contract, split_by_contract
 from ..operators.drift import feature_table
-from ..operators.evaluate import evaluate_scores
+from ..operators.evaluate import (
+    concept_verdict, evaluate_scores, performance_drift, prediction_drift,
+)
 from ..operators.sides import feature_kinds, stack_sides
 from ..operators.train import score_raw
 from ..sources import runlog, tables
 
 DRIFT_EXPERIMENT = "drift_monitoring"
 TRAINING_EXPERIMENT = "training"
+DRIFT_METRICS = (
+    "ks_drift_count", "psi_drift_count", "chi2_drift_count", "avg_ks_statistic", "avg_psi",
+    "avg_wasserstein", "avg_js_divergence", "statistical_drift_share",
+)
+CONCEPT_METRICS = (
+    "prediction_mean_shift", "prediction_std_ratio", "prediction_ks_statistic",
+    "prediction_ks_pvalue", "prediction_wasserstein", "concept_drift_detected",
+    "concept_drift_confidence",
+)
 
 
 def drift_run(
     reference: DataFrame, current: DataFrame, batch_number: int, log_path: str | None = None,
     features: Mapping[str, str] | None = None, tests: tuple[str, str] = ("ks", "chi2"),
     threshold: float = consensus.DATASET_SHARE, on_error: str = "raise",
+    score: str | None = None, label: str | None = None,
 ) -> DataFrame:
     """Verdict for one batch against the reference, optionally logged.
 
+    ``score`` names a column of model scores on both sides, ``label`` that of
+    the true 0/1 class; with a score, concept drift is the sixth indicator, and
+    with a label the change of performance belongs to it.  Neither column is a
+    feature then.  The log row holds the counts per test, the metric averages,
+    the shares, the confidence and the concept metrics.
+
     With ``on_error='assume_drift'`` a failing computation yields a row that
     assumes drift, with ``status`` telling so.
     """
@@ -35,13 +53,25 @@ def drift_run(
         raise ValueError(f"unknown on_error {on_error!r}")
     spark = current.sparkSession
     kinds = dict(features or feature_kinds(reference))
+    kinds = {f: k for f, k in kinds.items() if f not in (score, label)}
+    measured = list(DRIFT_METRICS) + (list(CONCEPT_METRICS) if score else [])
     try:
         sided = stack_sides(reference, current)
+        concept = None
+        if score is not None:
+            concept = concept_verdict(
+                prediction_drift(sided, score),
+                performance_drift(sided, label, score) if label is not None else None,
+            )
         columns = consensus.column_drift(feature_table(sided, kinds), *tests)
-        decided = consensus.consensus(consensus.drift_summary(columns, threshold=threshold))
+        summary = consensus.drift_summary(columns, threshold=threshold)
+        decided = consensus.consensus(summary, concept=concept)
+        if concept is not None:
+            decided = decided.drop("concept_drift_detected").crossJoin(F.broadcast(concept))  # one row
         row = decided.select(
             "n_drifted_columns", "n_columns", "drift_share", "dataset_drift", "consensus_drift",
             "confidence_score", F.array_join("drift_indicators", ",").alias("indicators"), "status",
+            *[F.col(m).cast("double").alias(m) for m in measured],
         )
         if on_error == "assume_drift":
             # the verdict is one row; computing it here is what can fail
@@ -52,6 +82,7 @@ def drift_run(
         row = consensus.assumed_drift(spark, len(kinds)).select(
             "*", F.lit(True).alias("consensus_drift"), F.lit(0.0).alias("confidence_score"),
             F.lit("").alias("indicators"), F.lit("ERROR_ASSUMED_DRIFT").alias("status"),
+            *[F.lit(None).cast("double").alias(m) for m in measured],
         )
     row = row.withColumn("batch_number", F.lit(batch_number))
     if log_path is not None:
@@ -64,6 +95,9 @@ def drift_run(
                     "n_drifted_columns": F.col("n_drifted_columns"),
                     "n_total_columns": F.col("n_columns"),
                     "dataset_drift": F.col("dataset_drift").cast("int"),
+                    "consensus_drift": F.col("consensus_drift").cast("int"),
+                    "confidence_score": F.col("confidence_score"),
+                    **{m: F.col(m) for m in measured},
                 },
                 tags={"status": F.col("status"), "indicators": F.col("indicators")},
             ),

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 # Cleaning rules of the encounter table.
 MISSING_MARKER = "?"
-NULL_MARKERS = ("", "?", "None", "NA", "N/A", "NaN", "nan", "null", "NULL")
 DROPPED_COLUMNS = ("encounter_id", "patient_nbr", "weight", "payer_code", "medical_specialty")
 FILLED_COLUMNS = {c: "Unknown" for c in ("race", "diag_1", "diag_2", "diag_3")}
 EXCLUDED_DISPOSITIONS = (11, 13, 14, 19, 20, 21)
@@ -49,21 +48,3 @@ RUN_LOG = T.StructType(
     ]
 )
 
-REGISTRY_EVENT = T.StructType(
-    [
-        T.StructField("model", T.StringType()),
-        T.StructField("version", T.IntegerType()),
-        T.StructField("run_id", T.StringType()),
-        T.StructField("stage", T.StringType()),
-        T.StructField("ts", T.TimestampType()),
-    ]
-)
-
-BATCH_MANIFEST = T.StructType(
-    [
-        T.StructField("batch_id", T.StringType()),
-        T.StructField("path", T.StringType()),
-        T.StructField("size_bytes", T.LongType()),
-        T.StructField("modified", T.TimestampType()),
-    ]
-)

@@ -16,7 +16,6 @@ from ..operators.sides import IS_REF
 from ..operators.train import score
 from ..sources import runlog
 
-FILES_PER_TRIGGER = 3
 
 
 def batch_stream(
