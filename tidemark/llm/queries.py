@@ -59,7 +59,20 @@ def op4(spark, sf_dir):
     return packing.pack(cut.drop("ids"), 2048)
 
 
-@query("op9_warc")
+_BASE32 = (
+    "array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    "((('0x' || substr(sha1(h), (i // 4) * 5 + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31) + 1, 1) "
+    "FOR i IN range(0, 32)], '')"
+)
+
+
+@query(
+    "op9_warc",
+    f"WITH p AS (SELECT page_id, coalesce(html, '') AS h, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS f FROM pages) "
+    f"SELECT page_id, strlen(h)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest, "
+    "CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type, "
+    "CASE WHEN page_id <> f THEN f END AS refers_to FROM p",
+)
 def op9(spark, sf_dir):
     """All pages through archives with revisit records and back."""
     from tidemark.llm import warc
@@ -83,7 +96,18 @@ def op10(spark, sf_dir):
     )
 
 
-@query("op3_neardup")
+_NEARDUP = r"""WITH RECURSIVE w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF x <> ''] AS words FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ') ELSE array_to_string(words[i:i + 3], ' ') END AS sh
+  FROM w, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS t(i) WHERE len(words) > 0),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 80 * (na.n + nb.n - common)),
+r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id WHERE r.root < e.b)
+SELECT *, doc_id = component_id AS kept FROM (SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.root) AS component_id
+FROM documents d JOIN r ON r.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id)"""
+
+
+@query("op3_neardup", _NEARDUP)
 def op3(spark, sf_dir):
     """Components of documents that share four fifths of their four-word shingles."""
     from tidemark.llm import neardup
