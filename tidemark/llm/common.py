@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -116,7 +117,7 @@ _POWER: dict[int, np.ndarray] = {}
 def powers(base: int, n: int) -> np.ndarray:
     """A view of the first ``n`` powers, kept between batches."""
     if len(_POWER.get(base, ())) < n:
-        _POWER[base] = _powers(base, 1 << max(21, int(n).bit_length()))
+        _POWER[base] = _powers(base, 1 << max(20, int(n).bit_length()))
     return _POWER[base][:n]
 
 
@@ -185,7 +186,15 @@ def shingle_sets(words: Words, width: int) -> Iterator[np.ndarray]:
             yield np.unique(every[lo : lo + n - width + 1])
 
 
-def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+def tidy() -> None:
+    """Give freed memory back to the system; workers are kept between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about ``limit`` bytes of text, one row at least."""
     sizes = np.cumsum(
         np.fromiter((len(x) if x else 0 for x in batch.column(column).to_pylist()), dtype=np.int64)
@@ -196,6 +205,7 @@ def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 21) -> Ite
         hi = max(lo + 1, int(np.searchsorted(sizes, before + limit, side="right")))
         yield batch.slice(lo, hi - lo)
         lo = hi
+    tidy()
 
 
 # --- a filter of fixed size ----------------------------------------------------------------
