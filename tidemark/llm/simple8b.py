@@ -32,6 +32,7 @@ COUNTS = np.array([120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 ESCAPE = 15
 _LIMITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
+_SMALL = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64), side="right").astype(np.uint8)
 IDS_PER_FILE = 1_000_000
 _HEAD = struct.Struct("<8sQQQQI")
 _MAGIC = b"IDS8B001"
@@ -51,15 +52,30 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     # a row per block; the zeros behind its end fit into any word
     width = np.zeros((blocks, BLOCK + int(COUNTS.max())), dtype=np.uint8)
     flat = np.zeros(blocks * BLOCK, dtype=np.uint8)
-    flat[:n] = np.searchsorted(_LIMITS, ids, side="right")
+    small = int(ids.max()) < len(_SMALL)
+    flat[:n] = _SMALL[ids.astype(np.intp)] if small else np.searchsorted(_LIMITS, ids, side="right")
     width[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     choice = np.full((blocks, BLOCK), ESCAPE, dtype=np.uint8)
+    top = int(flat.max())
     seen = np.zeros((blocks, width.shape[1] + 1), dtype=np.int16)
+    rows = columns = None
+    # what fits a selector also fits those with fewer ids, so few places are left for many ids
     for selector in range(len(COUNTS) - 1, -1, -1):
-        wide = width > WIDTHS[selector]
-        np.cumsum(wide, axis=1, dtype=np.int16, out=seen[:, 1:])
-        count = COUNTS[selector]
-        choice[seen[:, count : count + BLOCK] == seen[:, :BLOCK]] = selector
+        count, most = COUNTS[selector], WIDTHS[selector]
+        if top <= most:
+            choice[:] = selector
+        elif rows is None:
+            np.cumsum(width > most, axis=1, dtype=np.int16, out=seen[:, 1:])
+            fits = seen[:, count : count + BLOCK] == seen[:, :BLOCK]
+            choice[fits] = selector
+            if 8 * np.count_nonzero(fits) < fits.size:
+                rows, columns = np.nonzero(fits)
+        else:
+            fits = np.ones(len(rows), dtype=bool)
+            for j in range(count):
+                fits &= width[rows, columns + j] <= most
+            rows, columns = rows[fits], columns[fits]
+            choice[rows, columns] = selector
     choice = choice.ravel()
     stop = np.minimum((np.arange(blocks) + 1) * BLOCK, n)
     steps = np.append(COUNTS, 1)
