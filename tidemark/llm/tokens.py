@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words kept between batches; beyond that those seen in one batch only are dropped.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
 #: Words that one call of the tokenizer encodes as a text of their own.
 _RUN = 1000
 
