@@ -40,6 +40,24 @@ def test_odd_pages(source, text):
     assert page(source) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ('<div class="content has-sidebar"><article><p>whole story</p></article></div>', "whole story"),
+        ('<div class="sidebar"><article><p>whole story</p></article><p>x</p></div>', "whole story"),
+        ('<form id="aspnetForm"><p>all of the page</p></form>', "all of the page"),
+        ('<article><div class="post-header"><h1>Title</h1></div><p>text</p></article>', "Title\ntext"),
+        ('<p>a long enough piece of prose</p><div class="notice-of-intent">we mean it</div>', "a long enough piece of prose\nwe mean it"),
+        ('<p>short</p><div class="legal"><p>the law says most of this page</p></div>', "short\nthe law says most of this page"),
+        ('<div class="banner"><h1>T</h1></div><p>text of the page</p><div class="sidebar">x</div>', "T\ntext of the page"),
+        ('<p>text</p><div class="comments"><p>far more words than the text has</p></div>', "text"),
+        ('<p>one <span class="share">tweet</span> two</p><div class="adSlot">buy</div>', "one two"),
+    ],
+)
+def test_names_mark_leaf_like_areas_only(source, text):
+    assert page(source) == text
+
+
 def brute_matching(one, two, a=0, b=0) -> int:
     kids = [[[c for c in range(1, len(t[0])) if t[0][c] == e] for e in range(len(t[0]))] for t in (one, two)]
 

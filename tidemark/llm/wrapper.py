@@ -39,7 +39,7 @@ _BLOCK = frozenset(
     "fieldset details summary hr center dialog menu hgroup noscript template legend search".split()
 )
 _OUTSIDE = frozenset(
-    "head script style title textarea noframes noembed iframe nav footer aside form menu dialog "
+    "head script style title textarea noframes noembed iframe nav footer aside menu dialog "
     "template noscript button select option input svg canvas object video audio search".split()
 )
 _P_ENDS = frozenset(
@@ -56,22 +56,29 @@ _ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar "
     "toolbar tablist".split()
 )
-#: Words of a class or id that mark an area outside the article.
+#: Whole class names or ids of comments, of other areas outside the article, and of those that
+#: may as well hold content: the last are heeded only on pages without a template.
+_COMMENTS = frozenset("comment comments commentlist comment-list comments-area disqus disqus_thread replies".split())
 _AREAS = frozenset(
-    "nav navbar navigation menu breadcrumb breadcrumbs masthead header footer sidebar side widget "
-    "widgets ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored "
-    "promo promoted promotion banner cookie cookies consent gdpr notice notices alert popup modal "
-    "overlay newsletter subscribe subscription signup share sharing social related recommended "
-    "recommendations comment comments commentlist disqus replies reply respond login search pager "
-    "pagination skip copyright legal disclaimer".split()
+    "nav navbar navigation menu main-menu nav-menu main-nav site-nav breadcrumb breadcrumbs masthead "
+    "site-header site-footer footer sidebar widget widgets widget-area ad ads advert adverts "
+    "advertisement advertisements advertising adsense ad-slot ad-unit ad-banner ad-container ad-wrapper "
+    "sponsored cookie cookies consent gdpr cookie-notice cookie-banner cookie-consent popup modal "
+    "overlay newsletter newsletter-signup subscribe signup share sharing share-buttons social "
+    "social-share social-links related related-posts related-articles recommended recommendations "
+    "comment-respond login pager pagination skip-link".split()
 )
+_MAYBE = frozenset(
+    "header side banner promo promoted promotion sponsor subscription notice notices alert reply "
+    "respond search skip copyright legal disclaimer".split()
+)
+_COMMENT = re.compile(r"(?:div-)?comment(?:-(?:\d+|body|content|item))?")
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_WORD = re.compile(r"[a-z]+|[0-9]+")
 _CAMEL = re.compile(r"([a-z])([A-Z])")
 _HIDDEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
@@ -80,40 +87,88 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)}
 
 
-def _marked(tag: str, own: dict[str, str]) -> bool:
-    """Does an element open an area outside the article?"""
-    if tag in _OUTSIDE:
-        return True
-    if not own:
-        return False
-    if "hidden" in own or own.get("aria-hidden") == "true" or _HIDDEN.search(own.get("style", "")):
-        return True
-    if own.get("role", "").lower() in _ROLES:
-        return True
-    if tag in ("html", "body", "main", "article"):
-        # a page's or an article's own class may name what it has, not what it is
-        return tag == "article" and "comment" in _WORD.findall(own.get("class", "").lower())
-    names = _CAMEL.sub(r"\1 \2", f"{own.get('class', '')} {own.get('id', '')}").lower()
-    return any(w in _AREAS for w in _WORD.findall(names))
+def _hidden(tag: str, own: dict[str, str]) -> bool:
+    """Is an element's text no part of the page's prose at all?"""
+    return tag in _OUTSIDE or bool(own) and (
+        "hidden" in own or own.get("aria-hidden") == "true" or bool(_HIDDEN.search(own.get("style", "")))
+    )
+
+
+def _marked(tag: str, own: dict[str, str]) -> str:
+    """What an element's role or whole class names say of it: comment, area, maybe, or nothing."""
+    if tag == "form":
+        return "area"
+    if not own or tag in ("html", "body", "main"):
+        return ""
+    raw = f"{own.get('class', '')} {own.get('id', '')}".split()
+    names = {n.lower() for n in raw} | {_CAMEL.sub(r"\1-\2", n).lower() for n in raw}
+    if tag == "article":
+        # an article's own class may name what it has, not what it is
+        return "comment" if any(_COMMENT.fullmatch(n) for n in names) else ""
+    if names & _COMMENTS:
+        return "comment"
+    if own.get("role", "").lower() in _ROLES or names & _AREAS:
+        return "area"
+    return "maybe" if names & _MAYBE else ""
+
+
+_MARKS = frozenset(("hidden", "comment", "area", "maybe"))
 
 
 class Page:
-    """Block elements of a page in order: ``tag``, ``label``, ``parent``, whether outside, and text.
+    """Block elements of a page in order: ``tag``, ``label``, ``parent``, ``mark``, and text.
 
     ``blocks`` lists ``(element, text)`` in page order, white space collapsed
-    and empty ones left out.
+    and empty ones left out, those of marked elements too.  ``mark`` is that of
+    the outermost marked element around.  A mark does not count on an element
+    that holds the article, the main element, a first heading or (but for
+    comments) most of the page's text.
     """
 
     def __init__(self, source: str | None) -> None:
-        self.tag, self.label, self.parent, self.outside = ["#root"], ["#root"], [-1], [False]
+        # read again without the marks that hold too much
+        self._read(source or "", frozenset())
+        wrong = self._too_large()
+        if wrong:
+            self._read(source or "", wrong)
+
+    def _too_large(self) -> frozenset[int]:
+        size = self._sizes()
+        wrong = {k for e, within in self.areas.items() if self.tag[e] == "h1" for k in within} - self.comments
+        wrong.update(k for e, within in self.areas.items() if self.tag[e] == "main" for k in within)
+        articles = [e for e in self.areas if self.tag[e] == "article" and size[e] and self.mark[e] not in ("comment", "hidden")]
+        if articles:
+            wrong.update(self.areas[max(articles, key=lambda e: (size[e], -e))])
+        total = sum(len(t) for _, t in self.blocks) + sum(self.inline.values())
+        held = [0] * self.n_marks
+        for k, n in self.inline.items():
+            held[k] += n
+        for e, text in self.blocks:
+            for k in self.areas[e]:
+                held[k] += len(text)
+        wrong.update(k for k, n in enumerate(held) if 2 * n > total and k not in self.comments)
+        # an article that is a comment stays one
+        return frozenset(wrong - self.comment_articles)
+
+    def _read(self, source: str, unmarked: frozenset[int]) -> None:
+        self.tag, self.label, self.parent, self.mark = ["#root"], ["#root"], [-1], [""]
         self.blocks: list[tuple[int, str]] = []
-        self._read(source or "")
-
-    def _read(self, source: str) -> None:
-        # the open elements: name, index of the block element, outside, depth of blocks
-        stack: list[tuple[str, int, bool, int]] = [("#root", 0, False, 0)]
+        #: numbers of the marks around each element, and characters in marks that are not blocks
+        self.areas: dict[int, tuple[int, ...]] = {0: ()}
+        self.inline: dict[int, int] = {}
+        self.comments: set[int] = set()
+        self.comment_articles: set[int] = set()
+        self.n_marks = 0
+        # the open elements: name, index of the block element, hidden, depth of blocks, marks, inline mark
+        stack: list[tuple] = [("#root", 0, False, 0, (), -1, "")]
         held: list[str] = []
 
+        def hold(text: str) -> None:
+            if stack[-1][5] >= 0:
+                self.inline[stack[-1][5]] = self.inline.get(stack[-1][5], 0) + len(text.strip())
+            else:
+                held.append(text)
+
         def close_block() -> None:
             if held:
                 text = " ".join("".join(held).split())
@@ -131,12 +186,12 @@ class Page:
         while at < len(source):
             m = _TAG.search(source, at)
             if not stack[-1][2]:
-                held.append(entities.unescape(source[at : m.start() if m else len(source)]))
+                hold(entities.unescape(source[at : m.start() if m else len(source)]))
             if not m:
                 break
             at = m.end()
             if m[0].startswith("<![CDATA[") and not stack[-1][2]:
-                held.append(m[0][9:].removesuffix("]]>"))
+                hold(m[0][9:].removesuffix("]]>"))
             if m[2] is None:
                 continue
             tag = m[2].lower()
@@ -160,15 +215,28 @@ class Page:
                     if stack[i][0] in ends:
                         leave(i)
                         break
-            _, block, outside, depth = stack[-1]
+            _, block, outside, depth, marks, inline, mark = stack[-1]
             # the header of a page is outside, that of an article is its title
-            gone = outside or _marked(tag, own) or (
-                tag == "header" and not any(s[0] in ("article", "main") for s in stack)
-            )
+            gone = outside or _hidden(tag, own)
+            said = "" if gone else _marked(tag, own)
+            if tag == "header" and not gone and not any(s[0] in ("article", "main") for s in stack):
+                said = said or "area"
             if tag in _VOID:
                 if tag in ("br", "hr") and not outside:
-                    held.append(" ")
+                    hold(" ")
                 continue
+            if said:
+                number = self.n_marks
+                self.n_marks += 1
+                if said == "comment":
+                    (self.comment_articles if tag == "article" else self.comments).add(number)
+                if number not in unmarked:
+                    marks, mark = (*marks, number), mark or said
+                    if tag not in _BLOCK and inline < 0:
+                        held.append(" ")
+                        inline = number
+            elif gone and not outside and tag not in _BLOCK:
+                held.append(" ")
             if tag in _BLOCK:
                 close_block()
                 if depth < _DEEPEST:
@@ -176,26 +244,29 @@ class Page:
                     self.tag.append(tag)
                     self.label.append(f"{tag}.{name[0]}" if name else tag)
                     self.parent.append(block)
-                    self.outside.append(gone)
+                    self.mark.append("hidden" if gone else mark)
                     block, depth = len(self.tag) - 1, depth + 1
-            elif gone and not outside:
-                held.append(" ")
-            stack.append((tag, block, gone, depth))
+                    self.areas[block] = marks
+            stack.append((tag, block, gone, depth, marks, inline, mark))
             if tag in _RAW:
                 end = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(source, at)
                 at = end.start() if end else len(source)
         leave(1)
         close_block()
 
-    def article(self) -> set[int]:
-        """Elements that may hold the article: the longest one, or main, or all of the page."""
+    def _sizes(self) -> list[int]:
         size = [0] * len(self.tag)
         for e, text in self.blocks:
             size[e] += len(text)
         for e in range(len(self.tag) - 1, 0, -1):
             size[self.parent[e]] += size[e]
+        return size
+
+    def article(self, heeded: frozenset[str] = _MARKS) -> set[int]:
+        """Elements that may hold the article: the longest one, or main, or all of the page."""
+        size = self._sizes()
         for tag in ("article", "main"):
-            roots = [e for e, t in enumerate(self.tag) if t == tag and not self.outside[e] and size[e]]
+            roots = [e for e, t in enumerate(self.tag) if t == tag and self.mark[e] not in heeded and size[e]]
             if roots:
                 root = max(roots, key=lambda e: (size[e], -e))
                 inside = {root}
@@ -216,15 +287,17 @@ class Page:
             np.array([_hash("\n".join(t)) if t else 0 for t in texts], dtype=np.int64),
         )
 
-    def text(self, leave_out: frozenset[int] = frozenset()) -> str:
-        """The article's blocks but those of the elements in ``leave_out``.
+    def text(self, leave_out: frozenset[int] | None = None) -> str:
+        """The article's blocks but marked ones and those of the elements in ``leave_out``.
 
-        Template that is most of an article is not left out: such a page is a
-        copy of others, not a frame.
+        ``leave_out`` is None where no template is known; where one is, it
+        decides on elements whose names are doubtful.  Template that is most of
+        an article is not left out: such a page is a copy of others, not a frame.
         """
-        inside = self.article()
-        own = [(e, t) for e, t in self.blocks if e in inside]
-        slots = [(e, t) for e, t in own if e not in leave_out]
+        heeded = _MARKS if leave_out is None else _MARKS - {"maybe"}
+        inside = self.article(heeded)
+        own = [(e, t) for e, t in self.blocks if e in inside and self.mark[e] not in heeded]
+        slots = [(e, t) for e, t in own if e not in (leave_out or ())]
         if 2 * sum(len(t) for _, t in slots) < sum(len(t) for _, t in own):
             slots = own
         return "\n".join(t for _, t in slots)
@@ -439,7 +512,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
             texts = []
             for source, nodes in zip(batch.column("html"), batch.column("leave_out"), strict=True):
                 page = Page(zlib.decompress(source.as_py()).decode("utf-8", "surrogatepass"))
-                texts.append(page.text(frozenset(nodes.as_py() or ())))
+                texts.append(page.text(frozenset(nodes.as_py()) if nodes.is_valid else None))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())],
