@@ -58,6 +58,18 @@ def test_names_mark_leaf_like_areas_only(source, text):
     assert page(source) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<article><p>part one</p></article><p>x</p><article><p>the second part</p></article>", "part one\nthe second part"),
+        ("<main><h1>Title</h1><p>lead</p><article><p>the long rest of it</p></article></main><p>x</p>", "Title\nlead\nthe long rest of it"),
+        ("<main><p>lead</p></main><article>a<article class='comment'>reader</article></article><p>x</p>", "lead\na"),
+    ],
+)
+def test_all_articles_are_read(source, text):
+    assert page(source) == text
+
+
 def brute_matching(one, two, a=0, b=0) -> int:
     kids = [[[c for c in range(1, len(t[0])) if t[0][c] == e] for e in range(len(t[0]))] for t in (one, two)]
 

@@ -263,18 +263,14 @@ class Page:
         return size
 
     def article(self, heeded: frozenset[str] = _MARKS) -> set[int]:
-        """Elements that may hold the article: the longest one, or main, or all of the page."""
+        """Elements that may hold the article: all article and main elements, or all of the page."""
         size = self._sizes()
-        for tag in ("article", "main"):
-            roots = [e for e, t in enumerate(self.tag) if t == tag and self.mark[e] not in heeded and size[e]]
-            if roots:
-                root = max(roots, key=lambda e: (size[e], -e))
-                inside = {root}
-                for e in range(root + 1, len(self.tag)):
-                    if self.parent[e] in inside:
-                        inside.add(e)
-                return inside
-        return set(range(len(self.tag)))
+        inside: set[int] = set()
+        for e, t in enumerate(self.tag):
+            root = t in ("article", "main") and self.mark[e] not in heeded and size[e]
+            if root or self.parent[e] in inside:
+                inside.add(e)
+        return inside or set(range(len(self.tag)))
 
     def tree(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``(parent, label, text)`` per element: label hashes and text hashes, 0 without text."""
