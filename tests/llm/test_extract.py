@@ -131,6 +131,20 @@ def test_copies_are_not_taken_for_template(spark):
     assert {r.text for r in wrapper.main_texts(spark.createDataFrame(rows, PAGES)).collect()} == {"the same article\non all pages"}
 
 
+def test_template_is_left_out_of_short_pages_too(spark):
+    notice = "<div><p>Welcome to the site of the society, which has been on line for a very long time</p></div>"
+    rows = [(i, f"http://h.example/{i}", f"{notice}<div><p>story {i}{' and more of it' * (i % 2) * 20}</p></div>", None) for i in range(12)]
+    out = wrapper.main_texts(spark.createDataFrame(rows, PAGES)).collect()
+    assert all(r.text == f"story {r.page_id}{' and more of it' * (r.page_id % 2) * 20}" for r in out)
+
+
+def test_near_copies_are_not_taken_for_template(spark):
+    same = "".join(f"<p>paragraph {k} of the article</p>" for k in range(8))
+    rows = [(i, f"http://h.example/{i}", f"<div>{same}</div><p>{i} views</p>", None) for i in range(9)]
+    for r in wrapper.main_texts(spark.createDataFrame(rows, PAGES)).collect():
+        assert r.text == "\n".join([*(f"paragraph {k} of the article" for k in range(8)), f"{r.page_id} views"])
+
+
 def test_archives_round_trip(spark):
     same = "<p>same é</p>"
     rows = [(i, f"http://x/{i}", same if i % 3 == 1 else f"<p>{i}</p>\r\n\r\nWARC/1.0", "t") for i in range(30)]

@@ -27,6 +27,9 @@ from tidemark.llm.common import saved, text_slices
 #: A node is template if this share of the aligned pages, of so many at least, has the same text.
 SAME = 0.9
 MIN_PAGES = 5
+#: A page tells template from slots only if this share of its texts is not on the frame page;
+#: otherwise it is a near copy of that page, and what they share may be the article.
+DIFFERENT = 0.25
 _DEEPEST = 60
 _MOST_CELLS = 4_000_000
 
@@ -287,16 +290,12 @@ class Page:
         """The article's blocks but marked ones and those of the elements in ``leave_out``.
 
         ``leave_out`` is None where no template is known; where one is, it
-        decides on elements whose names are doubtful.  Template that is most of
-        an article is not left out: such a page is a copy of others, not a frame.
+        decides on elements whose names are doubtful.
         """
         heeded = _MARKS if leave_out is None else _MARKS - {"maybe"}
         inside = self.article(heeded)
         own = [(e, t) for e, t in self.blocks if e in inside and self.mark[e] not in heeded]
-        slots = [(e, t) for e, t in own if e not in (leave_out or ())]
-        if 2 * sum(len(t) for _, t in slots) < sum(len(t) for _, t in own):
-            slots = own
-        return "\n".join(t for _, t in slots)
+        return "\n".join(t for e, t in own if e not in (leave_out or ()))
 
 
 def _hash(text: str) -> int:
@@ -375,6 +374,13 @@ def match_trees(one: tuple, two: tuple) -> list[tuple[int, int]]:
     return match(0, 0)
 
 
+def _differs(texts: np.ndarray, frame: np.ndarray) -> bool:
+    """Are enough of a page's texts (hashes, 0 for none) missing on the frame page?"""
+    own = np.unique(texts[texts != 0])
+    new = len(own) - np.isin(own, frame).sum()
+    return new > 0 and new >= DIFFERENT * len(own)
+
+
 def _packed(tree: tuple) -> bytes:
     return b"".join(x.tobytes() for x in tree)
 
@@ -434,6 +440,8 @@ def templates(found: DataFrame) -> DataFrame:
             hosts, nodes, same = [], [], []
             for host, tree, frame in zip(*(batch.column(c) for c in ("host", "tree", "frame")), strict=True):
                 one, two = _unpacked(frame.as_py()), _unpacked(tree.as_py())
+                if not _differs(two[2], one[2]):
+                    continue
                 for a, b in match_trees(one, two):
                     if one[2][a]:
                         hosts.append(host.as_py()), nodes.append(a), same.append(int(one[2][a] == two[2][b]))
@@ -447,7 +455,7 @@ def templates(found: DataFrame) -> DataFrame:
     constant = (
         aligned.mapInArrow(compare, "host string, node int, same int")
         .groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"))
-        .where((F.col("n") >= MIN_PAGES) & (F.col("same") >= SAME * F.col("n")))
+        .where((F.col("n") >= MIN_PAGES - 1) & (F.col("same") >= SAME * F.col("n")))
         .groupBy("host").agg(F.collect_list("node").alias("constant"))  # nodes of one page
     )
     return saved(frames.join(constant, "host"), "templates")
