@@ -145,6 +145,22 @@ def test_near_copies_are_not_taken_for_template(spark):
         assert r.text == "\n".join([*(f"paragraph {k} of the article" for k in range(8)), f"{r.page_id} views"])
 
 
+def test_template_of_other_layouts_optional_blocks_and_small_hosts(spark):
+    def story(i):
+        return f"<p>story {i}</p><p>what {i} says</p>"
+
+    def html(i):
+        if i % 3 == 0:  # the second layout
+            return f"<table><tr><td><h3>Second welcome</h3></td><td><blockquote>{story(i)}</blockquote></td></tr></table>"
+        more = "<section><h4>Our <b>offer</b></h4><p>of the week</p></section>" if i % 4 == 1 else ""
+        return f"<div><h2>Welcome</h2></div>{more}<div>{story(i)}</div>"
+
+    rows = [(i, f"http://h.example/{i}", html(i), None) for i in range(40)]
+    rows += [(i, "http://two.example/", f"<div><h2>Welcome</h2></div><div>{story(i)}</div>", None) for i in (50, 51)]
+    for r in wrapper.main_texts(spark.createDataFrame(rows, PAGES)).collect():
+        assert r.text == f"story {r.page_id}\nwhat {r.page_id} says"
+
+
 def test_archives_round_trip(spark):
     same = "<p>same é</p>"
     rows = [(i, f"http://x/{i}", same if i % 3 == 1 else f"<p>{i}</p>\r\n\r\nWARC/1.0", "t") for i in range(30)]

@@ -3,8 +3,10 @@
 Every page is reduced to the tree of its block elements with a hash of each
 one's text.  Per host one page of the commonest structure serves as the frame;
 the trees of all other pages of the host are aligned with it by simple tree
-matching.  Nodes whose text is the same on nearly all aligned pages are the
-host's template, the others are slots.  A page's text is then read from the
+matching.  Pages that hardly match (other layouts) and the parts of pages that
+have no counterpart in the frame (optional blocks) are grouped and aligned with
+further frames.  Nodes whose text is the same on nearly all aligned pages are
+the host's template, the others are slots.  A page's text is then read from the
 slots of its article.  Only trees and hashes are compared and shuffled by host;
 the pages themselves are joined once, by page, with what to leave out.
 """
@@ -24,9 +26,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, text_slices
 
-#: A node is template if this share of the aligned pages, of so many at least, has the same text.
+#: A node is template if on this share of the aligned pages it has the frame's text; one different
+#: page besides the frame is enough.
 SAME = 0.9
-MIN_PAGES = 5
+#: Rounds of frames: pages of a host, what those leave over, and what that leaves over.
+ROUNDS = 3
 #: A page tells template from slots only if this share of its texts is not on the frame page;
 #: otherwise it is a near copy of that page, and what they share may be the article.
 DIFFERENT = 0.25
@@ -397,8 +401,64 @@ def _host(url) -> F.Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
+def _children(parent: np.ndarray) -> list[list[int]]:
+    kids: list[list[int]] = [[] for _ in parent]
+    for c in range(1, len(parent)):
+        kids[parent[c]].append(c)
+    return kids
+
+
+def _shape(tree: tuple) -> int:
+    kids = _children(tree[0])
+    return _hash(str([[int(tree[1][r[0]]) for r in _items(kids, tree[1], e)] for e in range(len(kids)) if kids[e]]))
+
+
+def _part(tree: tuple, kids: list[list[int]], root: int, below: list[int]) -> tuple[tuple, list[int]]:
+    """The tree of ``root``, without its text, and the subtrees of its children ``below``; their nodes."""
+    nodes = sorted(below)
+    for e in nodes:
+        nodes.extend(kids[e])
+    nodes = [root, *sorted(nodes)]
+    place = {e: i for i, e in enumerate(nodes)}
+    parent = np.array([-1, *(place[tree[0][e]] for e in nodes[1:])], dtype=np.int32)
+    text = tree[2][nodes]
+    text[0] = 0
+    return (parent, tree[1][nodes], text), nodes
+
+
+def align_with(frame: tuple, tree: tuple) -> tuple[list[tuple[int, int]] | None, list[tuple[int, tuple, list[int]]]]:
+    """The pairs of a page with the frame, None if it hardly matches, and what is left over.
+
+    Runs of equal leaves count one.  Left over are, by node of the frame, the
+    children without a counterpart that hold text; further rows of a list that
+    has one are not.
+    """
+    pairs = match_trees(frame, tree)
+    kids = _children(tree[0])
+    runs = [_items(kids, tree[1], e) for e in range(len(kids))]
+    found = {b: a for a, b in pairs}
+    heads = [r[0] for own in runs for r in own]
+    other = _children(frame[0])
+    least = min(len(heads), sum(len(_items(other, frame[1], e)) for e in range(len(other))))
+    if 2 * sum(h in found for h in heads) < least:
+        return None, []
+    rest = []
+    for b, a in found.items():
+        below = [c for r in runs[b] if r[0] not in found for c in r]
+        if below:
+            part, nodes = _part(tree, kids, b, below)
+            if part[2].any():
+                rest.append((a, part, nodes))
+    return pairs, rest
+
+
 def trees(pages: DataFrame) -> DataFrame:
-    """``(row, host, shape, content, tree)`` of pages with ``row, host, html``."""
+    """``(row, grp, shape, content, tree, nodes, texts)`` of pages with ``row, host, html``.
+
+    ``grp`` is the host; ``nodes`` and ``texts``, the numbers of the tree's
+    nodes in the page and the hashes of the page's texts, are null where the
+    tree is that of the whole page.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -406,90 +466,133 @@ def trees(pages: DataFrame) -> DataFrame:
                 shape, content, packed = [], [], []
                 for source in part.column("html").to_pylist():
                     tree = Page(source).tree()
-                    kids: list[list[int]] = [[] for _ in tree[0]]
-                    for c in range(1, len(tree[0])):
-                        kids[tree[0][c]].append(c)
-                    frame = [[int(tree[1][r[0]]) for r in _items(kids, tree[1], e)] for e in range(len(kids)) if kids[e]]
-                    shape.append(_hash(str(frame)))
+                    shape.append(_shape(tree))
                     content.append(_hash(str(tree[2].tolist())))
                     packed.append(_packed(tree))
+                none = pa.nulls(len(packed), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), part.column("host"), pa.array(shape, pa.int64()),
-                     pa.array(content, pa.int64()), pa.array(packed, pa.binary())],
-                    names=["row", "host", "shape", "content", "tree"],
+                    [part.column("row"), part.column("grp"), pa.array(shape, pa.int64()),
+                     pa.array(content, pa.int64()), pa.array(packed, pa.binary()), none, none],
+                    names=["row", "grp", "shape", "content", "tree", "nodes", "texts"],
                 )
 
-    return pages.mapInArrow(read, "row long, host string, shape long, content long, tree binary")
+    return pages.select("row", F.xxhash64("host").alias("grp"), "html").mapInArrow(
+        read, "row long, grp long, shape long, content long, tree binary, nodes binary, texts binary"
+    )
+
+
+_REST = pa.struct(
+    [("grp", pa.int64()), ("shape", pa.int64()), ("tree", pa.binary()), ("nodes", pa.binary())]
+)
+
 
+def aligned(found: DataFrame) -> DataFrame:
+    """``(row, grp, content, fits, votes, frame_nodes, same, nodes, texts, rest)`` of each tree.
 
-def templates(found: DataFrame) -> DataFrame:
-    """``(host, frame, constant)``: each host's frame and its nodes with constant text."""
-    common = (
-        found.groupBy("host", "shape").agg(F.count("*").alias("n"), F.min("row").alias("row"))
-        .groupBy("host").agg(F.max_by("row", F.struct("n", F.col("row"))).alias("row"), F.sum("n").alias("n"))
-        .where(F.col("n") >= MIN_PAGES)
+    Every group with two different pages has a frame, a tree of its commonest
+    shape.  ``frame_nodes`` are the frame's nodes with text that the tree has,
+    ``same`` whether the texts are equal, ``nodes`` the page's.  A tree that
+    hardly matches is in ``rest`` as it is, grouped by shape.
+    """
+    frames = (
+        found.groupBy("grp", "shape", "content").agg(F.min("row").alias("row"))
+        .groupBy("grp", "shape").agg(F.count("*").alias("n"), F.min("row").alias("row"), F.min("content").alias("lo"), F.max("content").alias("hi"))
+        .groupBy("grp").agg(
+            F.max_by("row", F.struct("n", F.col("row"))).alias("row"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        )
+        .where("lo <> hi")
+        .select("grp", "row")
     )
     frames = saved(
-        found.select("row", "tree").dropDuplicates(["row"]).join(common, "row")
-        .select("host", F.col("tree").alias("frame")),
+        found.join(frames, ["grp", "row"]).select("grp", F.col("tree").alias("frame"), F.col("texts").alias("frame_texts"))
+        .dropDuplicates(["grp"]),
         "frames",
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, nodes, same = [], [], []
-            for host, tree, frame in zip(*(batch.column(c) for c in ("host", "tree", "frame")), strict=True):
-                one, two = _unpacked(frame.as_py()), _unpacked(tree.as_py())
-                if not _differs(two[2], one[2]):
-                    continue
-                for a, b in match_trees(one, two):
-                    if one[2][a]:
-                        hosts.append(host.as_py()), nodes.append(a), same.append(int(one[2][a] == two[2][b]))
+            out: dict[str, list] = {c: [] for c in ("fits", "votes", "frame_nodes", "same", "nodes", "texts", "rest")}
+            columns = (batch.column(c).to_pylist() for c in ("grp", "shape", "tree", "nodes", "texts", "frame", "frame_texts"))
+            for grp, shape, tree, nodes, texts, frame, frame_texts in zip(*columns, strict=True):
+                one, two = _unpacked(frame), _unpacked(tree)
+                place = np.arange(len(two[0]), dtype=np.int32) if nodes is None else np.frombuffer(nodes, np.int32)
+                known = two[2] if texts is None else np.frombuffer(texts, np.int64)
+                pairs, left = align_with(one, two)
+                rest = [
+                    (_hash(f"{grp} node {a}"), _shape(part), _packed(part), place[own].tobytes()) for a, part, own in left
+                ]
+                if pairs is None:
+                    rest = [(_hash(f"{grp} shape {shape}"), shape, tree, place.tobytes())]
+                texted = [(a, b) for a, b in pairs or () if one[2][a] and two[2][b]]
+                out["fits"].append(pairs is not None)
+                out["votes"].append(
+                    _differs(known, one[2] if frame_texts is None else np.frombuffer(frame_texts, np.int64))
+                )
+                out["frame_nodes"].append([a for a, _ in texted])
+                out["same"].append([bool(one[2][a] == two[2][b]) for a, b in texted])
+                out["nodes"].append([int(place[b]) for _, b in texted])
+                out["texts"].append(np.unique(known[known != 0]).tobytes() if rest else None)
+                out["rest"].append([dict(zip(("grp", "shape", "tree", "nodes"), r, strict=True)) for r in rest])
+            kinds = {
+                "fits": pa.bool_(), "votes": pa.bool_(), "frame_nodes": pa.list_(pa.int32()), "same": pa.list_(pa.bool_()),
+                "nodes": pa.list_(pa.int32()), "texts": pa.binary(), "rest": pa.list_(_REST),
+            }
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(nodes, pa.int32()), pa.array(same, pa.int32())],
-                names=["host", "node", "same"],
+                [*(batch.column(c) for c in ("row", "grp", "content")), *(pa.array(out[c], k) for c, k in kinds.items())],
+                names=["row", "grp", "content", *kinds],
             )
 
-    # pages with the same texts count once
-    aligned = found.dropDuplicates(["host", "content"]).join(frames, "host").select("host", "tree", "frame")
-    constant = (
-        aligned.mapInArrow(compare, "host string, node int, same int")
-        .groupBy("host", "node").agg(F.count("*").alias("n"), F.sum("same").alias("same"))
-        .where((F.col("n") >= MIN_PAGES - 1) & (F.col("same") >= SAME * F.col("n")))
-        .groupBy("host").agg(F.collect_list("node").alias("constant"))  # nodes of one page
+    return saved(
+        found.join(frames, "grp").mapInArrow(
+            compare,
+            "row long, grp long, content long, fits boolean, votes boolean, frame_nodes array<int>, same array<boolean>, "
+            "nodes array<int>, texts binary, rest array<struct<grp: long, shape: long, tree: binary, nodes: binary>>",
+        ),
+        "aligned",
     )
-    return saved(frames.join(constant, "host"), "templates")
 
 
-def template_nodes(found: DataFrame, known: DataFrame) -> DataFrame:
-    """``(row, leave_out)``: the elements of each page that are template."""
+def template_nodes(found: DataFrame) -> DataFrame:
+    """``(row, leave_out)``: the elements of each page that are template.
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, nodes = [], []
-            for row, tree, frame, constant in zip(
-                *(batch.column(c) for c in ("row", "tree", "frame", "constant")), strict=True
-            ):
-                one, two = _unpacked(frame.as_py()), _unpacked(tree.as_py())
-                wanted = set(constant.as_py())
-                out = [b for a, b in match_trees(one, two) if a in wanted and one[2][a] == two[2][b]]
-                if out:
-                    rows.append(row.as_py()), nodes.append(out)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.int64()), pa.array(nodes, pa.list_(pa.int32()))],
-                names=["row", "leave_out"],
-            )
-
-    joined = found.join(known, "host").select("row", "tree", "frame", "constant")
-    return joined.mapInArrow(mark, "row long, leave_out array<int>").dropDuplicates(["row"])
+    Pages without a known template are not listed.  Of ``found`` (see
+    :func:`trees`) equal rows count once, as do pages with the same texts.
+    """
+    found = saved(found.dropDuplicates(["row"]), "distinct-trees")
+    parts = []
+    for _ in range(ROUNDS):
+        now = aligned(found)
+        constant = (
+            now.where("fits AND votes").select("grp", "content", "frame_nodes", "same").dropDuplicates(["grp", "content"])
+            .select("grp", F.inline(F.arrays_zip("frame_nodes", "same")))
+            .groupBy("grp", "frame_nodes").agg(F.count("*").alias("n"), F.count_if("same").alias("n_same"))
+            .where(F.col("n_same") >= SAME * F.col("n"))
+            .groupBy("grp").agg(F.collect_list("frame_nodes").alias("constant"))  # nodes of one page
+        )
+        pairs = F.filter(
+            F.arrays_zip("frame_nodes", "same", "nodes"),
+            lambda x: x["same"] & F.array_contains("constant", x["frame_nodes"]),
+        )
+        parts.append(
+            now.where("fits").select("row", "grp", "frame_nodes", "same", "nodes")
+            .join(saved(constant, "templates"), "grp").select("row", pairs["nodes"].alias("leave_out"))
+        )
+        found = now.select("row", "content", "texts", F.inline("rest")).select(
+            "row", "grp", "shape", "content", "tree", "nodes", "texts"
+        )
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    # at most a few parts of one page
+    return every.groupBy("row").agg(F.flatten(F.collect_list("leave_out")).alias("leave_out"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
     """``(page_id, url, text, n_chars)`` of each row of ``pages (page_id, url, html)``.
 
     A null or empty html gives an empty text.  Pages without a host are one
-    host.  A host with fewer than :data:`MIN_PAGES` pages has no template, so
-    its pages are read by their elements alone.
+    host.  A host with one page, or only near copies of one, has no template,
+    so its pages are read by their elements alone.
     """
     rows = pages.select(
         F.xxhash64("page_id", "url", "html").alias("row"), F.col("page_id").cast("long"),
@@ -497,7 +600,7 @@ def main_texts(pages: DataFrame) -> DataFrame:
         F.col("html").cast("string"),
     )
     found = saved(trees(rows.select("row", "host", "html")), "trees")
-    left_out = saved(template_nodes(found, templates(found)), "template-nodes")
+    left_out = saved(template_nodes(found), "template-nodes")
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
