@@ -107,6 +107,29 @@ def test_equal_trees_match_whole():
     assert len(wrapper.match_trees(tree, tree)) == len(tree[0])
 
 
+def test_long_lists_are_aligned_whole():
+    def table(rows):
+        return wrapper.Page("<table>" + "".join(f"<tr><td>row {i}</td><td>x</td></tr>" for i in rows) + "</table>").tree()
+
+    one, two = table(range(2500)), table(range(-1, 2599))
+    pairs = wrapper.match_trees(one, two)
+    assert len(pairs) == len(one[0]) and all(one[2][a] == two[2][b] for a, b in pairs)
+
+
+def test_halving_keeps_the_largest_sum(monkeypatch):
+    rng = np.random.default_rng(3)
+    for cells in (4, 40):
+        monkeypatch.setattr(wrapper, "_MOST_CELLS", cells)
+        for _ in range(50):
+            table = rng.integers(0, 4, (rng.integers(1, 12), rng.integers(1, 12)))
+            pairs = sorted(wrapper.align_lists(lambda i, js, t=table: t[i][js], np.arange(len(table)), np.arange(table.shape[1])))
+            best = np.zeros((table.shape[0] + 1, table.shape[1] + 1), int)
+            for i, j in np.ndindex(*table.shape):
+                best[i + 1, j + 1] = max(best[i, j + 1], best[i + 1, j], best[i, j] + table[i, j])
+            assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:]))
+            assert sum(table[p] for p in pairs) == best[-1, -1]
+
+
 def test_template_of_a_host_is_left_out(spark):
     def html(i):
         return f"<body><div><p>Welcome to our site</p></div><div><p>story number {i} tells something long enough</p><p>end {i}</p></div></body>"

@@ -35,6 +35,7 @@ ROUNDS = 3
 #: otherwise it is a near copy of that page, and what they share may be the article.
 DIFFERENT = 0.25
 _DEEPEST = 60
+#: Cells of an alignment table held at once; longer lists are halved, with the same sum.
 _MOST_CELLS = 4_000_000
 
 # fixed values: element names by role
@@ -307,6 +308,13 @@ def _hash(text: str) -> int:
     return int.from_bytes(digest, "little", signed=True) or 1
 
 
+def _children(parent: np.ndarray) -> list[list[int]]:
+    kids: list[list[int]] = [[] for _ in parent]
+    for c in range(1, len(parent)):
+        kids[parent[c]].append(c)
+    return kids
+
+
 def _items(children: list[list[int]], label: np.ndarray, node: int) -> list[list[int]]:
     """A node's children, with runs of equal leaves taken together."""
     out: list[list[int]] = []
@@ -319,18 +327,70 @@ def _items(children: list[list[int]], label: np.ndarray, node: int) -> list[list
     return out
 
 
+def _classes(kids: list[list[int]], tree: tuple) -> tuple[list[int], list[int]]:
+    """Hashes of each node's subtree: of the labels alone, and with the texts."""
+    bare, full = [0] * len(kids), [0] * len(kids)
+    for e in range(len(kids) - 1, -1, -1):
+        bare[e] = hash((int(tree[1][e]), *(bare[c] for c in kids[e])))
+        full[e] = hash((int(tree[1][e]), int(tree[2][e]), *(full[c] for c in kids[e])))
+    return bare, full
+
+
+def _last_row(values, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
+    """The last row of the table of best sums: all of ``xs`` with each head of ``ys``."""
+    row = np.zeros(len(ys) + 1, dtype=np.int64)
+    for x in xs:
+        row[1:] = np.maximum(row[1:], row[:-1] + values(x, ys))
+        np.maximum.accumulate(row, out=row)
+    return row
+
+
+def align_lists(values, xs: np.ndarray, ys: np.ndarray) -> list[tuple[int, int]]:
+    """The order-preserving pairs of ``xs`` and ``ys`` with the largest sum of ``values(x, ys)``.
+
+    A table of more than :data:`_MOST_CELLS` cells is halved by Hirschberg's
+    method, so memory stays bounded and the result is exact at any length.
+    """
+    found: list[tuple[int, int]] = []
+    todo = [(xs, ys)]
+    while todo:
+        xs, ys = todo.pop()
+        if not len(xs) or not len(ys):
+            continue
+        if len(xs) > 1 and (len(xs) + 1) * (len(ys) + 1) > _MOST_CELLS:
+            half = len(xs) // 2
+            sums = _last_row(values, xs[:half], ys) + _last_row(values, xs[:half - 1:-1], ys[::-1])[::-1]
+            cut = int(np.argmax(sums))
+            todo += [(xs[:half], ys[:cut]), (xs[half:], ys[cut:])]
+            continue
+        best = np.zeros((len(xs) + 1, len(ys) + 1), dtype=np.int64)
+        for i, x in enumerate(xs):
+            best[i + 1, 1:] = np.maximum(best[i, 1:], best[i, :-1] + values(x, ys))
+            np.maximum.accumulate(best[i + 1], out=best[i + 1])
+        i, j = len(xs), len(ys)
+        while i and j:
+            if best[i, j] == best[i - 1, j]:
+                i -= 1
+            elif best[i, j] == best[i, j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                found.append((int(xs[i]), int(ys[j])))
+    return found
+
+
 def match_trees(one: tuple, two: tuple) -> list[tuple[int, int]]:
     """Simple tree matching: the largest order-preserving matching of equal labels from the root.
 
     A run of equal leaves is matched as a whole, which changes nothing as any
-    of them count one.  Child lists too long for the quadratic alignment are
-    aligned from both ends.
+    of them count one.  Among equally large matchings of a child list one with
+    most equal texts is taken.
     """
     label_a, label_b = one[1], two[1]
-    kids_a, kids_b = [[] for _ in label_a], [[] for _ in label_b]
-    for kids, parent in ((kids_a, one[0]), (kids_b, two[0])):
-        for c in range(1, len(parent)):
-            kids[parent[c]].append(c)
+    kids_a, kids_b = _children(one[0]), _children(two[0])
+    bare_a, full_a = _classes(kids_a, one)
+    bare_b, full_b = _classes(kids_b, two)
+    sizes: dict[tuple[int, int], int] = {}
 
     def alike(x: list[int], y: list[int]) -> bool:
         return label_a[x[0]] == label_b[y[0]] and bool(kids_a[x[0]]) == bool(kids_b[y[0]])
@@ -340,39 +400,60 @@ def match_trees(one: tuple, two: tuple) -> list[tuple[int, int]]:
             return match(x[0], y[0])
         return list(zip(x, y, strict=False))
 
+    def size_of(x: list[int], y: list[int]) -> int:
+        if not alike(x, y):
+            return 0
+        if not kids_a[x[0]]:
+            return min(len(x), len(y))
+        key = bare_a[x[0]], bare_b[y[0]]
+        if key not in sizes:
+            sizes[key] = len(match(x[0], y[0]))
+        return sizes[key]
+
     def match(a: int, b: int) -> list[tuple[int, int]]:
         xs, ys = _items(kids_a, label_a, a), _items(kids_b, label_b, b)
         found = [(a, b)]
-        head = 0
-        while head < min(len(xs), len(ys)) and alike(xs[head], ys[head]) and len(xs) == len(ys):
-            found += pairs_of(xs[head], ys[head])
-            head += 1
-        xs, ys = xs[head:], ys[head:]
-        if len(xs) * len(ys) > _MOST_CELLS:
-            for x, y in [*zip(xs, ys, strict=False)][:1000] + [*zip(xs[::-1], ys[::-1], strict=False)][:1000]:
-                if alike(x, y):
-                    found += pairs_of(x, y)
+        # nothing is larger than head on where all rows are of one class or no label comes twice
+        if len(xs) == len(ys) and all(alike(x, y) for x, y in zip(xs, ys, strict=True)) and (
+            len({label_a[x[0]] for x in xs}) == len(xs)
+            or all(len(x) == len(y) and bare_a[x[0]] == bare_b[y[0]] for x, y in zip(xs, ys, strict=True))
+        ):
+            for x, y in zip(xs, ys, strict=True):
+                found += pairs_of(x, y)
             return found
+        # so are equal rows at both ends
+        for end in (0, -1):
+            same = 0
+            for x, y in zip(xs[:: 2 * end + 1], ys[:: 2 * end + 1], strict=False):
+                if [full_a[e] for e in x] != [full_b[e] for e in y]:
+                    break
+                found += pairs_of(x, y)
+                same += 1
+            if same:
+                xs, ys = (xs[same:], ys[same:]) if end == 0 else (xs[:-same], ys[:-same])
         if not xs or not ys:
             return found
-        kept: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for i, x in enumerate(xs):
-            for j, y in enumerate(ys):
-                value = 0
-                if alike(x, y):
-                    kept[i, j] = pairs_of(x, y)
-                    value = len(kept[i, j])
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + value)
-        i, j = len(xs), len(ys)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                found += kept[i - 1, j - 1]
-                i, j = i - 1, j - 1
+        # rows of one class have the same sizes
+        kinds_a = {(bare_a[x[0]], len(x)): x for x in xs}
+        kinds_b = {(bare_b[y[0]], len(y)): y for y in ys}
+        number_a, number_b = ({k: i for i, k in enumerate(kinds)} for kinds in (kinds_a, kinds_b))
+        class_a = np.array([number_a[bare_a[x[0]], len(x)] for x in xs])
+        class_b = np.array([number_b[bare_b[y[0]], len(y)] for y in ys])
+        text_a = np.array([hash(tuple(full_a[e] for e in x)) for x in xs])
+        text_b = np.array([hash(tuple(full_b[e] for e in y)) for y in ys])
+        # equal rows break ties: all of them together weigh less than one node
+        weight = min(len(xs), len(ys)) + 1
+        by_class: dict[int, np.ndarray] = {}
+
+        def values(i: int, js: np.ndarray) -> np.ndarray:
+            kind = class_a[i]
+            if kind not in by_class:
+                by_class[kind] = np.array([size_of(xs[i], y) for y in kinds_b.values()], dtype=np.int64) * weight
+            size = by_class[kind][class_b[js]]
+            return size + ((text_b[js] == text_a[i]) & (size > 0))
+
+        for i, j in align_lists(values, np.arange(len(xs)), np.arange(len(ys))):
+            found += pairs_of(xs[i], ys[j])
         return found
 
     return match(0, 0)
@@ -401,13 +482,6 @@ def _host(url) -> F.Column:
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))
 
 
-def _children(parent: np.ndarray) -> list[list[int]]:
-    kids: list[list[int]] = [[] for _ in parent]
-    for c in range(1, len(parent)):
-        kids[parent[c]].append(c)
-    return kids
-
-
 def _shape(tree: tuple) -> int:
     kids = _children(tree[0])
     return _hash(str([[int(tree[1][r[0]]) for r in _items(kids, tree[1], e)] for e in range(len(kids)) if kids[e]]))
