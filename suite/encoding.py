@@ -81,6 +81,12 @@ def encoder_save_load(spark, sf):
     ).agg(F.count(F.lit(1)).alias("rows"), F.count_if("bad").alias("mismatches"))
 
 
+# the published sizes: default iterations and trees of the libraries, trials of the search's usage line
+ITERATIONS = 100
+TREES = 100
+ROUNDS = 100
+TRIALS = 4
+
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "o_totalprice"]
 TEXT = ["l_linestatus", "o_orderpriority"]
 
@@ -104,42 +110,41 @@ def _training(spark, sf):
 @query("train_score_lr")
 def train_score_lr(spark, sf):
     train, test = _training(spark, sf)
-    estimator = T.logistic_regression(train.count(), maxIter=20)
+    estimator = T.logistic_regression(train.count(), maxIter=ITERATIONS)
     return T.evaluate(test, estimator.fit(train))
 
 
 @query("train_score_forest")
 def train_score_forest(spark, sf):
     train, test = _training(spark, sf)
-    return T.evaluate(test, T.random_forest(numTrees=10, maxDepth=5).fit(train))
+    return T.evaluate(test, T.random_forest(numTrees=TREES, maxDepth=5).fit(train))
 
 
 @query("train_score_gbt")
 def train_score_gbt(spark, sf):
     train, test = _training(spark, sf)
-    return T.evaluate(test, T.boosted_trees(maxIter=5, maxDepth=4, stepSize=0.1).fit(train))
+    return T.evaluate(test, T.boosted_trees(maxIter=ROUNDS, maxDepth=6, stepSize=0.3).fit(train))
 
 
 @query("hpo_random")
 def hpo_random(spark, sf):
     """Random search, the winner refitted on the whole training part and evaluated."""
     train, test = _training(spark, sf)
-    space = {**T.SEARCH_SPACE, "maxIter": [3, 5], "maxDepth": [3, 4]}
-    found, draws = T.random_search(train, trials=3, space=space)
+    found, draws = T.random_search(train, trials=TRIALS)
     return T.evaluate(test, found.bestModel).withColumn("trials", F.lit(len(draws)))
 
 
 @query("batch_scoring")
 def batch_scoring(spark, sf):
     train, test = _training(spark, sf)
-    model = T.logistic_regression(train.count(), maxIter=10).fit(train)
+    model = T.logistic_regression(train.count(), maxIter=ITERATIONS).fit(train)
     return T.score(test, model, ["l_orderkey", "label"])
 
 
 @query("baseline_row")
 def baseline_row(spark, sf):
     train, test = _training(spark, sf)
-    model = T.logistic_regression(train.count(), maxIter=10).fit(train)
+    model = T.logistic_regression(train.count(), maxIter=ITERATIONS).fit(train)
     scored = T.score(test, model, ["label"]).select(
         F.col("label").cast("int").alias("label"), F.col("probability_score").alias("score")
     )
