@@ -29,7 +29,7 @@ def _event_stream(spark, sf):
 )
 def stream_drift(spark, sf):
     reference = with_batch(table(spark, sf, "events")).where("batch_number = 0")
-    stream = with_batch(_event_stream(spark, sf)).where("batch_number BETWEEN 1 AND 5")
+    stream = with_batch(_event_stream(spark, sf)).where("batch_number <> 0")
     log = shared_dir(spark, "stream-log")
     monitor.drift_monitor(
         stream, reference, "batch_number", EV_KINDS, log, shared_dir(spark, "stream-state"), threshold=0.3
