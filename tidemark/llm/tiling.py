@@ -99,18 +99,21 @@ def benchmark_words(benchmark: DataFrame) -> DataFrame:
 
 
 def seeds(items: DataFrame) -> DataFrame:
-    """``(seed, item_id)``: the distinct shingles of each item."""
+    """``(seed, item_id, times)``: the distinct shingles of each item and how often it has them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, words in zip(batch.column("item_id"), batch.column("words"), strict=True):
-                found = np.unique(shingles(np.frombuffer(words.as_buffer(), np.uint64), MIN_MATCH))
+                found, times = np.unique(
+                    shingles(np.frombuffer(words.as_buffer(), np.uint64), MIN_MATCH), return_counts=True
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array([item.as_py()] * len(found), pa.int64())],
-                    names=["seed", "item_id"],
+                    [pa.array(found.view(np.int64)), pa.array([item.as_py()] * len(found), pa.int64()),
+                     pa.array(times, pa.int64())],
+                    names=["seed", "item_id", "times"],
                 )
 
-    return items.select("item_id", "words").mapInArrow(cut, "seed long, item_id long")
+    return items.select("item_id", "words").mapInArrow(cut, "seed long, item_id long, times long")
 
 
 def hits(docs: DataFrame, seeds_of_items: DataFrame) -> DataFrame:
@@ -169,9 +172,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         found.select("doc_id", F.explode("seeds").alias("seed"))
         .join(known, "seed")
         .groupBy("doc_id", "item_id")
-        .agg(F.count_distinct("seed").alias("n_seeds"))
+        .agg(F.sum("times").alias("n_seeds"))
     )
-    # k seeds cover at most MIN_MATCH * k words
+    # seeds that the item has k times in all cover at most MIN_MATCH * k of its words
     pairs = (
         shared.join(items, "item_id")
         .where(F.col("n_seeds") * MIN_MATCH >= F.col("n_words") * coverage)
