@@ -154,3 +154,33 @@ def op2(spark, sf_dir):
     from tidemark.llm import sharding
 
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=16)
+
+
+@query("op11_repair")
+def op11(spark, sf_dir):
+    """Damaged conversations repaired by the lightest derivation."""
+    from tidemark.llm import repair
+
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_runs")
+def op12(spark, sf_dir):
+    """Periodic runs of words in all documents."""
+    from tidemark.llm import runs
+
+    return runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
+def _licenses_sql():
+    from tidemark.llm import licenses
+
+    return licenses.oracle_sql()
+
+
+@query("op13_licenses", _licenses_sql())
+def op13(spark, sf_dir):
+    """License phrases and templates in all documents."""
+    from tidemark.llm import licenses
+
+    return licenses.scan(table(spark, sf_dir, "documents"))
