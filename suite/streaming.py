@@ -11,7 +11,7 @@ from tidemark.operators.encode import fit_encoder
 from tidemark.operators.sides import long_form
 from tidemark.session import join_small, shared_dir
 from tidemark.sources import runlog
-from tidemark.streaming import cooldown, monitor, windows
+from tidemark.streaming import cooldown, monitor, whole, windows
 
 from .common import events_by_batch, query, r, rounded, table, with_batch
 from .drift import EV_CONSENSUS, EV_KINDS
@@ -43,6 +43,35 @@ def stream_drift(spark, sf):
     )
 
 
+@query(
+    "stream_drift_split",
+    f"{EV_CONSENSUS} SELECT grp::VARCHAR AS batch_number, round(drift_share, 6) AS drift_share, "
+    "n_drifted_columns::DOUBLE AS n_drifted_columns, status, drift_indicators AS indicators FROM cs1",
+)
+def stream_drift_split(spark, sf):
+    """Every batch arrives in four files, one per trigger; each is judged once, when complete."""
+    events = with_batch(table(spark, sf, "events")).where("batch_number IS NOT NULL")
+    source, markers = shared_dir(spark, "split-source"), shared_dir(spark, "split-markers")
+    current = events.where("batch_number <> 0")
+    current.drop("batch_number").repartition(4).write.parquet(source)
+    current.groupBy(F.col("batch_number").alias("batch")).agg(F.count(F.lit(1)).alias("n_rows")).write.parquet(markers)
+    stream = with_batch(
+        spark.readStream.schema(table(spark, sf, "events").schema).option("maxFilesPerTrigger", 1).parquet(source)
+    )
+    log = shared_dir(spark, "split-log")
+    whole.whole_batch_monitor(
+        stream, events.where("batch_number = 0"), "batch_number", EV_KINDS, markers,
+        shared_dir(spark, "split-state"), log, shared_dir(spark, "split-checkpoint"), threshold=0.3,
+    ).awaitTermination()
+    runs = whole.read_log(spark, log)
+    return runs.select(
+        F.col("params")["batch_number"].alias("batch_number"),
+        r(F.col("metrics")["drift_share"]).alias("drift_share"),
+        F.col("metrics")["n_drifted_columns"].alias("n_drifted_columns"),
+        F.col("tags")["status"].alias("status"), F.col("tags")["indicators"].alias("indicators"),
+    )
+
+
 _WINDOWS = """WITH e AS (SELECT value, CAST(floor((epoch_us(ts) - 1704067200000000) / (5 * 86400 * 1000000.0)) AS INTEGER) AS b FROM events),
 mx AS (SELECT max(epoch_us(ts)) - 3600 * 1000000::BIGINT AS wm FROM events),
 g AS (SELECT min(value) AS lo, max(value) AS hi FROM e WHERE b = 0),
