@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLOCK, STEP = 64, 32
 CONTAINMENT = 0.8
@@ -57,7 +58,8 @@ TEMPLATES = (
 def words_of(text: Column) -> Column:
     """Words of a text column (null: none)."""
     lowered = F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
-    return F.regexp_extract_all(lowered, F.lit(WORD), F.lit(0))
+    # splitting at the gaps between words gives the same words as extracting them, with empty ends removed
+    return F.array_remove(F.split(lowered, _GAP), "")
 
 
 def _places(words: Column, n: Column, phrase: str) -> Column:
@@ -96,7 +98,7 @@ def _overlap(ordered: Column, prefix: Column, size: int, need: int):
 def template_order(docs: DataFrame, templates=TEMPLATES) -> list[str]:
     """Template words ordered globally: by the number of documents that hold them, then by the word."""
     vocabulary = sorted({w for _, text in templates for w in text.split()})
-    held = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), F.array_distinct(words_of(F.col("text"))))
+    held = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), words_of(F.col("text")))
     counts = docs.select(F.explode(held).alias("word")).groupBy("word").count()
     freq = {row.word: row["count"] for row in counts.collect()}  # at most one row per template word
     return sorted(vocabulary, key=lambda w: (freq.get(w, 0), w))
@@ -125,17 +127,22 @@ def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT)
         F.sequence(F.lit(0), last_block),
         lambda k: F.array_intersect(vocabulary, F.array_distinct(F.slice(w, k * STEP + 1, BLOCK))),
     )
-    best = []
+    best, prefixes = [], set()
     for label, text in templates:
         tokens = sorted(set(text.split()), key=rank.__getitem__)
         size = len(tokens)
         need = math.ceil(containment * size - 1e-9)
+        prefixes.update(tokens[: size - need + 1])
         prefix = F.array(*[F.lit(x) for x in tokens[: size - need + 1]])
         ordered = F.array(*[F.lit(x) for x in tokens])
 
         top = F.coalesce(F.array_max(F.transform(F.col("reduced"), _overlap(ordered, prefix, size, need))), F.lit(0))
         best.append((top, label, size, need))
-    scored = rows.select("doc_id", "w", reduced.alias("reduced"))
+    # prefix filter over the whole document first: without any prefix token no block can match
+    hopeful = F.arrays_overlap(w, F.array(*[F.lit(x) for x in sorted(prefixes)]))
+    scored = rows.select(
+        "doc_id", "w", F.when(hopeful, reduced).otherwise(F.array().cast("array<array<string>>")).alias("reduced")
+    )
     base = _labels([(F.size(p) > 0, label) for p, label in places])
     method = _labels([(top >= need, label) for top, label, _, need in best] + [(F.size(p) > 0, label) for p, label in places])
     shares = [F.when(top >= need, top / F.lit(float(size))).otherwise(F.lit(0.0)) for top, _, size, need in best]
