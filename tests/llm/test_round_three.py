@@ -91,6 +91,20 @@ def test_damage_faults_and_repair_on_a_table(spark):
             assert row.repaired_sha256 == EMPTY and row.audit == ""
 
 
+def test_conversations_split_over_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = [(c, t, "user" if t % 2 == 0 else "assistant", f"Turn {t}.") for c in (1, 2, None) for t in range(7)]
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(1)
+        got = {r.conv_id: r for r in repair.repaired(df).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got, key=str) == [1, 2, None]
+    for conv in (1, 2, None):
+        _, faults, cost, audit = _expected([r for r in rows if r[0] == conv])
+        assert (got[conv].cost, got[conv].audit) == (cost, audit)
+
+
 def test_nulls_empty_tables_and_clashing_columns(spark):
     df = spark.createDataFrame(
         [(None, None, None, None, 1), (None, 2, "user", "Hi.", 2), (7, None, "assistant", "", 3)],
@@ -103,8 +117,8 @@ def test_nulls_empty_tables_and_clashing_columns(spark):
 
 
 def test_gaps_ignore_null_turns():
-    assert repair._gaps(pd.Series([None, None], dtype="float64")) == 0
-    assert repair._gaps(pd.Series([1, 4, 4, None], dtype="float64")) == 2
+    assert repair._gaps([None, None]) == 0
+    assert repair._gaps([1, 4, 4, None]) == 2
 
 
 # --- op12: periodic runs ---------------------------------------------------------------------

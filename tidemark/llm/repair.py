@@ -215,43 +215,74 @@ def lightest_repair(initials: list[str], faults: list[str]) -> tuple[int, list[t
     return finished.cost, edits[::-1]
 
 
-def _gaps(turns: pd.Series) -> int:
-    seen = turns.dropna()
-    if seen.empty:
+def _gaps(turns: list) -> int:
+    seen = [t for t in turns if t is not None]
+    if not seen:
         return 0
-    return int(seen.max() - seen.min() + 1 - seen.nunique())
+    return int(max(seen) - min(seen) + 1 - len(set(seen)))
 
 
-def _one(rows: pd.DataFrame) -> pd.DataFrame:
-    conv = rows["conv_id"].iloc[0]
-    rows = rows[~rows["dropped"]].sort_values(
-        ["turn", "role", "text", "copy"], na_position="first", kind="mergesort"
-    )
-    roles = rows["role"].tolist()
-    texts = rows["text"].tolist()
-    faults = rows["fault"].tolist()
+def _one(conv, turns: list, roles: list, texts: list, faults: list) -> dict:
+    """Result row of one conversation from its kept rows, already in conversation order."""
     initials = [r[:1] for r in roles]
     pairs = {"su", "ua", "au"}
     illegal = sum(1 for x, y in zip(initials, initials[1:]) if x + y not in pairs)
     cost, edits = lightest_repair(initials, faults)
-    digest = hashlib.sha256()
-    first = True
+    lines = []
     for kind, row, role in edits:
-        if kind == "D":
-            continue
-        line = f"{role}:" if kind == "I" else f"{role or roles[row]}:{texts[row]}"
-        digest.update((line if first else "\n" + line).encode("utf-8"))
-        first = False
-    return pd.DataFrame(
-        {
-            "conv_id": [None if conv is None or (isinstance(conv, float) and math.isnan(conv)) else int(conv)],
-            "gaps": [_gaps(rows["turn"])],
-            "blank": [faults.count("b")], "duplicate": [faults.count("d")], "truncated": [faults.count("t")],
-            "illegal": [illegal], "cost": [cost],
-            "audit": ["".join(kind for kind, _, _ in edits)],
-            "repaired_sha256": [digest.hexdigest() if not first else _EMPTY_SHA],
-        }
-    )
+        if kind == "I":
+            lines.append(f"{role}:")
+        elif kind != "D":
+            lines.append(f"{role or roles[row]}:{texts[row]}")
+    return {
+        "conv_id": conv, "gaps": _gaps(turns),
+        "blank": faults.count("b"), "duplicate": faults.count("d"), "truncated": faults.count("t"),
+        "illegal": illegal, "cost": cost, "audit": "".join(kind for kind, _, _ in edits),
+        "repaired_sha256": hashlib.sha256("\n".join(lines).encode("utf-8")).hexdigest() if lines else _EMPTY_SHA,
+    }
+
+
+def _column(frame: pd.DataFrame, name: str) -> list:
+    values = frame[name]
+    return [None if pd.isna(v) else v for v in values.astype(object)]
+
+
+def _conversations(frames):
+    """Walk conversations in order; one held back at each batch end may continue in the next."""
+    names = ["conv_id", "turn", "role", "text", "fault", "dropped"]
+    held = {n: [] for n in names}
+    for frame in frames:
+        cols = {n: _column(frame, n) for n in names}
+        convs = cols["conv_id"]
+        out = []
+        start = 0
+        for i in range(1, len(convs) + 1):
+            if i < len(convs) and convs[i] == convs[start]:
+                continue
+            if held["conv_id"] and held["conv_id"][0] != convs[start]:
+                out.append(_finish(held))
+                held = {n: [] for n in names}
+            for n in names:
+                held[n].extend(cols[n][start:i])
+            if i < len(convs):
+                out.append(_finish(held))
+                held = {n: [] for n in names}
+            start = i
+        if out:
+            yield pd.DataFrame(out, columns=RESULT_NAMES)
+    if held["conv_id"]:
+        yield pd.DataFrame([_finish(held)], columns=RESULT_NAMES)
+
+
+def _finish(rows: dict) -> dict:
+    kept = [i for i, d in enumerate(rows["dropped"]) if not d]
+    pick = lambda n: [rows[n][i] for i in kept]
+    turns = [None if t is None else int(t) for t in pick("turn")]
+    conv = rows["conv_id"][0]
+    return _one(None if conv is None else int(conv), turns, pick("role"), pick("text"), pick("fault"))
+
+
+RESULT_NAMES = [part.split()[0] for part in RESULT.split(", ")]
 
 
 def repaired(conversations: DataFrame) -> DataFrame:
@@ -259,9 +290,14 @@ def repaired(conversations: DataFrame) -> DataFrame:
 
     A conversation whose rows all drop has zero counts, cost 0, an empty audit
     and the digest of the empty string.  Extra input columns are ignored.
+    Spark puts each conversation in one partition and sorts it in conversation
+    order; a task then walks its conversations one after the other.
     """
     rows = damaged(conversations).select("conv_id", "turn", "role", "text", "copy", "dropped", "fault")
-    return rows.groupBy("conv_id").applyInPandas(_one, RESULT)
+    ordered = rows.repartition("conv_id").sortWithinPartitions(
+        F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text", "copy"
+    )
+    return ordered.mapInPandas(_conversations, RESULT)
 
 
 def brute_force(initials: list[str], faults: list[str]) -> tuple[int, str]:
