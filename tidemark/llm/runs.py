@@ -210,7 +210,13 @@ def find_runs(ids: np.ndarray) -> list[tuple[int, int, int]]:
         q = np.repeat(periods[first:last], counts[first:last])
         starts = np.repeat(np.cumsum(counts[first:last]) - counts[first:last], counts[first:last])
         grid = (np.arange(len(q), dtype=np.int64) - starts) * q
+        # A run of period q holds a grid position whose q words repeat right after it, and from
+        # there both extensions give the whole run: probe only where the first word repeats.
+        hit = ids[grid] == ids[grid + q]
+        grid, q = grid[hit], q[hit]
         right = forward.lce(grid, grid + q)
+        hit = right >= q
+        grid, q, right = grid[hit], q[hit], right[hit]
         left = np.zeros(len(grid), dtype=np.int64)
         inner = grid > 0
         left[inner] = backward.lce(n - grid[inner], n - grid[inner] - q[inner])
