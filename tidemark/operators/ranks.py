@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import row_key
-from ..session import join_keyed, join_small
+from ..session import cut_lineage, join_keyed, join_small
 from .prefix import running_totals
 
 CutSpec = Mapping[str, Callable[[Column], Column]]
@@ -93,6 +93,8 @@ def cut_tuples(
                 *strata, "cut", (F.col("_k") - first).alias("_k"),
                 *[f"_at_{c}" for c in found], F.col(key).alias(f"_at_{key}"), "_n",
             )
+        # one row per cut: written, the next column's plan does not nest this one
+        level = cut_lineage(level)
         found.append(key)
     settled = F.when(
         F.col("_k") < F.col("_n"),
