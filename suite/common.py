@@ -72,7 +72,7 @@ def with_batch(events: DataFrame) -> DataFrame:
 BATCH_SQL = "CAST(floor((epoch_us(ts) - 1704067200000000) / (5 * 86400 * 1000000.0)) AS INTEGER)"
 EVENTS_SRC = (
     "SELECT value, user_id, event_type, b = 0 AS is_ref, b AS grp "
-    f"FROM (SELECT *, {BATCH_SQL} AS b FROM events) WHERE b BETWEEN 0 AND 5"
+    f"FROM (SELECT *, {BATCH_SQL} AS b FROM events) WHERE b IS NOT NULL"
 )
 
 
