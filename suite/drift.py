@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import consensus as C
 from tidemark.operators import drift as D
 from tidemark.operators import evaluate as E
+from tidemark.operators import refindex
 from tidemark.operators.profile import correlations, quality_profile
 from tidemark.operators.sides import flag_sides, long_form, stack_sides
 
@@ -349,6 +350,29 @@ def drift_batches(spark, sf):
     return _summary(batch_consensus(spark, sf), ["batch_number"])
 
 
+def _event_cells(rows, keys):
+    """``(keys..., feature, value)`` of the numeric event features; nulls and NaN left out."""
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")).alias("value"))
+        for f in EV_NUMERIC
+    ])).alias("c")
+    return rows.select(*keys, cells).select(*keys, "c.feature", "c.value")
+
+
+@query(
+    "drift_ks_batches",
+    f"{EV} SELECT grp AS batch_number, feature, round(ks, 6) AS ks_statistic FROM rk",
+)
+def drift_ks_batches(spark, sf):
+    """KS of every batch against batch 0 through one rank index of the reference."""
+    rows = events_by_batch(spark, sf)
+    t = refindex.ks_by_reference_index(
+        _event_cells(rows.where("is_ref"), []), _event_cells(rows.where("NOT is_ref"), ["batch_number"]),
+        ["batch_number"],
+    )
+    return rounded(t.select("batch_number", "feature", "ks_statistic"), ["ks_statistic"])
+
+
 @query(
     "batch_set_verdict",
     f"{EV_CONSENSUS} SELECT count(*) AS total_batches, count(*) FILTER (dataset_drift) AS drifted_batches, "
