@@ -1,6 +1,7 @@
 """The stages one by one against plain versions of their rules."""
 
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -71,3 +72,20 @@ def test_masks_leave_nothing_that_the_patterns_find():
     (base, every), = pii.find([text], None)
     assert base == every == brute_spans(text)
     assert re.search(pii._ANCHOR, text)
+
+
+def test_repeated_ids_lose_no_text(spark, folder):
+    rows = [(1, "t t t t t t"), (2, "u u u u u u"), (2, "t t t t t t"), (3, "u u u u u u"), (5, "x x x x x x"), (5, "x x x x x x"), (None, "t t t t t t"), (None, "y y y y y y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter((r.doc_id, r.text) for r in corpus_pipeline.neardup_stage(spark, docs, folder).collect())
+    assert kept == Counter([(1, "t t t t t t"), (2, "u u u u u u"), (5, "x x x x x x"), (None, "y y y y y y")])
+    items = spark.createDataFrame([(1, "u u u u u u")], "item_id long, text string")
+    items.write.mode("overwrite").parquet(f"{folder}/repeat/benchmark.parquet")
+    clean = Counter((r.doc_id, r.text) for r in corpus_pipeline.decontamination_stage(spark, docs, f"{folder}/repeat").collect())
+    assert clean == Counter(r for r in rows if r[1] != "u u u u u u")
+    clash = docs.withColumn("_row", F.lit("mine")).withColumn("_id", F.lit(7))
+    kept = corpus_pipeline.neardup_stage(spark, clash, folder)
+    assert kept.columns == clash.columns
+    assert Counter((r.doc_id, r.text, r._row, r._id) for r in kept.collect()) == Counter(
+        (d, t, "mine", 7) for d, t in [(1, "t t t t t t"), (2, "u u u u u u"), (5, "x x x x x x"), (None, "y y y y y y")]
+    )
