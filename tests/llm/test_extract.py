@@ -207,6 +207,23 @@ def test_archives_round_trip(spark):
     assert listed.count() == 0
 
 
+def test_archives_resolve_repeated_ids_per_payload(spark):
+    rows = [(3, "a", "AAA", None), (4, "c", "CCC", None), (7, "a", "AAA", None), (7, "b", "BBB", None),
+            (9, "a", "AAA", None), (9, "c", "CCC", None), (3, "a", "AAA", None), (None, "a", "AAA", None)]
+    folder, listed = warc.write_archives(spark.createDataFrame(rows, PAGES))
+    out = sorted(
+        ((r.page_id, r.html, r.record_type, r.refers_to, r.payload_digest) for r in warc.read_archives(spark, folder, listed).collect()),
+        key=str,
+    )
+    d = {h: warc.digest(h.encode()) for h in ("AAA", "BBB", "CCC")}
+    assert out == sorted(
+        [(3, "AAA", "response", None, d["AAA"]), (3, "AAA", "response", None, d["AAA"]), (4, "CCC", "response", None, d["CCC"]),
+         (7, None, "revisit", 3, d["AAA"]), (7, "BBB", "response", None, d["BBB"]), (9, None, "revisit", 3, d["AAA"]),
+         (9, None, "revisit", 4, d["CCC"]), (None, "AAA", "response", None, d["AAA"])],
+        key=str,
+    )
+
+
 PATTERNS = [
     r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]",

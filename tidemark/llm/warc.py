@@ -1,7 +1,7 @@
 """WARC archives in which repeated payloads are written once.
 
-Headers alone - page, length, digest - are shuffled by payload digest to find
-the first page of each repeated payload.  Every other page with it becomes a
+Headers alone - page, length, SHA-1 of the payload, all computed in the JVM -
+are shuffled by payload to find the first page of each repeated payload.  Every other page with it becomes a
 revisit record that names that page and carries no payload.  Archives are
 gzipped record by record, and reading them back needs nothing else.
 """
@@ -38,43 +38,38 @@ def _payload(html: str | None) -> bytes:
 
 
 def headers(pages: DataFrame) -> DataFrame:
-    """``(page_id, payload_bytes, payload_digest)`` of each page, computed where it is read."""
+    """``(page_id, payload_bytes, payload_key)`` of each page, computed in the JVM where it is read.
 
-    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            payloads = [_payload(x) for x in batch.column("html").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("page_id"),
-                    pa.array([len(p) for p in payloads], pa.int64()),
-                    pa.array([digest(p) for p in payloads], pa.string()),
-                ],
-                names=["page_id", "payload_bytes", "payload_digest"],
-            )
-
-    rows = pages.select(F.col("page_id").cast("long"), F.col("html").cast("string"))
-    return rows.mapInArrow(head, "page_id long, payload_bytes long, payload_digest string")
+    ``payload_key`` is the hexadecimal SHA-1 of the payload: the same hash as the
+    records' base32 digest, so equal keys are equal digests.
+    """
+    payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
+    return pages.select(
+        F.col("page_id").cast("long"), F.octet_length(payload).cast("long").alias("payload_bytes"),
+        F.sha1(payload).alias("payload_key"),
+    )
 
 
 def revisits(heads: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """``(page_id, refers_to)`` of pages whose payload an earlier page already has.
+    """``(page_id, payload_key, refers_to)`` of pages whose payload an earlier page already has.
 
-    Counting is combined before the shuffle; only digests that occur twice are
+    Counting is combined before the shuffle; only keys that occur twice are
     joined back, and adaptive execution splits the rows of a very common one.
-    Rows that repeat the first page itself stay responses, and so do rows
-    without a ``page_id``.
+    A revisit is named by page and payload, so a ``page_id`` that repeats with
+    other payloads is resolved per payload.  Rows that repeat the first page
+    itself stay responses, and so do rows without a ``page_id``.
     """
     heads = heads.where((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
     first = (
-        heads.groupBy("payload_digest")
+        heads.groupBy("payload_key")
         .agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last"))
         .where("refers_to < last")
         .drop("last")
     )
     return (
-        heads.join(first, "payload_digest")
+        heads.join(first, "payload_key")
         .where("page_id > refers_to")
-        .select("page_id", "refers_to")
+        .select("page_id", "payload_key", "refers_to")
         .distinct()
     )
 
@@ -172,8 +167,10 @@ def write_archives(
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
     )
-    again = revisits(saved(headers(rows), "headers"), min_bytes)
-    resolved = rows.join(again, "page_id", "left").select("page_id", "url", "html", "refers_to")
+    heads = saved(headers(rows), "headers")
+    keyed = rows.withColumn("payload_key", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")))
+    again = revisits(heads, min_bytes)
+    resolved = keyed.join(again, ["page_id", "payload_key"], "left").select("page_id", "url", "html", "refers_to")
     return folder, saved(resolved.mapInArrow(write, "name string, records long"), "archive-list")
 
 
