@@ -12,9 +12,9 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.scalar import fixed, hours_between, lookup, percent
+from . import segments
 from .evaluate import evaluate_scores
 
 
@@ -140,14 +140,17 @@ def with_severity(rows: DataFrame, limits: Thresholds = DEFAULTS) -> DataFrame:
 
 def with_hours_since_retrain(
     rows: DataFrame, monitor: Sequence[str] = ("monitor",), ts: str = "ts",
-    retrained: str = "retrained",
+    retrained: str = "retrained", rows_per_lane: int = segments.ROWS_PER_LANE,
 ) -> DataFrame:
-    """Hours since the monitor's latest earlier retraining; NULL if there was none."""
-    earlier = (
-        Window.partitionBy(*monitor).orderBy(ts).rowsBetween(Window.unboundedPreceding, -1)
+    """Hours since the monitor's latest earlier retraining; NULL if there was none.
+
+    A scan over time lanes (:mod:`.segments`): a monitor with most of the rows
+    is spread over tasks of ``rows_per_lane`` rows.
+    """
+    last = segments.latest_before(
+        rows, list(monitor), ts, F.col(retrained), "_last", rows_per_lane
     )
-    last = F.last(F.when(F.col(retrained), F.col(ts)), ignorenulls=True).over(earlier)
-    return rows.withColumn("_last", last).withColumn(
+    return last.withColumn(
         "hours_since_retrain", hours_between(F.col(ts), F.col("_last"))
     ).drop("_last")
 
@@ -242,27 +245,23 @@ def with_recommendations(rows: DataFrame) -> DataFrame:
 
 def with_escalation(
     rows: DataFrame, limits: Thresholds = DEFAULTS, monitor: Sequence[str] = ("monitor",),
-    ts: str = "ts", failures: str | None = None,
+    ts: str = "ts", failures: str | None = None, rows_per_lane: int = segments.ROWS_PER_LANE,
 ) -> DataFrame:
-    """Add the current run length of major drift and whether to involve a person."""
-    ordered = Window.partitionBy(*monitor).orderBy(ts)
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    broken = (F.col("severity") != "major").cast("int")
-    island = rows.withColumn("_island", F.sum(broken).over(upto))
-    inside = Window.partitionBy(*monitor, "_island").orderBy(ts).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    """Add the current run length of major drift and whether to involve a person.
+
+    The run is a scan over time lanes (:mod:`.segments`), so one monitor with
+    most of the rows is spread over tasks of ``rows_per_lane`` rows.  A null
+    severity breaks the run.
+    """
+    counted = segments.run_length(
+        rows, list(monitor), ts, F.col("severity") == "major", "consecutive_major", rows_per_lane
     )
-    run = F.sum((F.col("severity") == "major").cast("bigint")).over(inside)
     failed = F.col(failures) > limits.retraining_failures if failures else F.lit(False)
-    return (
-        island.withColumn("consecutive_major", run)
-        .drop("_island")
-        .withColumn(
-            "escalate",
-            (F.col("consecutive_major") >= limits.escalation_runs)
-            | (F.col("severity") == "concept")
-            | F.coalesce(failed, F.lit(False)),
-        )
+    return counted.withColumn(
+        "escalate",
+        (F.col("consecutive_major") >= limits.escalation_runs)
+        | F.coalesce(F.col("severity") == "concept", F.lit(False))
+        | F.coalesce(failed, F.lit(False)),
     )
 
 
