@@ -380,3 +380,18 @@ def test_isotonic_is_the_closest_monotone_fit():
 def test_statistics_of_slices_agree():
     texts = ["one two two", None, "", "LOUD!! words |", "a\nb\nc"]
     assert np.allclose(quality.statistics(texts), np.vstack([quality.statistics([t]) for t in texts]))
+
+
+@pytest.mark.parametrize(("offset", "scale"), [(0.0, 1.0), (1e4, 1.0), (1e6, 1.0), (0.0, 1e-25), (0.0, 1e20), (1e6, 1e-3)])
+def test_graph_recall_off_the_origin_and_at_extreme_scales(offset, scale):
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((1500, 32)) * scale + offset
+    graph = hnsw.build(vectors)
+    hits = 0
+    for i in range(0, 1500, 30):
+        q = vectors[i]
+        truth = np.argsort(np.sqrt(((vectors - q) ** 2).sum(axis=1)), kind="stable")[:11]
+        found = graph.search(q, 11)
+        found = found[np.argsort(np.sqrt(((vectors[found] - q) ** 2).sum(axis=1)), kind="stable")][:11]
+        hits += len(set(truth.tolist()) & set(found.tolist()))
+    assert hits / (50 * 11) >= 0.9

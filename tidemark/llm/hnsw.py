@@ -33,11 +33,20 @@ class Graph:
 
     ``low`` holds the neighbours of each row on layer 0, padded with -1;
     ``high`` those on layers 1 and up, ``LINKS`` to a layer, where the rows of
-    node ``i`` begin at ``offset[i]``.
+    node ``i`` begin at ``offset[i]``.  The graph works in float32 on the
+    vectors centred on their mean and divided by their largest deviation, both
+    taken in double: far from the origin, or very small or very large, their
+    differences would otherwise cancel, underflow or overflow in float32.
+    Centre and scale follow from the vectors alone, so a graph read again
+    from its arrays searches as the one built.
     """
 
     def __init__(self, vectors: np.ndarray, levels: np.ndarray, low=None, high=None, entry=-1) -> None:
-        self.vectors = np.ascontiguousarray(vectors, dtype=np.float32)
+        exact = np.asarray(vectors, dtype=np.float64)
+        self.centre = exact.mean(axis=0) if len(exact) else np.zeros(exact.shape[1:])
+        spread = float(np.abs(exact - self.centre).max()) if exact.size else 0.0
+        self.scale = spread if spread > 0 and np.isfinite(spread) else 1.0
+        self.vectors = np.ascontiguousarray((exact - self.centre) / self.scale, dtype=np.float32)
         self.norms = (self.vectors**2).sum(axis=1)
         self.levels = levels.astype(np.int8)
         n = len(levels)
@@ -133,7 +142,7 @@ class Graph:
             self.entry = i
 
     def search(self, q: np.ndarray, k: int, ef: int = EF_SEARCH) -> np.ndarray:
-        q = q.astype(np.float32)
+        q = ((np.asarray(q, dtype=np.float64) - self.centre) / self.scale).astype(np.float32)
         at = [(float(self.norms[self.entry] - 2 * (self.vectors[self.entry] @ q)), self.entry)]
         for layer in range(int(self.levels[self.entry]), 0, -1):
             at = self.near(q, at, 1, layer)
