@@ -9,7 +9,7 @@ from tidemark.functions.keys import hash_fraction
 from tidemark.operators import encode as M
 from tidemark.operators import train as T
 from tidemark.plans.jobs import baseline_runs
-from tidemark.session import shared_dir
+from tidemark.session import ensure_checkpoint_dir, shared_dir
 
 from .common import moment, query, r, rounded, table
 
@@ -92,38 +92,49 @@ TEXT = ["l_linestatus", "o_orderpriority"]
 
 
 def _training(spark, sf):
-    """Returned lineitems with order features; 30 % of the orders are held out."""
+    """Returned lineitems with order features; 30 % of the orders are held out.
+
+    The joined rows are written once: encoder, class counts, fit and scoring all read them.
+    """
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_linestatus",
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
     )
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
-    rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    held = hash_fraction(42, "l_orderkey") < 0.3
-    model = M.fit_encoder(rows.where(~held), NUMERIC, TEXT)
-    vectors = model.transform(rows).select("l_orderkey", "label", "features")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderpriority",
+        (hash_fraction(42, "o_orderkey") < 0.3).alias("_held"),
+    )
+    rows = T.written(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")), "training")
+    mine = rows.where("NOT _held").drop("_held")
+    model = M.fit_encoder(mine, NUMERIC, TEXT)
     # the weights know the training rows only
-    train = T.with_class_weights(vectors.where(~held))
-    return T.spread_for_training(train), vectors.where(held)
+    train = T.with_class_weights(T.spread_for_training(mine))
+    keep = ["l_orderkey", "label", "features"]
+    return (
+        model.transform(train).select(*keep, T.WEIGHT).persist(),
+        model.transform(rows.where("_held")).select(*keep),
+    )
 
 
 @query("train_score_lr")
 def train_score_lr(spark, sf):
     train, test = _training(spark, sf)
     estimator = T.logistic_regression(train.count(), maxIter=ITERATIONS)
-    return T.evaluate(test, estimator.fit(train))
+    return T.evaluate(test, T.fitted(estimator, train))
 
 
 @query("train_score_forest")
 def train_score_forest(spark, sf):
     train, test = _training(spark, sf)
-    return T.evaluate(test, T.random_forest(numTrees=TREES, maxDepth=5).fit(train))
+    return T.evaluate(test, T.fitted(T.random_forest(numTrees=TREES, maxDepth=5), train))
 
 
 @query("train_score_gbt")
 def train_score_gbt(spark, sf):
     train, test = _training(spark, sf)
-    return T.evaluate(test, T.boosted_trees(maxIter=ROUNDS, maxDepth=6, stepSize=0.3).fit(train))
+    estimator = T.boosted_trees(maxIter=ROUNDS, maxDepth=6, stepSize=0.3)
+    ensure_checkpoint_dir(spark)
+    return T.evaluate(test, T.fitted(estimator, train))
 
 
 @query("hpo_random")
@@ -137,18 +148,18 @@ def hpo_random(spark, sf):
 @query("batch_scoring")
 def batch_scoring(spark, sf):
     train, test = _training(spark, sf)
-    model = T.logistic_regression(train.count(), maxIter=ITERATIONS).fit(train)
+    model = T.fitted(T.logistic_regression(train.count(), maxIter=ITERATIONS), train)
     return T.score(test, model, ["l_orderkey", "label"])
 
 
 @query("baseline_row")
 def baseline_row(spark, sf):
     train, test = _training(spark, sf)
-    model = T.logistic_regression(train.count(), maxIter=ITERATIONS).fit(train)
+    model = T.fitted(T.logistic_regression(train.count(), maxIter=ITERATIONS), train)
     scored = T.score(test, model, ["label"]).select(
         F.col("label").cast("int").alias("label"), F.col("probability_score").alias("score")
     )
-    runs = baseline_runs(scored, moment("2024-01-01"))
+    runs = baseline_runs(T.written(scored, "scores"), moment("2024-01-01"))
     return runs.select(
         "run_id", "experiment", F.try_element_at("tags", F.lit("decision")).alias("decision"),
         F.explode("metrics").alias("metric", "value"),

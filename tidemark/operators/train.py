@@ -15,7 +15,7 @@ from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import join_small
+from ..session import ensure_checkpoint_dir, join_small, shared_dir
 from .evaluate import evaluate_scores
 
 LABEL = "label"
@@ -34,15 +34,37 @@ def with_class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     ).drop("_n", "_n1")
 
 
-def spread_for_training(df: DataFrame) -> DataFrame:
-    """Keep the training rows for the many passes of a fit, spread over tasks.
+#: Rows that one task of a pass takes, about; a fit makes up to thousands of passes.
+ROWS_PER_TASK = 1_000_000
 
-    Adaptive execution coalesces by size, which would leave a small but
-    compute-heavy table in a few tasks; the shuffle keeps the session's number
-    of partitions.  The caller releases the rows with ``unpersist`` after the fit.
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write rows that many passes read as Parquet to the shared folder, and read them again."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_for_training(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Deal rows evenly to as many partitions as the many passes of a fit need.
+
+    Every pass of a fit starts one task per partition, and boosting makes one
+    pass per level of each tree: there is one partition per core, or a multiple
+    of that where a task would get more than about :data:`ROWS_PER_TASK` rows.
+    ``rows`` saves the count where it is known.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions).persist()
+    rows = df.count() if rows is None else rows
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    turns = max(1, -(-rows // (cores * ROWS_PER_TASK)))
+    return df.repartition(cores * turns, *df.columns)
+
+
+def fitted(estimator, train: DataFrame):
+    """Fit on rows that are kept with ``persist`` and release them."""
+    try:
+        return estimator.fit(train)
+    finally:
+        train.unpersist()
 
 
 def logistic_regression(rows: int, inverse_penalty: float = 1.0, **params) -> LogisticRegression:
@@ -63,6 +85,8 @@ def random_forest(seed: int = 42, **params) -> RandomForestClassifier:
 
 
 def boosted_trees(seed: int = 42, **params) -> GBTClassifier:
+    """Boosted trees; a checkpoint folder (:func:`ensure_checkpoint_dir`) keeps late rounds as
+    cheap as early ones, as the lineage of the residuals is cut every ten rounds."""
     return GBTClassifier(labelCol=LABEL, featuresCol="features", seed=seed, **params)
 
 
@@ -112,7 +136,8 @@ def random_search(
         estimator=estimator, estimatorParamMaps=maps, evaluator=f1, trainRatio=train_ratio,
         parallelism=parallelism, seed=seed,
     )
-    return split.fit(train), draws
+    ensure_checkpoint_dir(train.sparkSession)
+    return fitted(split, train), draws
 
 
 def score(df: DataFrame, model, keep: Sequence[str] | None = None) -> DataFrame:
@@ -132,7 +157,8 @@ def score_raw(df: DataFrame, encoder: PipelineModel, model, keep: Sequence[str])
 
 
 def evaluate(df: DataFrame, model, label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
-    scored = score(df, model, [label, *by])
+    """Metrics of a model; the scores are written once, as several passes read them."""
+    scored = written(score(df, model, [label, *by]), "scores")
     return evaluate_scores(
         scored.withColumn("label", F.col(label).cast("int")), "label", "probability_score", by
     )
