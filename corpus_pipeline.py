@@ -90,10 +90,14 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+#: Words whose ids a worker of the packing stage keeps, beside the memory that earlier stages took.
+PACKING_WORDS = 200_000
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack all documents into sequences of at most 2048 tokens."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    cut = packing.pieces(docs, path, end_id=0, capacity=2048)
+    cut = packing.pieces(docs, path, end_id=0, capacity=2048, cached=PACKING_WORDS)
     return packing.pack(cut.drop("ids"), 2048)
 
 

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -196,9 +197,8 @@ def tidy() -> None:
 
 def text_slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that each slice holds about ``limit`` bytes of text, one row at least."""
-    sizes = np.cumsum(
-        np.fromiter((len(x) if x else 0 for x in batch.column(column).to_pylist()), dtype=np.int64)
-    )
+    long = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    sizes = np.cumsum(long.to_numpy(zero_copy_only=False).astype(np.int64))
     lo = 0
     while lo < batch.num_rows:
         before = sizes[lo - 1] if lo else 0

@@ -20,23 +20,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved, text_slices
-from tidemark.llm.tokens import encoder
+from tidemark.llm.tokens import CACHED_WORDS, encoder
 
 PIECES_PER_TASK = 400_000
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, spaced: bool = True) -> DataFrame:
+def pieces(
+    docs: DataFrame, tokenizer: str, end_id: int, capacity: int, spaced: bool = True,
+    cached: int = CACHED_WORDS,
+) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, ids)`` of each document's token pieces.
 
     A null or empty text is the end id alone.  Documents longer than
     ``capacity`` are cut into pieces of that length, the first one shorter if
-    they do not divide.  ``ids`` is little-endian 32-bit binary.
+    they do not divide.  ``ids`` is little-endian 32-bit binary.  ``cached`` is
+    the number of words whose ids a worker keeps, for jobs short of memory.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(tokenizer, spaced)
+        own = encoder(tokenizer, spaced, cached)
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 22):
+            for part in text_slices(batch, "text", 1 << 20):
                 ids, bounds = own.encode(part.column("text"))
                 size = np.diff(bounds) + 1
                 whole = np.full(len(ids) + len(size), end_id, dtype="<u4")

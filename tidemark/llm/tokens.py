@@ -9,7 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Words kept between batches; beyond that those seen in one batch only are dropped.
+#: Words kept between batches unless a caller says otherwise; beyond that those seen in one
+#: batch only are dropped.
 CACHED_WORDS = 800_000
 #: Words that one call of the tokenizer encodes as a text of their own.
 _RUN = 1000
@@ -31,10 +32,12 @@ class Encoder:
     Both families of files split text before a white-space run, so a text whose
     words are divided by single spaces and line feeds is encoded word by word,
     each distinct word once.  Any other text goes to the tokenizer whole.
-    ``spaced`` says that a word's leading space belongs to its tokens.
+    ``spaced`` says that a word's leading space belongs to its tokens; ``cached``
+    is the number of words kept between batches.
     """
 
-    def __init__(self, path: str, spaced: bool) -> None:
+    def __init__(self, path: str, spaced: bool, cached: int = CACHED_WORDS) -> None:
+        self.cached = cached
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -57,7 +60,7 @@ class Encoder:
     def _thin(self) -> None:
         """Keep the words of more than one batch, or none if they are still too many."""
         kept = [(w, i) for w, i in self.place.items() if self.used[i] > 1]
-        if 2 * len(kept) > CACHED_WORDS:
+        if 2 * len(kept) > self.cached:
             self._forget()
             return
         at = np.array([i for _, i in kept], dtype=np.int64)
@@ -95,8 +98,8 @@ class Encoder:
         rest = [w for w in words if not w.isalpha()]
         gc.disable()  # hundreds of thousands of small objects, none of them in cycles
         lead = " " if self.spaced else ""
-        for at in range(0, len(runs), 100 * _RUN):
-            part = runs[at : at + 100 * _RUN]
+        for at in range(0, len(runs), 20 * _RUN):
+            part = runs[at : at + 20 * _RUN]
             texts = [lead + " ".join(part[i : i + _RUN]) for i in range(0, len(part), _RUN)]
             ids = np.concatenate([np.array(x, dtype=np.uint32) for x in self.whole(texts)])
             edge = np.flatnonzero(self.edges[ids])
@@ -105,8 +108,8 @@ class Encoder:
                 self._append(part, ids, np.diff(ends, prepend=0))
             else:
                 rest += part
-        for at in range(0, len(rest), 50_000):
-            part = rest[at : at + 50_000]
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
             found = self.whole([self._text(w) for w in part])
             size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
             ids = np.fromiter((i for x in found for i in x), dtype=np.uint32, count=int(size.sum()))
@@ -147,7 +150,7 @@ class Encoder:
         total = int(end[-1]) if len(end) else 0
         ids = self.ids[np.arange(total) + np.repeat(low[place] - (end - size), size)]
         bounds = np.concatenate(([0], end))[np.concatenate(([0], np.cumsum(count)))]
-        if len(self.place) > CACHED_WORDS:
+        if len(self.place) > self.cached:
             self._thin()
         if not odd.any():
             return ids, bounds
@@ -161,11 +164,11 @@ class Encoder:
         return np.concatenate(parts), np.concatenate(([0], np.cumsum(sizes)))
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[tuple[str, bool, int], Encoder] = {}
 
 
-def encoder(path: str, spaced: bool) -> Encoder:
+def encoder(path: str, spaced: bool, cached: int = CACHED_WORDS) -> Encoder:
     """The encoder of this Python worker."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = Encoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    if (path, spaced, cached) not in _ENCODERS:
+        _ENCODERS[path, spaced, cached] = Encoder(path, spaced, cached)
+    return _ENCODERS[path, spaced, cached]
