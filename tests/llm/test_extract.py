@@ -338,6 +338,45 @@ def test_recall_over_shards(spark, monkeypatch):
     assert hit / 100 >= 0.95
 
 
+def test_graphs_are_not_repeated_for_the_queries_they_meet(spark, monkeypatch):
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 100)
+    monkeypatch.setattr(hnsw, "QUERIES_PER_BLOCK", 16)
+    rng = np.random.default_rng(3)
+    v = rng.normal(size=(900, 8)).astype(np.float32)
+    rows = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, v array<float>")
+    index = hnsw.build_index(rows, 9).cache()
+    assert index.rdd.getNumPartitions() == 9 and index.count() == 9
+    found = hnsw.search(index, rows, 9, 5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan  # a join would send the graph along with every block of queries
+    got = found.collect()
+    assert len(got) <= 900 * 5 * 4  # five of each group, and there are no more groups than shuffle partitions
+    far = np.sqrt(((v[:, None].astype(float) - v[None]) ** 2).sum(axis=2))
+    hits = 0
+    for i in range(900):
+        mine = sorted((r.score, r.found) for r in got if r.query == i)[:5]
+        assert all(abs(s - far[i, f]) < 1e-12 for s, f in mine)
+        hits += len({f for _, f in mine} & set(np.argsort(far[i], kind="stable")[:5].tolist()))
+    assert hits / 4500 >= 0.99
+    index.unpersist()
+
+
+@pytest.mark.parametrize("n", [1, 3, 40, 700])
+def test_walks_side_by_side_find_what_single_walks_find(n):
+    rng = np.random.default_rng(n)
+    vectors = rng.standard_normal((n, 12)) + 1e4
+    graph = hnsw.build(vectors)
+    wanted = rng.standard_normal((30, 12)) + 1e4
+    many = graph.search_many(wanted, 11)
+    assert many.shape == (30, hnsw.EF_SEARCH)
+    hits = 0
+    for q, found in zip(wanted, many, strict=True):
+        found = found[found >= 0]
+        assert len(set(found.tolist())) == len(found)
+        hits += len(set(found[:11].tolist()) & set(graph.search(q, 11)[:11].tolist()))
+    assert hits >= 0.99 * 30 * min(n, 11)
+
+
 def quality_texts(n: int) -> list[tuple[int, str | None, int]]:
     rng = random.Random(6)
     word = lambda: "".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randint(2, 8)))

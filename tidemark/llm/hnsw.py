@@ -2,9 +2,10 @@
 
 Equal vectors are one class, so that copies cannot cut a graph into islands,
 and classes are dealt to shards of about :data:`SHARD_ROWS`.  A shard's graph
-is stored as flat arrays in a row of a table.  Blocks of queries meet every
-shard, each shard answers with its nearest classes, and the answers are merged
-and opened into rows.  Scores are exact distances of the original vectors.
+is stored as flat arrays in a row of a table.  A task takes a group of graphs,
+each once, and all queries stream past them; each group answers with its
+nearest classes, and the answers are merged and opened into rows.  Scores are
+exact distances of the original vectors.
 """
 
 from __future__ import annotations
@@ -14,18 +15,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import saved
+from tidemark.llm.common import parallelism, saved
 
 SHARD_ROWS = 4096
+#: Queries that walk through a graph together.
 QUERIES_PER_BLOCK = 512
+#: Bytes of graphs that one task of the search holds, about.
+GRAPH_BYTES = 32 << 20
 #: Links of a node on upper layers; the lowest layer has twice as many.
 LINKS = 16
 EF_BUILD = 80
 EF_SEARCH = 160
+#: Nodes that a walk of :meth:`Graph.search_many` opens in one step.
+OPENED = 8
 
 
 class Graph:
@@ -148,6 +156,60 @@ class Graph:
             at = self.near(q, at, 1, layer)
         return np.array([i for _, i in self.near(q, at, max(ef, k), 0)])
 
+    def search_many(self, wanted: np.ndarray, k: int, ef: int = EF_SEARCH) -> np.ndarray:
+        """:meth:`search` for many queries at once: a row of nodes each, nearest first, padded with -1.
+
+        The walks run side by side.  A step opens the :data:`OPENED` nearest
+        unopened nodes of each walk, so that no walk opens less than alone.
+        """
+        ef = max(ef, k)
+        q = ((np.asarray(wanted, dtype=np.float64) - self.centre) / self.scale).astype(np.float32)
+        m, n = len(q), len(self.levels)
+        far = self.norms - 2 * (q @ self.vectors.T)
+        walk = np.arange(m)
+        at = np.full(m, self.entry)
+        for layer in range(int(self.levels[self.entry]), 0, -1):
+            moving = walk
+            while len(moving):
+                others = self.high[self.offset[at[moving]] + layer - 1]
+                d = np.where(others >= 0, far[moving[:, None], others], np.inf)
+                nearest = d.argmin(axis=1)
+                row = np.arange(len(moving))
+                closer = d[row, nearest] < far[moving, at[moving]]
+                at[moving[closer]] = others[row, nearest][closer]
+                moving = moving[closer]
+        node = np.full((m, ef), -1, np.int64)
+        dist = np.full((m, ef), np.inf, np.float32)
+        opened = np.ones((m, ef), bool)
+        node[:, 0], dist[:, 0], opened[:, 0] = at, far[walk, at], False
+        met = np.full(m * n, -1, np.int32)  # the place of a met node among those of its step
+        met[walk * n + at] = 0
+        flat = far.ravel()
+        take = min(OPENED, ef)
+        while len(walk):
+            nodes, dists, done = node[walk], dist[walk], opened[walk]
+            waiting = np.where(done, np.inf, dists)
+            pick = np.argpartition(waiting, take - 1, axis=1)[:, :take]
+            row = np.arange(len(walk))[:, None]
+            some = np.isfinite(waiting[row, pick])
+            done[row, pick] = True
+            others = np.where(some[:, :, None], self.low[nodes[row, pick]], -1).reshape(len(walk), -1)
+            key = walk[:, None] * n + others
+            fresh = np.flatnonzero((others >= 0) & (met[key] < 0))
+            place = np.arange(len(fresh), dtype=np.int32)
+            met[key.ravel()[fresh]] = place
+            fresh = fresh[met[key.ravel()[fresh]] == place]  # each node of a step once
+            d = np.full(others.size, np.inf, np.float32)
+            d[fresh] = flat[key.ravel()[fresh]]
+            dists = np.concatenate((dists, d.reshape(others.shape)), axis=1)
+            keep = np.argpartition(dists, ef - 1, axis=1)[:, :ef]
+            node[walk] = np.concatenate((nodes, others), axis=1)[row, keep]
+            dist[walk] = dists[row, keep]
+            opened[walk] = np.concatenate((done, np.zeros(others.shape, bool)), axis=1)[row, keep] | ~np.isfinite(dist[walk])
+            walk = walk[~opened[walk].all(axis=1)]
+        node[~np.isfinite(dist)] = -1
+        return np.take_along_axis(node, dist.argsort(axis=1, kind="stable"), axis=1)
+
 
 def build(vectors: np.ndarray, seed: int = 0) -> Graph:
     rng = np.random.default_rng(seed)
@@ -163,9 +225,13 @@ def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
 
     Left out are null ids, vectors that are null, empty, zero or hold a null or
     non-finite component, and those whose length is not the commonest one.
+    Vectors of floats stay floats, which take half the space.
     """
+    kind = vectors.select(column).schema[0].dataType
+    narrow = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
     rows = vectors.select(
-        F.col(id_column).cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("v")
+        F.col(id_column).cast("long").alias("vec_id"),
+        F.col(column).cast("array<float>" if narrow else "array<double>").alias("v"),
     ).where(
         F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -192,7 +258,7 @@ def build_index(rows: DataFrame, shards: int) -> DataFrame:
             {
                 "shard": pa.array([shard], pa.int32()), "n": pa.array([len(ids)], pa.int32()),
                 "entry": pa.array([g.entry], pa.int32()), "ids": [ids.tobytes()],
-                "vectors": [vectors.astype(np.float64).tobytes()], "levels": [g.levels.tobytes()],
+                "vectors": [vectors.tobytes()], "levels": [g.levels.tobytes()],
                 "low": [g.low.tobytes()], "high": [g.high.tobytes()],
             }
         )
@@ -200,63 +266,73 @@ def build_index(rows: DataFrame, shards: int) -> DataFrame:
     dealt = rows.select(
         F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"), "vec_id", "v"
     )
-    return dealt.groupBy("shard").applyInArrow(
+    # a graph is much work on few bytes: a task for each, which adaptive execution does not merge
+    return dealt.repartitionById(shards, "shard").groupBy("shard").applyInArrow(
         graph_of,
         "shard int, n int, entry int, ids binary, vectors binary, levels binary, low binary, high binary",
     )
 
 
 def search(index: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
-    """``(query, found, score)``: the ``k`` nearest of every shard for ``queries (vec_id, v)``."""
-    blocks = max(1, -(-queries.count() // QUERIES_PER_BLOCK))
-
-    def block_of(table: pa.Table) -> pa.Table:
-        lists = table.column("v").combine_chunks()
-        return pa.table(
-            {
-                "queries": [table.column("vec_id").to_numpy().tobytes()],
-                "wanted": [lists.flatten().to_numpy().astype(np.float64).tobytes()],
-            }
-        )
+    """``(query, found, score)``: the ``k`` nearest of every group of shards for ``queries (vec_id, v)``.
 
-    asked = (
-        queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-        .groupBy("block").applyInArrow(block_of, "queries binary, wanted binary")
-        .select("queries", "wanted", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    A partition holds the graphs of one group, each once, and then all queries:
+    a graph is never repeated for the queries it meets, and what a task holds
+    does not grow with their number.
+    """
+    kind = queries.schema["v"].dataType.elementType
+    dtype = np.float32 if isinstance(kind, T.FloatType) else np.float64
+    first = queries.select(F.size("v")).first()
+    width = first[0] if first else 1
+    each = SHARD_ROWS * (width * np.dtype(dtype).itemsize + 8 * LINKS + 8)
+    groups = min(shards, max(parallelism(queries.sparkSession), -(-shards // max(1, GRAPH_BYTES // each))))
+
+    graphs = index.select(
+        F.pmod("shard", F.lit(groups)).alias("group"), F.lit(0).alias("kind"), "n", "entry", "ids", "vectors",
+        "levels", "low", "high", F.lit(None).cast("long").alias("query"),
+        F.lit(None).cast(queries.schema["v"].dataType).alias("wanted"),
+    )
+    asked = queries.select(
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(1).alias("kind"),
+        F.col("vec_id").alias("query"), F.col("v").alias("wanted"),
+    )
+    met = (
+        graphs.unionByName(asked, allowMissingColumns=True)
+        .repartitionById(groups, "group")
+        .sortWithinPartitions("kind")
+        .drop("group")
     )
 
+    def graph_of(row: dict) -> tuple[np.ndarray, np.ndarray, Graph]:
+        exact = np.frombuffer(row["vectors"], dtype).reshape(row["n"], -1)
+        arrays = [np.frombuffer(row[c], np.int32) for c in ("low", "high")]
+        graph = Graph(exact, np.frombuffer(row["levels"], np.int8), *arrays, row["entry"])
+        return np.frombuffer(row["ids"], np.int64), exact, graph
+
+    def nearest(held, names: np.ndarray, wanted: np.ndarray) -> list[np.ndarray]:
+        every = []
+        for ids, exact, graph in held:
+            at = graph.search_many(wanted, k)
+            score = np.array([np.sqrt(((exact[near] - q) ** 2).sum(axis=1)) for near, q in zip(at, wanted, strict=True)])
+            every.append((ids[at], score, at < 0))
+        found, score, none = (np.concatenate(x, axis=1) for x in zip(*every, strict=True))
+        order = np.lexsort((found, score, none), axis=1)[:, :k]
+        found, score, none = (np.take_along_axis(x, order, axis=1) for x in (found, score, none))
+        return [np.repeat(names, (~none).sum(axis=1)), found[~none], score[~none]]
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, graph = None, None
+        held = []
         for batch in batches:
-            for row in range(batch.num_rows):
-                get = {c: batch.column(c)[row] for c in batch.schema.names}
-                if held != get["shard"].as_py():
-                    held, n = get["shard"].as_py(), get["n"].as_py()
-                    ids = np.frombuffer(get["ids"].as_buffer(), np.int64)
-                    exact = np.frombuffer(get["vectors"].as_buffer(), np.float64).reshape(n, -1)
-                    graph = Graph(
-                        exact, np.frombuffer(get["levels"].as_buffer(), np.int8),
-                        np.frombuffer(get["low"].as_buffer(), np.int32),
-                        np.frombuffer(get["high"].as_buffer(), np.int32), get["entry"].as_py(),
-                    )
-                names = np.frombuffer(get["queries"].as_buffer(), np.int64)
-                wanted = np.frombuffer(get["wanted"].as_buffer(), np.float64).reshape(len(names), -1)
-                out_q, out_f, out_s = [], [], []
-                for name, q in zip(names, wanted, strict=True):
-                    at = graph.search(q, k)
-                    score = np.sqrt(((exact[at] - q) ** 2).sum(axis=1))
-                    at_best = np.lexsort((ids[at], score))[:k]
-                    out_q.append(np.full(len(at_best), name))
-                    out_f.append(ids[at][at_best])
-                    out_s.append(score[at_best])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in (out_q, out_f, out_s)],
-                    names=["query", "found", "score"],
-                )
-
-    met = asked.join(index, "shard").select(
-        "shard", "queries", "wanted", "n", "entry", "ids", "vectors", "levels", "low", "high"
-    )
+            graphs = batch.filter(pa.compute.equal(batch.column("kind"), 0))
+            held += [graph_of(row) for row in graphs.drop_columns(["query", "wanted"]).to_pylist()]
+            batch = batch.select(["kind", "query", "wanted"]).slice(graphs.num_rows)
+            for start in range(0, batch.num_rows if held else 0, QUERIES_PER_BLOCK):
+                block = batch.slice(start, QUERIES_PER_BLOCK)
+                wanted = block.column("wanted").flatten().to_numpy().astype(np.float64)
+                names = block.column("query").to_numpy()
+                out = nearest(held, names, wanted.reshape(len(names), -1))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=["query", "found", "score"])
+
     return met.mapInArrow(answer, "query long, found long, score double")
 
 
