@@ -5,17 +5,16 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, join_small, shared_dir
+from .boosting import BoostedSearch, BoostedTrees
 from .evaluate import evaluate_scores
 
 LABEL = "label"
@@ -60,7 +59,12 @@ def spread_for_training(df: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def fitted(estimator, train: DataFrame):
-    """Fit on rows that are kept with ``persist`` and release them."""
+    """Fit on rows that are kept with ``persist`` and release them.
+
+    Boosted trees read them only to bin them: they are kept on disk alone.
+    """
+    if isinstance(estimator, BoostedTrees | BoostedSearch):
+        train = train.unpersist().persist(StorageLevel.DISK_ONLY)
     try:
         return estimator.fit(train)
     finally:
@@ -84,10 +88,9 @@ def random_forest(seed: int = 42, **params) -> RandomForestClassifier:
     )
 
 
-def boosted_trees(seed: int = 42, **params) -> GBTClassifier:
-    """Boosted trees; a checkpoint folder (:func:`ensure_checkpoint_dir`) keeps late rounds as
-    cheap as early ones, as the lineage of the residuals is cut every ten rounds."""
-    return GBTClassifier(labelCol=LABEL, featuresCol="features", seed=seed, **params)
+def boosted_trees(seed: int = 42, **params) -> BoostedTrees:
+    """Boosted trees whose fit is one job (:mod:`.boosting`)."""
+    return BoostedTrees(labelCol=LABEL, featuresCol="features", seed=seed, **params)
 
 
 # Fixed search space of the boosted trees: choices and uniform ranges.
@@ -132,7 +135,7 @@ def random_search(
     f1 = MulticlassClassificationEvaluator(
         labelCol=LABEL, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0
     )
-    split = TrainValidationSplit(
+    split = BoostedSearch(
         estimator=estimator, estimatorParamMaps=maps, evaluator=f1, trainRatio=train_ratio,
         parallelism=parallelism, seed=seed,
     )

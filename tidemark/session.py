@@ -7,6 +7,7 @@ import operator
 import tempfile
 import uuid
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers of a local session import this package from where it lies."""
+    root = str(Path(__file__).resolve().parents[1])
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give ``DataFrame.checkpoint`` a folder when the cluster named none."""
     if spark.sparkContext.getCheckpointDir() is None:
